@@ -17,23 +17,21 @@ DATE_ENTITY_PATTERN = (
 )
 
 
+def _grams(tokens: Column, n: int) -> Column:
+    """N-grams of exactly n tokens. Tokens are fetched by position: slicing would
+    copy the whole array for every gram."""
+
+    def gram(i: Column) -> Column:
+        phrase = F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)])
+        return F.struct(i.alias("start"), F.lit(n).alias("words"), F.lower(phrase).alias("phrase"))
+
+    none = F.expr("cast(array() as array<struct<start:int,words:int,phrase:string>>)")
+    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(0), F.size(tokens) - n), gram)).otherwise(none)
+
+
 def phrase_candidates(tokens: Column, max_words: int = MAX_WORDS) -> Column:
     """Token n-grams as array<struct<start, words, phrase>>."""
-    grams = []
-    for n in range(1, max_words + 1):
-        grams.append(
-            F.when(
-                F.size(tokens) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.size(tokens) - (n - 1)),
-                    lambda i, n=n: F.struct(
-                        (i - 1).alias("start"), F.lit(n).alias("words"),
-                        F.lower(F.array_join(F.slice(tokens, i, n), " ")).alias("phrase"),
-                    ),
-                ),
-            ).otherwise(F.expr("cast(array() as array<struct<start:int,words:int,phrase:string>>)"))
-        )
-    return F.concat(*grams)
+    return F.concat(*[_grams(tokens, n) for n in range(1, max_words + 1)])
 
 
 def match_phrases(
@@ -103,7 +101,12 @@ def tokens_with_tag(tokens: Column, tags: Column, wanted: str) -> Column:
 def merge_phrases(tokens: Column, tags: Column, wanted: str) -> Column:
     """Neighbouring tokens with the same tag joined by a space."""
     kept = F.filter(runs(tags), lambda r: F.get(tags, r["start"]) == wanted)
-    return F.transform(kept, lambda r: F.array_join(F.slice(tokens, r["start"] + 1, r["len"]), " "))
+    return F.transform(
+        kept,
+        lambda r: F.array_join(
+            F.transform(F.sequence(r["start"], r["start"] + r["len"] - 1), lambda i: F.get(tokens, i)), " "
+        ),
+    )
 
 
 def merge_tagged_rows(tagged: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -19,17 +19,12 @@ MAX_LANGUAGES = 500
 def word_grams(word: Column, max_gram: int = MAX_GRAM) -> Column:
     """Character n-grams of one word padded with a space on both sides."""
     padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1))),
-                    lambda i, n=n: F.substr(padded, i, F.lit(n)),
-                )
-                for n in range(1, max_gram + 1)
-            ]
-        )
-    )
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substr(padded, i, F.lit(n)))
+
+    return F.flatten(F.array(*[of_length(n) for n in range(1, max_gram + 1)]))
 
 
 def text_grams(text: Column, max_gram: int = MAX_GRAM) -> Column:
