@@ -145,6 +145,16 @@ def location_mentions(docs: DataFrame, gazetteer: DataFrame, id_col: str = "doc_
     return named
 
 
+def with_locations(docs: DataFrame, mentions: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Add `locations`, the counts of a document's own location entities."""
+    counted = mentions.groupBy(id_col, "entity").agg(F.count("*").alias("tf"))
+    per_doc = counted.groupBy(id_col).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("entity").alias("term"), "tf"))).alias("locations")
+    )
+    empty = F.expr("cast(array() as array<struct<term:string,tf:bigint>>)")
+    return docs.join(per_doc, id_col, "left").withColumn("locations", F.coalesce("locations", empty))
+
+
 def date_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     return docs.select(id_col, F.explode(F.flatten(F.transform(sentences(F.col(text_col)), date_entities))).alias("entity"))
 

@@ -28,6 +28,7 @@ def compare(df, con, sql: str) -> str | None:
     any order, values exactly."""
     got_names = sorted(df.columns)
     got = [tuple(row[c] for c in got_names) for row in df.collect()]
+    compare.split = time.time()
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
     if sorted(names) != got_names:
@@ -54,6 +55,9 @@ def compare(df, con, sql: str) -> str | None:
     return None
 
 
+compare.split = 0.0
+
+
 def main(folder: str, parts: list[str]) -> int:
     from pagemill.session import build_session
 
@@ -78,7 +82,9 @@ def main(folder: str, parts: list[str]) -> int:
             result = f"ERROR {type(exc).__name__}: {str(exc)[:700]}"
         ok = result is None or (sql is None and result.startswith("rows"))
         bad += not ok
-        print(f"{'ok ' if ok else 'BAD'} {name} {time.time() - started:.1f}s {result or ''}", flush=True)
+        now = time.time()
+        mid = compare.split if sql and compare.split > started else now
+        print(f"{'ok ' if ok else 'BAD'} {name} spark {mid - started:.1f}s sql {now - mid:.1f}s {result or ''}", flush=True)
     print("bad:", bad)
     return bad
 
