@@ -8,47 +8,42 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind `value` so that `body` may use it many times while it is computed
     once per row, whatever the optimizer merges."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def let_sql(value: Column, body: str) -> Column:
+    """`let` with the body as a SQL lambda. Large expressions are parsed in the
+    JVM in one call instead of being put together call by call."""
+    return F.get(F.call_function("transform", F.array(value), F.expr(body)), F.lit(0))
+
+
+# Runs of equal neighbours of `v`: start positions, then lengths.
+_RUNS = """CASE WHEN size({v}) > 0 THEN get(transform(array(
+    filter(sequence(0, size({v}) - 1), i -> i = 0 OR NOT (get({v}, i) <=> get({v}, i - 1)))),
+    s -> transform(s, (b, j) -> named_struct('start', b, 'len', coalesce(get(s, j + 1), size({v})) - b))), 0)
+  ELSE cast(array() AS array<struct<start:int,len:int>>) END"""
+
+
 def runs(values: Column) -> Column:
     """Runs of equal neighbours as array<struct<start, len>> (0-based start)."""
-
-    def body(v: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(v) - 1),
-            lambda i: (i == 0) | ~F.get(v, i).eqNullSafe(F.get(v, i - 1)),
-        )
-        measured = let(
-            starts,
-            lambda s: F.transform(
-                s,
-                lambda at, j: F.struct(
-                    at.alias("start"), (F.coalesce(F.get(s, j + 1), F.size(v)) - at).alias("len")
-                ),
-            ),
-        )
-        return F.when(F.size(v) > 0, measured).otherwise(
-            F.expr("cast(array() as array<struct<start:int,len:int>>)")
-        )
-
-    return let(values, body)
+    return let_sql(values, "v -> " + _RUNS.format(v="v"))
 
 
 def term_counts(tokens: Column) -> Column:
     """Term frequencies of one document as array<struct<term, tf>>, by sorting
     the token array and measuring its runs: no explode, no shuffle."""
-    return let(
+    return let_sql(
         F.sort_array(tokens),
-        lambda s: F.transform(
-            runs(s),
-            lambda r: F.struct(
-                F.get(s, r["start"]).alias("term"), r["len"].cast("bigint").alias("tf")
-            ),
-        ),
+        f"""t -> transform({_RUNS.format(v='t')},
+          r -> named_struct('term', get(t, r.start), 'tf', cast(r.len AS bigint)))""",
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill import fixed
-from pagemill.functions.arrays import let
+from pagemill.functions.arrays import let, let_sql, quoted
 from pagemill.functions.urls import url_date_text
 
 # Accepted layouts, tried in this order.
@@ -18,30 +18,39 @@ DATE_FORMATS = [
 ]
 
 
-def _normal(text: Column) -> Column:
-    """Drop weekday names, zone offsets (relabelled as UTC, not converted),
-    fractions and extra separators."""
-    t = F.regexp_replace(text, r"^\s+|\s+$", "")
-    t = F.regexp_replace(t, r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b\.?,?", "")
-    t = F.regexp_replace(t, r"(\d:\d{2})[.,]\d+", "$1")
-    t = F.regexp_replace(t, r"(\d:\d{2})\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$", "$1")
-    t = F.regexp_replace(t, r"(?i)([ap])\.?m\.?\b", "$1M")
-    return F.trim(F.regexp_replace(F.translate(t, ",", " "), r"\s+", " "))
+# Clean-up rules, in order: outer space, weekday names, fractions, zone offsets
+# (the wall clock is relabelled as UTC, not converted), am/pm spelling.
+_RULES = [
+    (r"^\s+|\s+$", ""),
+    (r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b\.?,?", ""),
+    (r"(\d:\d{2})[.,]\d+", "$1"),
+    (r"(\d:\d{2})\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$", "$1"),
+    (r"(?i)([ap])\.?m\.?\b", "$1M"),
+    (",", " "),
+    (r"\s+", " "),
+]
 
 
-def parse_date(text: Column) -> Column:
-    """Timestamp of a date string, null when no layout fits. Missing parts are
-    never filled from today's date."""
-    return let(
-        F.upper(_normal(text)),
-        lambda t: F.coalesce(*[F.try_to_timestamp(_cased(t, f), F.lit(f)) for f in DATE_FORMATS]),
+def _parse_program() -> str:
+    text = "r"
+    for pattern, to in _RULES:
+        text = f"regexp_replace({text}, {quoted(pattern)}, {quoted(to)})"
+    # Layouts with a month name want "May 3 2015 6:42 AM"; the others are plain.
+    named = f"""regexp_replace(initcap(t), {quoted(r"([AaPp])m\b")}, {quoted("$1M")})"""
+    tries = ", ".join(
+        f"try_to_timestamp({'n' if 'MMM' in layout or 'a' in layout else 't'}, {quoted(layout)})" for layout in DATE_FORMATS
     )
+    return f"""r -> get(transform(array(upper(trim({text}))),
+      t -> get(transform(array({named}), n -> coalesce({tries})), 0)), 0)"""
 
 
-def _cased(t: Column, layout: str) -> Column:
-    return F.initcap(t) if "MMM" in layout and " a" not in layout else (
-        F.regexp_replace(F.initcap(t), r"\b([AaPp])m\b", "$1M") if " a" in layout else t
-    )
+_PARSE = _parse_program()
+
+
+def parse_date(text: Column) -> Column:
+    """Timestamp of a date string, null when no layout fits. Missing parts are
+    never filled from today's date."""
+    return let_sql(text, _PARSE)
 
 
 def url_date(url: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from pagemill.functions.arrays import let
+from pagemill.functions.arrays import let_sql, quoted
 
 # Attribute area of a tag; quoted values may hold '>'. Possessive, so linear.
 ATTRS = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+"
@@ -34,8 +34,9 @@ def strip_hidden(html: Column, hide_iframe: bool = True, drop_comments: bool = T
     return hidden
 
 
-def _entity_table() -> Column:
-    """Named and remapped numeric references, from the standard library."""
+def _entity_table() -> str:
+    """Named and remapped numeric references, from the standard library, as a
+    map expression that folds to a constant."""
     table = {k: v for k, v in _entities.html5.items() if "\x01" not in v and "\x02" not in v}
     for code in range(128, 160):
         try:
@@ -43,87 +44,49 @@ def _entity_table() -> Column:
         except UnicodeDecodeError:
             continue
     text = "\x01".join(f"{k}\x02{v}" for k, v in table.items())
-    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+    return f"str_to_map({quoted(text)}, '\x01', '\x02')"
 
 
 _LEGACY = "|".join(sorted((n for n in _entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
 
-
-def _code_point(code: Column) -> Column:
-    ok = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    safe = F.when(ok, code).otherwise(F.lit(0xFFFD))
-    return F.decode(F.unhex(F.lpad(F.hex(safe), 8, "0")), "UTF-32")
+# `p` is the text after an ampersand, `m` the reference at its start.
+_NUMERIC = """get(transform(array(coalesce(try_cast(
+      CASE WHEN substr(m, 2, 1) IN ('x', 'X') THEN conv(regexp_replace(m, '[#xX;]', ''), 16, 10)
+      ELSE regexp_replace(m, '[#;]', '') END AS bigint), 65533)),
+    c -> concat(coalesce(try_element_at(e, concat('#', cast(c AS string))),
+      decode(unhex(lpad(hex(CASE WHEN c BETWEEN 1 AND 1114111 AND NOT c BETWEEN 55296 AND 57343 THEN c ELSE 65533 END),
+        8, '0')), 'UTF-32')), substr(p, length(m) + 1))), 0)"""
+_NAMED = f"""get(transform(array(regexp_extract(p, '^(?:{_LEGACY})', 0)),
+    k -> CASE WHEN try_element_at(e, m) IS NOT NULL THEN concat(try_element_at(e, m), substr(p, length(m) + 1))
+      WHEN k <> '' THEN concat(try_element_at(e, k), substr(p, length(k) + 1)) ELSE concat('&', p) END), 0)"""
+_REFERENCE = quoted(r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)")
+_PIECE = f"""CASE WHEN startswith(p, 'amp;') THEN concat('&', substr(p, 5))
+    ELSE get(transform(array(regexp_extract(p, {_REFERENCE}, 0)),
+      m -> CASE WHEN startswith(m, '#') THEN {_NUMERIC} ELSE {_NAMED} END), 0) END""".replace(
+    "try_element_at(e, ", f"try_element_at({_entity_table()}, "
+)
+# `s` is a text; a text without an ampersand is returned as it is.
+DECODE_SQL = f"""CASE WHEN contains(s, '&') THEN get(transform(array(split(s, '&')), q -> concat(get(q, 0),
+    array_join(transform(slice(q, 2, size(q)), p -> {_PIECE}), ''))), 0) ELSE s END"""
 
 
 def decode_entities(text: Column) -> Column:
     """Character references to characters (numeric, named, and the legacy names
     that need no semicolon)."""
+    return let_sql(text, f"s -> {DECODE_SQL}")
+
 
-    def piece(p: Column) -> Column:
-        table = _entity_table()
-
-        def numeric(m: Column) -> Column:
-            digits = F.regexp_replace(m, r"[#xX;]", "")
-            code = F.when(
-                F.substr(m, F.lit(2), F.lit(1)).isin("x", "X"), F.conv(digits, 16, 10)
-            ).otherwise(digits).try_cast("bigint")
-            return let(
-                F.coalesce(code, F.lit(0xFFFD).cast("bigint")),
-                lambda c: F.concat(
-                    F.coalesce(F.try_element_at(table, F.concat(F.lit("#"), c.cast("string"))), _code_point(c)),
-                    F.substr(p, F.length(m) + 1),
-                ),
-            )
-
-        def named(m: Column) -> Column:
-            return let(
-                F.regexp_extract(p, f"^(?:{_LEGACY})", 0),
-                lambda short: F.when(
-                    F.try_element_at(table, m).isNotNull(),
-                    F.concat(F.try_element_at(table, m), F.substr(p, F.length(m) + 1)),
-                )
-                .when(short != "", F.concat(F.try_element_at(table, short), F.substr(p, F.length(short) + 1)))
-                .otherwise(F.concat(F.lit("&"), p)),
-            )
-
-        return F.when(p.startswith("amp;"), F.concat(F.lit("&"), F.substr(p, F.lit(5)))).otherwise(
-            let(
-                F.regexp_extract(p, r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)", 0),
-                lambda m: F.when(m.startswith("#"), numeric(m)).otherwise(named(m)),
-            )
-        )
-
-    def body(t: Column) -> Column:
-        decoded = let(
-            F.split(t, "&"),
-            lambda p: F.concat(
-                F.get(p, F.lit(0)), F.array_join(F.transform(F.slice(p, 2, F.size(p)), piece), "")
-            ),
-        )
-        return F.when(t.contains("&"), decoded).otherwise(t)
-
-    return let(text, body)
+_NODES = f"""h -> get(transform(array(split(h, {quoted(r"(?i)</head\s*>")}, 2)),
+    d -> CASE WHEN size(d) > 1 THEN concat(
+        filter(split(get(d, 0), {quoted(TAG)}), x -> trim(translate(x, {quoted(chr(10) + chr(13) + chr(9) + chr(12))}, '    ')) <> ''),
+        filter(split(get(d, 1), {quoted(TAG)}), x -> x <> ''))
+      ELSE filter(split(h, {quoted(TAG)}), x -> x <> '') END), 0)"""
 
 
 def visible_text(html: Column, hide_iframe: bool = True, drop_comments: bool = True) -> Column:
     """Visible text nodes joined by newlines. Text directly under <head> is
     dropped; the <title> text stays."""
-
-    def nodes(h: Column) -> Column:
-        # With a negative limit `split` keeps trailing empty strings; both are filtered.
-        return let(
-            F.split(h, r"(?i)</head\s*>", 2),
-            lambda p: F.when(
-                F.size(p) > 1,
-                F.concat(
-                    F.filter(F.split(F.get(p, F.lit(0)), TAG), lambda x: F.trim(F.translate(x, "\n\r\t\f", "    ")) != ""),
-                    F.filter(F.split(F.get(p, F.lit(1)), TAG), lambda x: x != ""),
-                ),
-            ).otherwise(F.filter(F.split(h, TAG), lambda x: x != "")),
-        )
-
-    joined = F.array_join(let(strip_hidden(html, hide_iframe, drop_comments), nodes), "\n")
-    return decode_entities(joined)
+    return decode_entities(F.array_join(let_sql(strip_hidden(html, hide_iframe, drop_comments), _NODES), "\n"))
 
 
 def title(html: Column) -> Column:
@@ -145,33 +108,29 @@ def decode_utf8(body: Column, strict: bool = False) -> Column:
     return F.replace(F.make_valid_utf8(body.cast("string")), F.lit("�"), F.lit(""))
 
 
+def attribute_sql(attrs: str, name: str) -> str:
+    """SQL for the value of an attribute, null when missing or empty."""
+    pattern = rf"(?is)(?:^|[\s\"'/]){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    raw = f"regexp_extract({attrs}, {quoted(pattern)}, 1)"
+    return f"""nullif(regexp_replace({raw}, {quoted(r"^[\"']|[\"']$")}, ''), '')"""
+
+
 def attribute(attrs: Column, name: str) -> Column:
     """Value of an attribute, null when missing or empty."""
-    raw = F.regexp_extract(attrs, rf"(?is)(?:^|[\s\"'/]){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
-    return F.nullif(F.regexp_replace(raw, r"^[\"']|[\"']$", ""), F.lit(""))
+    return let_sql(attrs, f"a -> {attribute_sql('a', name)}")
+
+
+# `p` is the text after "<a".
+_LINKS = f"""v -> transform(slice(v, 2, size(v)), (p, n) -> get(transform(array(regexp_extract(p, {quoted(f"^{ATTRS}>")}, 0)),
+    g -> named_struct('pos', n,
+      'anchor', get(transform(array(regexp_replace(get(split(substr(p, length(g) + 1), {quoted(r"(?i)</a\s*>")}, 2), 0),
+        {quoted(TAG)}, '')), s -> {DECODE_SQL}), 0),
+      'href', get(transform(array({attribute_sql('g', 'href')}), s -> {DECODE_SQL}), 0))), 0))"""
 
 
 def links(html: Column) -> Column:
     """Anchors in document order as array<struct<pos, anchor, href>>."""
-
-    def one(p: Column, i: Column) -> Column:
-        return let(
-            F.regexp_extract(p, f"^{ATTRS}>", 0),
-            lambda head: F.struct(
-                i.alias("pos"),
-                decode_entities(
-                    F.regexp_replace(
-                        F.get(F.split(F.substr(p, F.length(head) + 1), r"(?i)</a\s*>", 2), F.lit(0)), TAG, ""
-                    )
-                ).alias("anchor"),
-                decode_entities(attribute(head, "href")).alias("href"),
-            ),
-        )
-
-    bare = strip_hidden(html, hide_iframe=False)
-    return let(
-        F.split(bare, r"(?i)<a(?=[\s>/])"), lambda p: F.transform(F.slice(p, 2, F.size(p)), one)
-    )
+    return let_sql(F.split(strip_hidden(html, hide_iframe=False), r"(?i)<a(?=[\s>/])"), _LINKS)
 
 
 def sub_urls(page_links: Column, pattern: str) -> Column:

@@ -6,30 +6,25 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill import fixed
-from pagemill.functions.arrays import let
+from pagemill.functions.arrays import let, let_sql
 from pagemill.functions.dates import parse_date, url_date
-from pagemill.functions.html import ATTRS, COMMENT, attribute, decode_entities
+from pagemill.functions.html import ATTRS, COMMENT, DECODE_SQL, attribute, attribute_sql
 
 META_FIELDS = ["author", "copyright", "keywords"]
 
 
+_TAGS = "v -> transform(v, (m, n) -> named_struct('pos', n, {fields}, 'content', get(transform(array({content}), s -> trim({decode})), 0)))"
+
+
 def meta_tags(html: Column) -> Column:
     """Meta tags in document order as array<struct<pos, name, property, itemprop,
-    http_equiv, content>>; attribute names of the key fields in lower case."""
-
-    def one(attrs: Column, i: Column) -> Column:
-        low = lambda name: F.coalesce(F.lower(attribute(attrs, name)), F.lit(""))
-        return F.struct(
-            i.alias("pos"),
-            low("name").alias("name"),
-            low("property").alias("property"),
-            low("itemprop").alias("itemprop"),
-            low("http-equiv").alias("http_equiv"),
-            F.trim(decode_entities(attribute(attrs, "content"))).alias("content"),
-        )
-
-    found = F.regexp_extract_all(F.regexp_replace(html, f"(?s){COMMENT}", ""), F.lit(rf"(?is)<meta\b({ATTRS})>"), F.lit(1))
-    return F.transform(found, one)
+    http_equiv, content>>; the key fields in lower case."""
+    keys = {"name": "name", "property": "property", "itemprop": "itemprop", "http_equiv": "http-equiv"}
+    fields = ", ".join(f"'{k}', coalesce(lower({attribute_sql('m', a)}), '')" for k, a in keys.items())
+    found = F.regexp_extract_all(
+        F.regexp_replace(html, f"(?s){COMMENT}", ""), F.lit(rf"(?is)<meta\b({ATTRS})>"), F.lit(1)
+    )
+    return let_sql(found, _TAGS.format(fields=fields, content=attribute_sql("m", "content"), decode=DECODE_SQL))
 
 
 def last_content(tags: Column, match) -> Column:

@@ -5,7 +5,8 @@ per step and nothing leaves the JVM or the row."""
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from pagemill.functions.arrays import let_sql
 
 # Stem shapes. [C]V... with y a vowel after a consonant.
 _HEAD = r"^(?:[^aeiou][^aeiouy]*[aeiouy]|[aeiou])[aeiou]*"
@@ -41,106 +42,78 @@ STEP_4 = [
 ]
 
 
-def _cut(x: Column, n: int) -> Column:
-    return F.left(x, F.length(x) - n)
-
-
-def _swap(x: Column, suffix: str, to: str) -> Column:
-    return F.concat(_cut(x, len(suffix)), F.lit(to)) if to else _cut(x, len(suffix))
+def _cut(n: int) -> str:
+    return f"left(x, length(x) - {n})"
 
 
-def _first_rule(x: Column, rules: list[tuple[str, Column, Column]]) -> Column:
-    """CASE over (suffix, condition, result): first suffix decides."""
-    out = None
-    for suffix, condition, result in rules:
-        value = F.when(condition, result).otherwise(x)
-        out = F.when(x.endswith(suffix), value) if out is None else out.when(x.endswith(suffix), value)
-    return out.otherwise(x)
+def _swap(suffix: str, to: str) -> str:
+    return f"concat({_cut(len(suffix))}, '{to}')" if to else _cut(len(suffix))
 
 
-def _step_1a(x: Column) -> Column:
-    return (
-        F.when(x.endswith("ies") & (F.length(x) == 4), _swap(x, "ies", "ie"))
-        .when(x.endswith("sses"), _cut(x, 2))
-        .when(x.endswith("ies"), _cut(x, 2))
-        .when(x.endswith("ss"), x)
-        .when(x.endswith("s"), _cut(x, 1))
-        .otherwise(x)
+def _first_rule(rules: list[tuple[str, str, str]]) -> str:
+    """CASE over (suffix, pattern, result): the first suffix decides."""
+    body = " ".join(
+        f"WHEN endswith(x, '{suffix}') THEN CASE WHEN x RLIKE '{pattern}' THEN {result} ELSE x END"
+        for suffix, pattern, result in rules
     )
+    return f"CASE {body} ELSE x END"
 
 
 # A token that lost "ed" or "ing" carries this mark until the next step.
 _MARK = "\x01"
 
-
-def _step_1b(x: Column) -> Column:
-    return (
-        F.when(x.endswith("ied"), F.when(F.length(x) == 4, _cut(x, 1)).otherwise(_cut(x, 2)))
-        .when(x.endswith("eed"), F.when(x.rlike(M_GT_0 + ".*eed$"), _cut(x, 1)).otherwise(x))
-        .when(x.endswith("ed") & x.rlike(HAS_VOWEL + ".*ed$"), F.concat(_cut(x, 2), F.lit(_MARK)))
-        .when(x.endswith("ing") & x.rlike(HAS_VOWEL + ".*ing$"), F.concat(_cut(x, 3), F.lit(_MARK)))
-        .otherwise(x)
-    )
-
-
-def _step_1b_repair(x: Column) -> Column:
-    bare = _cut(x, 1)
-    last = F.left(F.right(x, F.lit(2)), F.lit(1))
-    double = (last == F.left(F.right(x, F.lit(3)), F.lit(1))) & (
-        ~last.isin(*"aeiouy") | x.rlike(f"[^aeiouy]yy{_MARK}$")
-    ) & (F.length(x) > 2)
-    return F.when(
-        x.endswith(_MARK),
-        F.when(x.rlike(f"(?:at|bl|iz){_MARK}$"), F.concat(bare, F.lit("e")))
-        .when(double, F.when(last.isin("l", "s", "z"), bare).otherwise(_cut(x, 2)))
-        .when(x.rlike(f"{M_EQ_1}{_MARK}$") & x.rlike(f"{CVC}{_MARK}$"), F.concat(bare, F.lit("e")))
-        .otherwise(bare),
-    ).otherwise(x)
-
-
-def _step_1c(x: Column) -> Column:
-    return F.when(x.endswith("y") & x.rlike(r"(?:.[^aeiouy]|[aeiou]y)y$"), _swap(x, "y", "i")).otherwise(x)
-
-
-def _step_2_alli(x: Column) -> Column:
-    return F.when(x.endswith("alli") & x.rlike(M_GT_0 + ".*alli$"), _cut(x, 2)).otherwise(x)
-
-
-def _step_2(x: Column) -> Column:
-    rules = [(s, x.rlike(f"{M_GT_0}.*{s}$"), _swap(x, s, to)) for s, to in STEP_2]
-    rules.append(("logi", x.rlike(f"{M_GT_0}.*ogi$"), _cut(x, 1)))
-    return _first_rule(x, rules)
-
-
-def _step_3(x: Column) -> Column:
-    return _first_rule(x, [(s, x.rlike(f"{M_GT_0}.*{s}$"), _swap(x, s, to)) for s, to in STEP_3])
+_STEPS = [
+    # 1a
+    f"""CASE WHEN NOT endswith(x, 's') THEN x WHEN endswith(x, 'ies') AND length(x) = 4 THEN {_cut(1)}
+      WHEN endswith(x, 'sses') THEN {_cut(2)} WHEN endswith(x, 'ies') THEN {_cut(2)} WHEN endswith(x, 'ss') THEN x
+      ELSE {_cut(1)} END""",
+    # 1b
+    f"""CASE WHEN endswith(x, 'ied') THEN CASE WHEN length(x) = 4 THEN {_cut(1)} ELSE {_cut(2)} END
+      WHEN endswith(x, 'eed') THEN CASE WHEN x RLIKE '{M_GT_0}.*eed$' THEN {_cut(1)} ELSE x END
+      WHEN endswith(x, 'ed') AND x RLIKE '{HAS_VOWEL}.*ed$' THEN concat({_cut(2)}, '{_MARK}')
+      WHEN endswith(x, 'ing') AND x RLIKE '{HAS_VOWEL}.*ing$' THEN concat({_cut(3)}, '{_MARK}')
+      ELSE x END""",
+    # 1b, repair of what is left
+    f"""CASE WHEN NOT endswith(x, '{_MARK}') THEN x
+      WHEN x RLIKE '(?:at|bl|iz){_MARK}$' THEN concat({_cut(1)}, 'e')
+      WHEN length(x) > 2 AND left(right(x, 2), 1) = left(right(x, 3), 1)
+        AND (NOT contains('aeiouy', left(right(x, 2), 1)) OR x RLIKE '[^aeiouy]yy{_MARK}$')
+        THEN CASE WHEN left(right(x, 2), 1) IN ('l', 's', 'z') THEN {_cut(1)} ELSE {_cut(2)} END
+      WHEN x RLIKE '{M_EQ_1}{_MARK}$' AND x RLIKE '{CVC}{_MARK}$' THEN concat({_cut(1)}, 'e')
+      ELSE {_cut(1)} END""",
+    # 1c
+    f"CASE WHEN endswith(x, 'y') AND x RLIKE '(?:.[^aeiouy]|[aeiou]y)y$' THEN concat({_cut(1)}, 'i') ELSE x END",
+    # 2: "alli" first, because its result goes through the step again
+    f"CASE WHEN endswith(x, 'alli') AND x RLIKE '{M_GT_0}.*alli$' THEN {_cut(2)} ELSE x END",
+    _first_rule(
+        [(s, f"{M_GT_0}.*{s}$", _swap(s, to)) for s, to in STEP_2] + [("logi", f"{M_GT_0}.*ogi$", _cut(1))]
+    ),
+    # 3
+    _first_rule([(s, f"{M_GT_0}.*{s}$", _swap(s, to)) for s, to in STEP_3]),
+    # 4
+    _first_rule(
+        [(s, f"{M_GT_1}.*{'(?<=[st])' if s == 'ion' else ''}{s}$", _cut(len(s))) for s in STEP_4]
+    ),
+    # 5
+    f"""CASE WHEN endswith(x, 'e') THEN CASE WHEN x RLIKE '{M_GT_1}.*e$' OR (x RLIKE '{M_EQ_1}e$' AND NOT x RLIKE '{CVC}e$')
+        THEN {_cut(1)} ELSE x END
+      WHEN endswith(x, 'll') AND x RLIKE '{M_GT_1}.*l$' THEN {_cut(1)} ELSE x END""",
+]
 
 
-def _step_4(x: Column) -> Column:
-    return _first_rule(
-        x, [(s, x.rlike(f"{M_GT_1}.*{'(?<=[st])' if s == 'ion' else ''}{s}$"), _cut(x, len(s))) for s in STEP_4]
-    )
+def _program() -> str:
+    body = "t"
+    for step in _STEPS:
+        body = f"transform({body}, x -> {step})"
+    odd = " ".join(f"WHEN '{word}' THEN '{stem}'" for word, stem in IRREGULAR.items())
+    listed = ", ".join(f"'{word}'" for word in IRREGULAR)
+    return f"""t -> zip_with(t, {body}, (token, stem) -> CASE WHEN length(token) <= 2 THEN token
+      WHEN token IN ({listed}) THEN CASE token {odd} END ELSE stem END)"""
 
 
-def _step_5(x: Column) -> Column:
-    return F.when(
-        x.endswith("e"),
-        F.when(x.rlike(M_GT_1 + ".*e$") | (x.rlike(M_EQ_1 + "e$") & ~x.rlike(CVC + "e$")), _cut(x, 1)).otherwise(x),
-    ).when(x.endswith("ll") & x.rlike(M_GT_1 + ".*l$"), _cut(x, 1)).otherwise(x)
+_PROGRAM = _program()
 
 
 def stems(tokens: Column) -> Column:
     """Stem of every token of an array of lower-case tokens."""
-    out = tokens
-    for step in (
-        _step_1a, _step_1b, _step_1b_repair, _step_1c, _step_2_alli, _step_2, _step_3, _step_4, _step_5,
-    ):
-        out = F.transform(out, step)
-    irregular = F.create_map(*[F.lit(v) for pair in IRREGULAR.items() for v in pair])
-    return F.zip_with(
-        tokens,
-        out,
-        lambda token, stem: F.when(F.length(token) <= 2, token)
-        .when(token.isin(*IRREGULAR), F.try_element_at(irregular, token))
-        .otherwise(stem),
-    )
+    return let_sql(tokens, _PROGRAM)

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pagemill import fixed
+from pagemill.functions.arrays import let_sql, quoted
 from pagemill.functions.porter import stems
 
 _SPECIAL = re.compile(r"([\\.\[\]{}()*+?^$|#&~\-/])")
@@ -26,35 +27,38 @@ def mask_phrases(text: Column, phrases: Sequence[str]) -> Column:
     return F.regexp_replace(text, rf"(?i)(?<![a-zA-Z0-9\-.])(?:{body})(?=\z|\W)", fixed.MASK_TEXT)
 
 
+_WORDS = f"filter(regexp_extract_all(s, {quoted(WORD)}, 0), w -> NOT contains(w, '_'))"
+
+
 def words(text: Column) -> Column:
     """Alphanumeric tokens in order, case kept. `foo_bar` vanishes; `it's` gives
     `it` and `s`."""
-    return F.filter(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda t: ~t.contains("_"))
+    return let_sql(text, f"s -> {_WORDS}")
 
 
-def _listed(token: Column, stop: Sequence[str]) -> Column:
-    return token.isin(list(stop))
+def _outside(word: str, stop: Sequence[str]) -> str:
+    return f"NOT {word} IN ({', '.join(quoted(x) for x in stop)})" if stop else "true"
 
 
 def tokens(text: Column, stop: Sequence[str] | None = None) -> Column:
     """Lower-cased alphanumeric tokens without stop words, order kept."""
     stop = [*fixed.STOP_WORDS, fixed.MASK_TOKEN] if stop is None else list(stop)
-    low = F.transform(words(text), lambda t: F.lower(t))
-    return F.filter(low, lambda t: ~_listed(t, stop)) if stop else low
+    return let_sql(text, f"s -> filter(transform({_WORDS}, w -> lower(w)), w -> {_outside('w', stop)})")
 
 
 def model_words(text: Column, stop: Sequence[str] | None = None) -> Column:
     """Tokens of the relevance model before stemming: longer than two letters,
     stop list tested before lower-casing."""
     stop = [*fixed.STOP_WORDS, *fixed.MODEL_STOP_WORDS] if stop is None else list(stop)
-    kept = F.filter(words(text), lambda t: (F.length(t) > 2) & ~_listed(t, stop))
-    return F.transform(kept, lambda t: F.lower(t))
+    return let_sql(
+        text, f"s -> transform(filter({_WORDS}, w -> length(w) > 2 AND {_outside('w', stop)}), w -> lower(w))"
+    )
 
 
 def model_tokens(text: Column, stop: Sequence[str] | None = None) -> Column:
     """Stemmed model tokens; a stem that is a stop word is dropped as well."""
     stop = [*fixed.STOP_WORDS, *fixed.MODEL_STOP_WORDS] if stop is None else list(stop)
-    return F.filter(stems(model_words(text, stop)), lambda t: ~_listed(t, stop))
+    return let_sql(stems(model_words(text, stop)), f"t -> filter(t, w -> {_outside('w', stop)})")
 
 
 def is_alnum(token: Column) -> Column:
