@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from pagemill.functions.arrays import runs
 from pagemill.session import BROADCAST_ROWS, fits
@@ -34,19 +36,23 @@ def phrase_candidates(tokens: Column, max_words: int = MAX_WORDS) -> Column:
     return F.concat(*[_grams(tokens, n) for n in range(1, max_words + 1)])
 
 
+def _entries(gazetteer: DataFrame) -> DataFrame:
+    return gazetteer.groupBy(F.lower("phrase").alias("phrase")).agg(F.min("type").alias("type"))
+
+
 def match_phrases(
     df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, max_words: int = MAX_WORDS,
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Gazetteer hits (id, start, words, type). The gazetteer is broadcast when
-    its size allows; otherwise an equi-join on the phrase."""
-    entries = gazetteer.groupBy(F.lower("phrase").alias("phrase")).agg(F.min("type").alias("type"))
+    """Gazetteer hits (id, start, words, phrase, type). The gazetteer is broadcast
+    when its size allows; otherwise an equi-join on the phrase."""
+    entries = _entries(gazetteer)
     if fits(entries, limit):
         entries = F.broadcast(entries)
     grams = df.select(id_col, F.explode(phrase_candidates(F.col(tokens_col), max_words)).alias("g")).select(
         id_col, "g.*"
     )
-    return grams.join(entries, "phrase").select(id_col, "start", "words", "type")
+    return grams.join(entries, "phrase").select(id_col, "start", "words", "phrase", "type")
 
 
 def tag_tokens(hits: DataFrame, id_col: str) -> DataFrame:
@@ -61,14 +67,39 @@ def tag_tokens(hits: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+def _row_tags(tokens, types: dict[str, str], max_words: int) -> list[str]:
+    """Tags of one token array, by the rule of `tag_tokens`."""
+    low = [t.lower() for t in tokens]
+    best: list[tuple | None] = [None] * len(low)
+    for start in range(len(low)):
+        for n in range(1, min(max_words, len(low) - start) + 1):
+            kind = types.get(" ".join(low[start:start + n]))
+            if kind is not None:
+                rank = (n, -start, kind)
+                for at in range(start, start + n):
+                    if best[at] is None or rank > best[at]:
+                        best[at] = rank
+    return ["O" if b is None else b[2] for b in best]
+
+
 def tag_arrays(df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, out: str = "tags",
-               limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Add one tag per token (`O` outside entities). Only the hits are shuffled."""
-    tags = tag_tokens(match_phrases(df, id_col, tokens_col, gazetteer, limit=limit), id_col)
-    # map_from_entries over one document's own hits; looked up by position.
-    per_row = tags.groupBy(id_col).agg(
-        F.array_sort(F.collect_list(F.struct("pos", "tag"))).alias("_hits")
-    )
+               limit: int = BROADCAST_ROWS, max_words: int = MAX_WORDS) -> DataFrame:
+    """Add one tag per token (`O` outside entities). With a gazetteer of at most
+    `limit` phrases the rows stay in place; with a larger one only the hits are
+    shuffled, then joined back by `id_col`, which must be unique."""
+    entries = _entries(gazetteer)
+    if fits(entries, limit):
+        held = df.sparkSession.sparkContext.broadcast({r["phrase"]: r["type"] for r in entries.toLocalIterator()})
+
+        @F.pandas_udf(ArrayType(StringType()))
+        def tag(column: pd.Series) -> pd.Series:
+            types = held.value
+            return column.map(lambda t: None if t is None else _row_tags(t, types, max_words))
+
+        return df.withColumn(out, tag(F.col(tokens_col)))
+    tags = tag_tokens(match_phrases(df, id_col, tokens_col, gazetteer, max_words, limit), id_col)
+    # One document's own hits, in order.
+    per_row = tags.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "tag"))).alias("_hits"))
     tokens = F.col(tokens_col)
     filled = F.when(tokens.isNull(), F.lit(None)).when(
         F.col("_hits").isNull(), F.transform(tokens, lambda t: F.lit("O"))

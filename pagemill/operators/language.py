@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
-from pagemill.functions.arrays import term_counts
+from pagemill.functions.arrays import let_sql, quoted, term_counts
 from pagemill.functions.text import words
 from pagemill.session import BROADCAST_ROWS, fits
 
 MAX_GRAM = 3
 SMOOTHING = 0.5
 MAX_LANGUAGES = 500
+WORD_MEMORY = 200_000
 
 
 def word_grams(word: Column, max_gram: int = MAX_GRAM) -> Column:
@@ -75,14 +80,41 @@ def train_profiles(docs: DataFrame, label: str = "lang", text: str = "text", smo
     return LanguageProfiles(table, languages, [math.log(smoothing / d) for d in denominators])
 
 
-def language_scores(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "doc_id", text: str = "text",
-                    limit: int = BROADCAST_ROWS) -> DataFrame:
-    """(id, n_grams, scores array): summed log probabilities per language."""
-    table = F.broadcast(profiles.table) if fits(profiles.table, limit) else profiles.table
+def _row_scores(docs: DataFrame, profiles: LanguageProfiles, text: str) -> DataFrame:
+    """Scores inside the row; each worker remembers the words it has scored."""
+    table = {r["gram"]: list(r["logp"]) for r in profiles.table.toLocalIterator()}
+    held = docs.sparkSession.sparkContext.broadcast((table, list(profiles.unseen)))
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grams, unseen = held.value
+        known: dict[str, np.ndarray] = {}
+
+        def one(word: str) -> np.ndarray:
+            found = known.get(word)
+            if found is None:
+                padded = f" {word} "
+                cut = [padded[i:i + n] for n in range(1, MAX_GRAM + 1) for i in range(len(padded) - n + 1)]
+                found = np.sum([grams.get(g, unseen) for g in cut], axis=0)
+                if len(known) < WORD_MEMORY:
+                    known[word] = found
+            return found
+
+        for column in batches:
+            yield column.map(lambda ws: None if ws is None or len(ws) == 0 else np.sum([one(w) for w in ws], axis=0))
+
+    low = F.transform(words(F.col(text)), lambda w: F.lower(w))
+    return docs.withColumn("_scores", score(low))
+
+
+def language_scores(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_grams, scores array) by a join with the profiles: summed log
+    probabilities per language, for profiles of any size. Grams are counted in
+    the row, so one row per document and task is shuffled."""
     grams = docs.select(id_col, F.explode(term_counts(text_grams(F.col(text)))).alias("c")).select(
         id_col, F.col("c.term").alias("gram"), F.col("c.tf").alias("tf")
     )
-    joined = grams.join(table, "gram", "left")
+    joined = grams.join(profiles.table, "gram", "left")
     sums = [
         F.sum(F.col("tf") * F.coalesce(F.get(F.col("logp"), F.lit(i)), F.lit(u))).alias(f"_{i}")
         for i, u in enumerate(profiles.unseen)
@@ -95,30 +127,22 @@ def language_scores(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "
 def detect_language(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "doc_id", text: str = "text",
                     min_probability: float = 0.1, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Add `languages`, array<struct<prob, lang>> with the likeliest first, for
-    every document; empty when the text has no words."""
-    scored = language_scores(docs, profiles, id_col, text, limit)
-    names = F.array(*[F.lit(x) for x in profiles.languages])
-    best = F.array_max("scores")
-    weights = F.transform("scores", lambda s: F.exp(s - F.col("_best")))
-    ranked = (
-        scored.withColumn("_best", best)
-        .withColumn("_w", weights)
-        .withColumn("_sum", F.aggregate("_w", F.lit(0.0), lambda a, x: a + x))
-        .select(
-            id_col,
-            F.filter(
-                F.sort_array(
-                    F.zip_with(
-                        F.col("_w"), names, lambda w, n: F.struct((w / F.col("_sum")).alias("prob"), n.alias("lang"))
-                    ),
-                    asc=False,
-                ),
-                lambda s: s["prob"] >= min_probability,
-            ).alias("languages"),
-        )
+    every document; empty when the text has no words. With profiles of at most
+    `limit` grams the rows stay in place, otherwise the scores come from a join."""
+    if fits(profiles.table, limit):
+        scored = _row_scores(docs, profiles, text)
+    else:
+        side = language_scores(docs, profiles, id_col, text).select(id_col, F.col("scores").alias("_scores"))
+        scored = docs.join(side, id_col, "left")
+    names = "array(" + ", ".join(quoted(x) for x in profiles.languages) + ")"
+    ranked = let_sql(
+        F.col("_scores"),
+        f"""s -> get(transform(array(transform(s, x -> exp(x - array_max(s)))),
+          w -> filter(sort_array(zip_with(w, {names}, (v, n) -> named_struct('prob', v / aggregate(w, 0D, (a, x) -> a + x), 'lang', n)), false),
+            p -> p.prob >= {min_probability!r}D)), 0)""",
     )
     empty = F.expr("cast(array() as array<struct<prob:double,lang:string>>)")
-    return docs.join(ranked, id_col, "left").withColumn("languages", F.coalesce("languages", empty))
+    return scored.withColumn("languages", F.coalesce(ranked, empty)).drop("_scores")
 
 
 def language_codes(languages: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.operators.ordering import positions
-from pagemill.session import BROADCAST_ROWS, fits
+from pagemill.session import BROADCAST_ROWS, fits, settle
 
 IDS_PER_ROW = 100_000
 
@@ -35,7 +35,7 @@ def tweets_by_url(tweets: DataFrame, seq: str = "seq", ids_per_row: int = IDS_PE
     """One row per URL with its tweet ids in file order and the collection of its
     first row. A URL with more than `ids_per_row` tweets continues on further rows
     (`chunk` 1, 2, ...), so no row and no task has to hold a hot URL whole."""
-    info = first_collection(tweets, seq)
+    info = settle(first_collection(tweets, seq), "tweet-urls")
     hot = info.filter(F.col("n_tweets") > ids_per_row).select("url")
     if fits(hot, 0):
         lists = _gather(tweets, ["url"], seq).select("url", F.lit(0).cast("bigint").alias("chunk"), "tweet_ids")

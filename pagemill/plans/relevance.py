@@ -128,21 +128,16 @@ def location_mentions(docs: DataFrame, gazetteer: DataFrame, id_col: str = "doc_
     units = docs.select(id_col, F.posexplode(sentences(F.col(text_col))).alias("_s", "_sentence"))
     units = units.select(F.struct(id_col, "_s").alias("_unit"), words(F.col("_sentence")).alias("_words"))
     hits = match_phrases(units, "_unit", "_words", gazetteer.filter(F.col("type") == "LOCATION"), limit=limit)
-    # Keep a hit when no longer one (or an earlier one of the same length) shares a token with it.
-    spans = hits.groupBy("_unit").agg(F.collect_list(F.struct("start", "words")).alias("_all"))
-    kept = hits.join(spans, "_unit").filter(
-        ~F.exists(
-            "_all",
-            lambda o: (o["start"] < F.col("start") + F.col("words"))
-            & (F.col("start") < o["start"] + o["words"])
-            & ((o["words"] > F.col("words")) | ((o["words"] == F.col("words")) & (o["start"] < F.col("start")))),
-        )
+    # Only hits are shuffled; a group is one sentence. A hit stays when no longer
+    # one (or an earlier one of the same length) shares a token with it.
+    grouped = hits.groupBy("_unit").agg(F.collect_list(F.struct("start", "words", "phrase")).alias("_all"))
+    kept = F.expr(
+        """filter(_all, h -> NOT exists(_all, o -> o.start < h.start + h.words AND h.start < o.start + o.words
+             AND (o.words > h.words OR (o.words = h.words AND o.start < h.start))))"""
     )
-    named = units.join(kept, "_unit").select(
-        F.col(f"_unit.{id_col}").alias(id_col),
-        F.lower(F.array_join(F.slice("_words", F.col("start") + 1, F.col("words")), " ")).alias("entity"),
+    return grouped.select(F.col(f"_unit.{id_col}").alias(id_col), F.explode(kept).alias("h")).select(
+        id_col, F.col("h.phrase").alias("entity")
     )
-    return named
 
 
 def with_locations(docs: DataFrame, mentions: DataFrame, id_col: str = "doc_id") -> DataFrame:
