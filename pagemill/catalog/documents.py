@@ -19,7 +19,7 @@ from pagemill.operators import lookup as lk
 from pagemill.operators import terms as tm
 from pagemill.plans import relevance as rv
 from pagemill.plans.frontier import page_links
-from pagemill.session import spread
+from pagemill.session import settle, spread
 
 CTL = "chr(10) || chr(13) || chr(9)"
 
@@ -229,7 +229,7 @@ cosines AS (SELECT doc_id, coalesce(dot / (norm * (SELECT sqrt(sum(weight * weig
 
 @query("mth1_cosine", f"WITH {COSINE_CTE} SELECT doc_id, round(cosine, 9) AS cosine FROM cosines")
 def mth1(spark, sf):
-    docs = model_docs(spark, sf)
+    docs = settle(model_docs(spark, sf).select("doc_id", "tokens"), "model-docs")
     counted = docs.withColumn("terms", term_counts(F.col("tokens")))
     # literal_terms=0: the join form, for models of any size.
     out = rv.cosine_to_model(counted, "doc_id", "terms", rv.build_topic_model(docs), "cosine", literal_terms=0)
@@ -240,8 +240,8 @@ def mth1(spark, sf):
     "mth2_cosine_coverage", f"WITH {COSINE_CTE} SELECT doc_id, round(cosine * matched / 10, 9) AS score FROM cosines"
 )
 def mth2(spark, sf):
-    docs = model_docs(spark, sf)
-    model = rv.build_topic_model(docs)
+    docs = settle(model_docs(spark, sf).select("doc_id", "tokens"), "model-docs")
+    model = settle(rv.build_topic_model(docs), "model")
     size = model.count()
     counted = docs.withColumn("terms", term_counts(F.col("tokens")))
     scored = rv.cosine_to_model(counted, "doc_id", "terms", model, "cosine")
@@ -252,7 +252,7 @@ def mth2(spark, sf):
 
 @query("mth4_topic_page_score", f"WITH {COSINE_CTE} SELECT doc_id, round(cosine, 9) AS score FROM cosines")
 def mth4(spark, sf):
-    docs = model_docs(spark, sf)
+    docs = settle(model_docs(spark, sf).select("doc_id", "tokens"), "model-docs")
     scorer = rv.TopicScorer(rv.build_topic_model(docs))
     out = scorer.page_scores(docs.withColumn("terms", term_counts(F.col("tokens"))), "doc_id")
     return out.select("doc_id", F.round("score", 9).alias("score"))

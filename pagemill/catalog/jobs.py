@@ -22,6 +22,7 @@ from pagemill.plans import clean as cl
 from pagemill.plans import evaluate as ev
 from pagemill.plans import frontier as fr
 from pagemill.plans import relevance as rv
+from pagemill.session import settle
 
 CTL = "chr(10) || chr(13) || chr(9)"
 
@@ -227,9 +228,11 @@ def job5(spark, sf):
       WHEN days >= 30 THEN 0.0 ELSE 0.4 * topic + 0.2 * location + 0.4 END, 9) AS score FROM s""",
 )
 def job6_pages(spark, sf):
-    docs = event_docs(spark, sf)
-    model = rv.build_event_model(docs, places(spark))
-    ready = rv.with_locations(docs, rv.location_mentions(docs, places(spark))).withColumn("terms", term_counts(F.col("tokens")))
+    # Stems and mentions serve the model and the scores: made once.
+    docs = settle(event_docs(spark, sf).select("doc_id", "text", "tokens", "pub_date"), "event-docs")
+    mentions = settle(rv.location_mentions(docs, places(spark)), "mentions")
+    model = rv.build_event_model(docs, places(spark), mentions=mentions)
+    ready = rv.with_locations(docs.drop("text"), mentions).withColumn("terms", term_counts(F.col("tokens")))
     return rv.EventScorer(model).page_scores(ready, "doc_id").select("doc_id", F.round("score", 9).alias("score"))
 
 

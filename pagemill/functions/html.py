@@ -83,10 +83,15 @@ _NODES = f"""h -> get(transform(array(split(h, {quoted(r"(?i)</head\s*>")}, 2)),
       ELSE filter(split(h, {quoted(TAG)}), x -> x <> '') END), 0)"""
 
 
+def visible_of(stripped: Column) -> Column:
+    """Visible text of a page that went through `strip_hidden`."""
+    return decode_entities(F.array_join(let_sql(stripped, _NODES), "\n"))
+
+
 def visible_text(html: Column, hide_iframe: bool = True, drop_comments: bool = True) -> Column:
     """Visible text nodes joined by newlines. Text directly under <head> is
     dropped; the <title> text stays."""
-    return decode_entities(F.array_join(let_sql(strip_hidden(html, hide_iframe, drop_comments), _NODES), "\n"))
+    return visible_of(strip_hidden(html, hide_iframe, drop_comments))
 
 
 def title(html: Column) -> Column:
@@ -128,9 +133,14 @@ _LINKS = f"""v -> transform(slice(v, 2, size(v)), (p, n) -> get(transform(array(
       'href', get(transform(array({attribute_sql('g', 'href')}), s -> {DECODE_SQL}), 0))), 0))"""
 
 
+def links_of(stripped: Column) -> Column:
+    """Links of a page that went through `strip_hidden`."""
+    return let_sql(F.split(stripped, r"(?i)<a(?=[\s>/])"), _LINKS)
+
+
 def links(html: Column) -> Column:
     """Anchors in document order as array<struct<pos, anchor, href>>."""
-    return let_sql(F.split(strip_hidden(html, hide_iframe=False), r"(?i)<a(?=[\s>/])"), _LINKS)
+    return links_of(strip_hidden(html))
 
 
 def sub_urls(page_links: Column, pattern: str) -> Column:

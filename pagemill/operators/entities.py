@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from pagemill.functions.arrays import runs
-from pagemill.session import BROADCAST_ROWS, fits
+from pagemill.session import BROADCAST_ROWS, fits, settle
 
 MAX_WORDS = 4
 
@@ -37,7 +37,10 @@ def phrase_candidates(tokens: Column, max_words: int = MAX_WORDS) -> Column:
 
 
 def _entries(gazetteer: DataFrame) -> DataFrame:
-    return gazetteer.groupBy(F.lower("phrase").alias("phrase")).agg(F.min("type").alias("type"))
+    # Written once: its size is checked before it is used.
+    return settle(
+        gazetteer.groupBy(F.lower("phrase").alias("phrase")).agg(F.min("type").alias("type")), "gazetteer"
+    )
 
 
 def match_phrases(

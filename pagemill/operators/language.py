@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,12 +13,12 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from pagemill.functions.arrays import let_sql, quoted, term_counts
 from pagemill.functions.text import words
-from pagemill.session import BROADCAST_ROWS, fits
+from pagemill.session import BROADCAST_ROWS, fits, settle
 
 MAX_GRAM = 3
 SMOOTHING = 0.5
 MAX_LANGUAGES = 500
-WORD_MEMORY = 200_000
+WORDS_AT_ONCE = 200_000
 
 
 def word_grams(word: Column, max_gram: int = MAX_GRAM) -> Column:
@@ -59,8 +59,6 @@ def gram_counts(docs: DataFrame, label: str = "lang", text: str = "text", max_gr
 
 def train_profiles(docs: DataFrame, label: str = "lang", text: str = "text", smoothing: float = SMOOTHING) -> LanguageProfiles:
     """Gram log probabilities per language with additive smoothing."""
-    from pagemill.session import settle
-
     counts = settle(gram_counts(docs, label, text), "grams")
     totals = counts.groupBy(label).agg(F.sum("n").alias("n")).orderBy(label).limit(MAX_LANGUAGES + 1).collect()
     if len(totals) > MAX_LANGUAGES:
@@ -71,56 +69,99 @@ def train_profiles(docs: DataFrame, label: str = "lang", text: str = "text", smo
     wide = counts.groupBy("gram").agg(
         *[F.sum(F.when(F.col(label) == lang, F.col("n")).otherwise(0)).alias(f"_{i}") for i, lang in enumerate(languages)]
     )
-    table = wide.select(
-        "gram",
-        F.array(*[F.log((F.col(f"_{i}") + smoothing) / d) for i, d in enumerate(denominators)]).alias("logp"),
+    table = settle(
+        wide.select(
+            "gram",
+            F.array(*[F.log((F.col(f"_{i}") + smoothing) / d) for i, d in enumerate(denominators)]).alias("logp"),
+        ),
+        "profiles",
     )
-    import math
 
     return LanguageProfiles(table, languages, [math.log(smoothing / d) for d in denominators])
 
 
+def _sum_rows(matrix: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of consecutive row groups; empty groups give zero."""
+    out = np.zeros((len(lengths), matrix.shape[1]))
+    full = np.flatnonzero(lengths)
+    if len(full):
+        out[full] = np.add.reduceat(matrix, (np.cumsum(lengths) - lengths)[full], axis=0)
+    return out
+
+
+def _score_words(docs: list, grams: dict, unseen: list[float]) -> np.ndarray:
+    """Score matrix of some word lists: every distinct word is cut once, every
+    distinct gram is looked up once."""
+    lengths = np.array([len(d) for d in docs])
+    flat = np.concatenate([np.asarray(d, dtype=object) for d in docs]) if lengths.sum() else np.array([], dtype=object)
+    if not len(flat):
+        return np.zeros((len(docs), len(unseen)))
+    codes, distinct = pd.factorize(flat)
+    cut, sizes = [], []
+    for word in distinct:
+        padded = f" {word} "
+        found = [padded[i:i + n] for n in range(1, MAX_GRAM + 1) for i in range(len(padded) - n + 1)]
+        cut += found
+        sizes.append(len(found))
+    gram_codes, gram_names = pd.factorize(np.array(cut, dtype=object))
+    looked_up = np.array([grams.get(g, unseen) for g in gram_names])
+    per_word = _sum_rows(looked_up[gram_codes], np.array(sizes))
+    return _sum_rows(per_word[codes], lengths)
+
+
 def _row_scores(docs: DataFrame, profiles: LanguageProfiles, text: str) -> DataFrame:
-    """Scores inside the row; each worker remembers the words it has scored."""
+    """Scores inside the row, a bounded number of words at a time."""
     table = {r["gram"]: list(r["logp"]) for r in profiles.table.toLocalIterator()}
     held = docs.sparkSession.sparkContext.broadcast((table, list(profiles.unseen)))
 
     @F.pandas_udf(ArrayType(DoubleType()))
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def score(column: pd.Series) -> pd.Series:
         grams, unseen = held.value
-        known: dict[str, np.ndarray] = {}
-
-        def one(word: str) -> np.ndarray:
-            found = known.get(word)
-            if found is None:
-                padded = f" {word} "
-                cut = [padded[i:i + n] for n in range(1, MAX_GRAM + 1) for i in range(len(padded) - n + 1)]
-                found = np.sum([grams.get(g, unseen) for g in cut], axis=0)
-                if len(known) < WORD_MEMORY:
-                    known[word] = found
-            return found
-
-        for column in batches:
-            yield column.map(lambda ws: None if ws is None or len(ws) == 0 else np.sum([one(w) for w in ws], axis=0))
+        out: list = [None] * len(column)
+        waiting: list[int] = []
+        held_words = 0
+
+        def flush() -> None:
+            nonlocal waiting, held_words
+            if waiting:
+                for at, row in zip(waiting, _score_words([column.iloc[i] for i in waiting], grams, unseen)):
+                    out[at] = row
+            waiting, held_words = [], 0
+
+        for i, ws in enumerate(column):
+            if ws is not None and len(ws):
+                waiting.append(i)
+                held_words += len(ws)
+                if held_words >= WORDS_AT_ONCE:
+                    flush()
+        flush()
+        return pd.Series(out, dtype=object)
 
     low = F.transform(words(F.col(text)), lambda w: F.lower(w))
     return docs.withColumn("_scores", score(low))
 
 
 def language_scores(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_grams, scores array) by a join with the profiles: summed log
-    probabilities per language, for profiles of any size. Grams are counted in
-    the row, so one row per document and task is shuffled."""
-    grams = docs.select(id_col, F.explode(term_counts(text_grams(F.col(text)))).alias("c")).select(
-        id_col, F.col("c.term").alias("gram"), F.col("c.tf").alias("tf")
+    """(id, n_grams, scores array) by joins, for profiles of any size: summed log
+    probabilities per language. Each distinct word meets the profiles once; its
+    scores then join the word counts of the documents."""
+    low = F.transform(words(F.col(text)), lambda w: F.lower(w))
+    word_rows = docs.select(id_col, F.explode(term_counts(low)).alias("c")).select(
+        id_col, F.col("c.term").alias("word"), F.col("c.tf").alias("tf")
+    )
+    grams = word_rows.select("word").distinct().select("word", F.explode(term_counts(word_grams(F.col("word")))).alias("g"))
+    found = grams.select("word", F.col("g.term").alias("gram"), F.col("g.tf").alias("k")).join(profiles.table, "gram", "left")
+    n = len(profiles.unseen)
+    per_word = found.groupBy("word").agg(
+        F.sum("k").alias("grams"),
+        *[
+            F.sum(F.col("k") * F.coalesce(F.get(F.col("logp"), F.lit(i)), F.lit(u))).alias(f"_{i}")
+            for i, u in enumerate(profiles.unseen)
+        ],
     )
-    joined = grams.join(profiles.table, "gram", "left")
-    sums = [
-        F.sum(F.col("tf") * F.coalesce(F.get(F.col("logp"), F.lit(i)), F.lit(u))).alias(f"_{i}")
-        for i, u in enumerate(profiles.unseen)
-    ]
-    return joined.groupBy(id_col).agg(F.sum("tf").alias("n_grams"), *sums).select(
-        id_col, "n_grams", F.array(*[F.col(f"_{i}") for i in range(len(profiles.unseen))]).alias("scores")
+    sums = [F.sum(F.col("tf") * F.col(f"_{i}")) for i in range(n)]
+    return word_rows.join(per_word, "word").groupBy(id_col).agg(
+        F.sum(F.col("tf") * F.col("grams")).alias("n_grams"), F.array(*sums).alias("scores")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from pagemill.session import BROADCAST_ROWS, fits
+from pagemill.session import BROADCAST_ROWS, fits, settle
 
 # Tags by ending for words outside the lexicon, first match decides.
 SUFFIX_TAGS = [
@@ -29,7 +29,7 @@ def lookup_tokens(
     order kept. A table of at most `limit` rows goes to the tasks as a broadcast
     dictionary and no row moves. A larger one is joined by token and the arrays
     are rebuilt per `id_col`, which must be unique."""
-    unique = _one_per_key(table, key, value)
+    unique = settle(_one_per_key(table, key, value), "lookup")
     if fits(unique, limit):
         spark = df.sparkSession
         held = spark.sparkContext.broadcast({r["_key"]: r["_value"] for r in unique.toLocalIterator()})

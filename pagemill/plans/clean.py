@@ -60,17 +60,22 @@ def extract_pages(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataF
     code = fetch_status(
         F.col("url"), F.col("status"), F.col("content_type"), F.col("error"), o.check_type, o.ok_code
     )
-    page = F.col("_page")
-    visible = (
-        hx.parsed_visible_text(page) if o.engine == "parser" else hx.visible_text(page, o.hide_iframe, o.drop_comments)
-    )
+    page, bare = F.col("_page"), F.col("_bare")
+    # Comments that stay visible must not add links or title text of their own.
+    if o.engine == "parser":
+        visible = hx.parsed_visible_text(page)
+    elif o.drop_comments and o.hide_iframe:
+        visible = hx.visible_of(bare)
+    else:
+        visible = hx.visible_text(page, o.hide_iframe, o.drop_comments)
     parsed = (
         spread(fetches)
         .withColumn("_code", code)
         .withColumn("_page", F.when(is_valid(F.col("_code")), F.col("html")))
+        .withColumn("_bare", hx.strip_hidden(page))
         .select(
             "*", hx.title(page).alias("title"), visible.alias("_visible"), mx.meta_tags(page).alias("_tags"),
-            hx.links(page).alias("links"),
+            hx.links_of(bare).alias("links"),
         )
     )
     texts = parsed.withColumn("clean_text", hx.clean_text(F.col("title"), F.col("_visible")))

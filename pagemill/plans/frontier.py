@@ -31,7 +31,8 @@ class CrawlOptions:
     url_threshold: float = fixed.URL_THRESHOLD
     restricted: bool = False
     combine_method: int = 1
-    buckets: int = 64
+    # URL buckets of the stored tables; by default one per shuffle partition.
+    buckets: int | None = None
     max_rounds: int | None = None
 
 
@@ -126,14 +127,17 @@ def focused_expand(seeds: DataFrame, pages: DataFrame, links: DataFrame, o: Craw
     score means the page cannot be had) and `links` (src_url, dst_url,
     link_score)."""
     spark = seeds.sparkSession
-    stored = settle(
-        pages.filter(F.col("score").isNotNull() & (F.col("score") != -1)).select("url", "score")
-        .withColumn("bucket", _bucket("url", o.buckets)), "crawl-pages", ["bucket"],
-    )
-    out_links = settle(
-        links.select("src_url", "dst_url", "link_score").withColumn("bucket", _bucket("src_url", o.buckets)),
-        "crawl-links", ["bucket"],
+    n_buckets = o.buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def bucketed(df: DataFrame, url: str, name: str) -> DataFrame:
+        # Rebalancing gathers small buckets into few files and splits a hot one.
+        rows = df.withColumn("bucket", _bucket(url, n_buckets)).hint("rebalance", F.col("bucket"))
+        return settle(rows, name, ["bucket"])
+
+    stored = bucketed(
+        pages.filter(F.col("score").isNotNull() & (F.col("score") != -1)).select("url", "score"), "url", "crawl-pages"
     )
+    out_links = bucketed(links.select("src_url", "dst_url", "link_score"), "src_url", "crawl-links")
     root = scratch_path(spark, "crawl-state")
     spots = {n: f"{root}/{n}" for n in ("visited", "scored", "frontier")}
 
@@ -151,7 +155,7 @@ def focused_expand(seeds: DataFrame, pages: DataFrame, links: DataFrame, o: Craw
         rounds += 1
         batch = settle(
             pop_best(state("frontier", FRONTIER), state("visited", "url string"), o.batch)
-            .withColumn("bucket", _bucket("url", o.buckets)), "batch",
+            .withColumn("bucket", _bucket("url", n_buckets)), "batch",
         )
         buckets = [r["bucket"] for r in batch.select("bucket").distinct().collect()]
         if not buckets:

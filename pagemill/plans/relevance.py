@@ -53,6 +53,7 @@ def cosine_to_model(df: DataFrame, id_col: str, counts_col: str, model: DataFram
                     literal_terms: int = LITERAL_TERMS) -> DataFrame:
     """Add the cosine of each row's term counts with a (term, weight) model. Rows
     stay where they are while the model is small; a larger one is joined by term."""
+    model = settle(model.select("term", "weight"), "cosine-model")
     rows = model.select("term", "weight").limit(literal_terms + 1).collect()
     if len(rows) <= literal_terms:
         weights = {r["term"]: float(r["weight"]) for r in rows}
@@ -95,7 +96,7 @@ class TopicScorer:
     """Base mode: cosine with the topic centroid."""
 
     def __init__(self, model: DataFrame):
-        self.model = model
+        self.model = settle(model.select("term", "weight"), "topic")
 
     def page_scores(self, pages: DataFrame, id_col: str = "url") -> DataFrame:
         return cosine_to_model(pages, id_col, "terms", self.model, "score")
@@ -180,9 +181,13 @@ def location_token_weights(weights: DataFrame, stop=None) -> DataFrame:
 
 
 def build_event_model(docs: DataFrame, gazetteer: DataFrame, k: int = fixed.VOCABULARY_SIZE,
-                      min_count: int = fixed.MIN_LOCATION_COUNT, id_col: str = "doc_id") -> EventModel:
-    """Model of seed documents (id, text, tokens, pub_date)."""
-    locations = settle(location_weights(location_mentions(docs, gazetteer, id_col), min_count), "location-weights")
+                      min_count: int = fixed.MIN_LOCATION_COUNT, id_col: str = "doc_id",
+                      mentions: DataFrame | None = None) -> EventModel:
+    """Model of seed documents (id, text, tokens, pub_date). Location mentions
+    that are already at hand may be passed in."""
+    if mentions is None:
+        mentions = location_mentions(docs, gazetteer, id_col)
+    locations = settle(location_weights(mentions, min_count), "location-weights")
     return EventModel(
         topic=settle(build_topic_model(docs, k), "topic"),
         locations=locations,
