@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagemill import fixed
 from pagemill.functions.arrays import max_tf, term_counts
-from pagemill.session import BROADCAST_ROWS, fits
+from pagemill.session import BROADCAST_ROWS, fits, settle
 
 
 def exploded_tokens(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
@@ -49,13 +49,13 @@ def top_terms(vocab: DataFrame, k: int = fixed.VOCABULARY_SIZE) -> DataFrame:
 
 def remove_stop_tokens(tokens: DataFrame, stop: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Anti join of exploded tokens with a stop table (token)."""
-    words = stop.select("token").distinct()
+    words = settle(stop.select("token").distinct(), "stop")
     return tokens.join(F.broadcast(words) if fits(words, limit) else words, "token", "left_anti")
 
 
 def restrict_terms(terms: DataFrame, vocab: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Semi join of term rows with a vocabulary."""
-    words = vocab.select("term").distinct()
+    words = settle(vocab.select("term").distinct(), "vocabulary")
     return terms.join(F.broadcast(words) if fits(words, limit) else words, "term", "left_semi")
 
 
@@ -68,7 +68,7 @@ def vector_norms(vectors: DataFrame, id_col: str = "doc_id", weight: str = "weig
 def dot_products(vectors: DataFrame, model: DataFrame, id_col: str = "doc_id", weight: str = "weight",
                  limit: int = BROADCAST_ROWS) -> DataFrame:
     """(id, dot, matched) of every vector that shares a term with the model."""
-    side = model.select("term", F.col("weight").alias("_w"))
+    side = settle(model.select("term", F.col("weight").alias("_w")), "weights")
     side = F.broadcast(side) if fits(side, limit) else side
     return vectors.join(side, "term").groupBy(id_col).agg(
         F.sum(F.col(weight).cast("double") * F.col("_w")).alias("dot"), F.count("*").alias("matched")

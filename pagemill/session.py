@@ -57,8 +57,10 @@ def settle(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
 
 
 def fits(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `limit` rows. Reads at most `limit + 1`."""
-    return df.limit(limit + 1).count() <= limit
+    """True when `df` has at most `limit` rows. A plain parallel count: a row
+    limit would pull its rows through one task. Callers pass written tables,
+    where the count comes from file footers."""
+    return df.count() <= limit
 
 
 def spread(df: DataFrame) -> DataFrame:

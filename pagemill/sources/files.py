@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill import schemas
+from pagemill.session import fits
 
 
 def _line(value):
@@ -66,7 +67,8 @@ def collections_table(spark: SparkSession, ids: Mapping[str, str]) -> DataFrame:
 
 def with_collection_id(df: DataFrame, collections: DataFrame, name: str = "collection_name") -> DataFrame:
     """Add collection_id by name; an unknown name gives null."""
-    return df.join(collections.select(F.col("collection_name").alias(name), "collection_id"), name, "left")
+    side = collections.select(F.col("collection_name").alias(name), "collection_id")
+    return df.join(F.broadcast(side) if fits(side) else side, name, "left")
 
 
 def select_columns(table: DataFrame, names: list[str]) -> DataFrame:
