@@ -7,10 +7,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from pagemill.functions.arrays import runs
+from pagemill.functions.arrays import let_sql, quoted, runs
 from pagemill.session import BROADCAST_ROWS, fits, settle
 
 MAX_WORDS = 4
+# A gazetteer of at most this many phrases is held as a literal inside the plan.
+LITERAL_PHRASES = 5_000
 
 # Date expressions counted as DATE entities.
 DATE_ENTITY_PATTERN = (
@@ -36,6 +38,27 @@ def phrase_candidates(tokens: Column, max_words: int = MAX_WORDS) -> Column:
     return F.concat(*[_grams(tokens, n) for n in range(1, max_words + 1)])
 
 
+def _listed_grams(tokens: Column, phrases: list[str], max_words: int) -> Column:
+    """The n-grams that are listed phrases. N-grams are built only where a token
+    is the first word of a phrase."""
+    if not phrases:
+        phrases = [""]
+    firsts = ", ".join(sorted({quoted(p.split(" ")[0]) for p in phrases}))
+    grams = ", ".join(
+        f"named_struct('start', i, 'words', {n}, 'phrase', lower(concat_ws(' ', "
+        + ", ".join(f"get(t, i + {k})" for k in range(n)) + ")))"
+        for n in range(1, max_words + 1)
+    )
+    return let_sql(
+        tokens,
+        f"""t -> CASE WHEN size(t) > 0 THEN filter(flatten(transform(
+              filter(sequence(0, size(t) - 1), i -> lower(get(t, i)) IN ({firsts})),
+              i -> filter(array({grams}), g -> g.start + g.words <= size(t)))),
+            g -> g.phrase IN ({', '.join(quoted(p) for p in phrases)}))
+          ELSE cast(array() AS array<struct<start:int,words:int,phrase:string>>) END""",
+    )
+
+
 def _entries(gazetteer: DataFrame) -> DataFrame:
     # Written once: its size is checked before it is used.
     return settle(
@@ -48,11 +71,16 @@ def match_phrases(
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Gazetteer hits (id, start, words, phrase, type). The gazetteer is broadcast
-    when its size allows; otherwise an equi-join on the phrase."""
+    when its size allows; otherwise an equi-join on the phrase. A short one also
+    filters the n-grams inside the row, so that only hits are exploded."""
     entries = _entries(gazetteer)
-    if fits(entries, limit):
+    size = entries.count()
+    candidates = phrase_candidates(F.col(tokens_col), max_words)
+    if size <= min(LITERAL_PHRASES, limit):
+        candidates = _listed_grams(F.col(tokens_col), [r["phrase"] for r in entries.select("phrase").collect()], max_words)
+    if size <= limit:
         entries = F.broadcast(entries)
-    grams = df.select(id_col, F.explode(phrase_candidates(F.col(tokens_col), max_words)).alias("g")).select(
+    grams = df.select(id_col, F.explode(candidates).alias("g")).select(
         id_col, "g.*"
     )
     return grams.join(entries, "phrase").select(id_col, "start", "words", "phrase", "type")

@@ -79,6 +79,16 @@ def test_entity_tags_both_routes(spark, limit):
     assert rows[2].tags == ["O"] and rows[3].tags == [] and rows[4].tags is None
 
 
+def test_phrase_hits_are_the_same_on_every_route(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, TOKENS), (2, [])], "doc_id bigint, tokens array<string>")
+    gaz = spark.createDataFrame(GAZETTEER, "phrase string, type string")
+    ways = []
+    for literal, limit in ((10, 100), (0, 100), (0, 0)):
+        monkeypatch.setattr(en, "LITERAL_PHRASES", literal)
+        ways.append(sorted(map(tuple, en.match_phrases(docs, "doc_id", "tokens", gaz, limit=limit).collect())))
+    assert ways[0] == ways[1] == ways[2] and len(ways[0]) == 6
+
+
 def test_merge_tagged_rows(spark):
     tags = ["PERSON", "PERSON", "O", "PERSON", "LOCATION", "LOCATION"]
     rows = [(1, i, f"t{i}", t) for i, t in enumerate(tags)]
