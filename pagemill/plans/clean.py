@@ -18,7 +18,7 @@ from pagemill.operators import entities, lookup
 from pagemill.operators.language import LanguageProfiles, detect_language, language_codes
 from pagemill.operators.records import assemble_record, row_key
 from pagemill.operators.status import error_mime, fetch_status, is_valid, text_status
-from pagemill.operators.tweets import event_label, join_tweet_info, tweets_by_url
+from pagemill.operators.tweets import IDS_PER_ROW, event_label, join_tweet_info, tweets_by_url
 from pagemill.session import spread
 from pagemill.sources.warc import read_warc, response_records
 
@@ -91,7 +91,12 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
     """Flat record columns, one row per fetch, failures included."""
     if "stamp" not in fetches.columns:
         fetches = fetches.withColumn("stamp", F.unix_timestamp("fetch_time").cast("string"))
-    pages = extract_pages(fetches, o).withColumn("_id", row_key(F.col("url"), F.col("stamp")))
+    # Further rows of a hot tweeted URL get keys of their own.
+    part = (
+        F.when(F.col("chunk") > 0, F.concat(F.lit("#"), F.col("chunk").cast("string"))).otherwise("")
+        if "chunk" in fetches.columns else F.lit("")
+    )
+    pages = extract_pages(fetches, o).withColumn("_id", F.concat(row_key(F.col("url"), F.col("stamp")), part))
     masked = pages.withColumn("_masked", tx.mask_phrases(F.col("clean_text"), o.phrases))
     df = masked.withColumn("tokens", tx.tokens(F.col("_masked"), o.stop))
     df = df.withColumn("stemmed", stems(F.col("tokens")))
@@ -127,7 +132,7 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
     domain = ux.domain_name(F.col("url"))
     always = (lambda c: page(c)) if o.strict_reference else (lambda c: c)
     out = {
-        "row_key": row_key(F.when(ok, final_url).otherwise(F.col("url")), F.col("stamp")),
+        "row_key": F.concat(row_key(F.when(ok, final_url).otherwise(F.col("url")), F.col("stamp")), part),
         "doc_type": always(F.lit(o.doc_type)),
         "collection_id": always(number),
         "collection_name": always(name),
@@ -166,15 +171,16 @@ def clean_pages(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFra
     return assemble_record(clean_flat(fetches, o))
 
 
-def clean_tweet_pages(tweets: DataFrame, fetches: DataFrame, o: CleanOptions = CleanOptions(), seq: str = "seq") -> DataFrame:
+def clean_tweet_pages(tweets: DataFrame, fetches: DataFrame, o: CleanOptions = CleanOptions(), seq: str = "seq",
+                      ids_per_row: int = IDS_PER_ROW) -> DataFrame:
     """Records of the pages that tweets point to, with tweet ids and collection.
-    Every URL is cleaned once, whatever the number of tweets."""
+    A URL with more than `ids_per_row` tweets has further rows, `#n` in the key."""
     o = replace(
         o,
         database=fixed.TWEET_DATABASE if o.database == fixed.DATABASE else o.database,
         source=fixed.TWEET_SOURCE if o.source == fixed.SOURCE else o.source,
     )
-    return clean_pages(join_tweet_info(fetches, tweets_by_url(tweets, seq)), o)
+    return clean_pages(join_tweet_info(fetches, tweets_by_url(tweets, seq, ids_per_row)), o)
 
 
 def warc_fetches(records: DataFrame) -> DataFrame:

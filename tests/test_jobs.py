@@ -54,6 +54,15 @@ def test_clean_variants(fetched):
     assert rows["16"].url == "http://a.fr/og"
 
 
+def test_tweet_pages_keep_all_ids_under_distinct_keys(spark, fetched):
+    rows = [(str(i), "7", "#E", "http://a.com/p", i) for i in range(7)] + [("99", "8", "#F", "http://gone", 99)]
+    tweets = spark.createDataFrame(rows, "tweet_id string, collection_id string, collection_name string, url string, seq bigint")
+    out = cl.clean_tweet_pages(tweets, fetched, ids_per_row=3).select("row_key", "metadata.*", "webpage.tweet_ids").collect()
+    assert sorted(int(t) for r in out for t in r.tweet_ids) == list(range(7))
+    assert {r.row_key.split("-")[0] for r in out} == {"http://a.com/p"} and len({r.row_key for r in out}) == len(out) >= 3
+    assert {(r.collection_id, r.collection_name, r.source) for r in out} == {("7", "#E", "yTK")}
+
+
 def test_cosine_routes_agree(spark):
     docs = spark.createDataFrame([(1, ["a", "a", "b"]), (2, ["z"]), (3, [])], "doc_id bigint, tokens array<string>")
     docs = docs.withColumn("terms", term_counts(F.col("tokens")))
