@@ -30,14 +30,22 @@ def build_session(app: str = "pagemill", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: `spark.checkpoint.dir` when the
-    cluster names one, otherwise a folder made once for this session."""
+    """Shared folder for intermediate tables: `spark.checkpoint.dir` as the
+    cluster names it. Only a local master, whose tasks share the driver's disk,
+    may do without: a folder is then made once per application."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="pagemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if context.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="pagemill-")
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
