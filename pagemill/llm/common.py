@@ -40,3 +40,35 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     on the order or the partitioning of the rows. Keys are narrow; each task
     keeps at most n of them."""
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(n)
+
+
+# A table may be broadcast only when its own bytes, measured on the written rows,
+# stay below this bound; beyond it the same join shuffles.
+BROADCAST_BYTES = 16 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: strings by length, arrays by elements, the rest flat."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind == "array":
+            total = total + F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def maybe_broadcast(df: DataFrame) -> DataFrame:
+    """`df`, a written table, with a broadcast hint if its measured bytes allow.
+    The rows of a join do not depend on it."""
+    size = df.select(F.sum(row_bytes(df)).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def text_key(*columns: Column) -> Column:
+    """16 bytes that tell rows apart by the given columns (null and empty differ)."""
+    parts = [F.coalesce(F.concat(F.lit("+"), c.cast("string")), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat_ws("\x1f", *parts).cast("binary")))

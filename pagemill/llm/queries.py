@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, quality
+from pagemill.llm import bands, decontam, langid, quality
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -43,3 +43,46 @@ def op5_compression_bands(spark, folder):
         "doc_id", "bands.n_words", "bands.word_chars", "bands.n_symbols", "bands.n_dup_lines", "bands.n_repeat_words",
         "bands.base_failed", "bands.kept", "bands.ratio", "bands.n_chunks", "bands.n_bad_chunks",
     )
+
+
+@query("op7_segmented_unigrams")
+def op7_segmented_unigrams(spark, folder):
+    rows = present(table(spark, folder, "documents"), ["doc_id", "text", "lang"])
+    docs = rows.select("doc_id", "text")
+    model = langid.fit(docs, rows.where(~held_out(F.col("doc_id"), 4, 2)).select("doc_id", "lang"))
+    return langid.predict(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score"
+    )
+
+
+OP8_SQL = r"""
+WITH item_words AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM benchmark),
+wins AS (SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) AS s FROM item_words WHERE len(w) > 0)),
+docs AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents),
+sizes AS (SELECT DISTINCT k FROM wins),
+spans AS (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS win
+  FROM (SELECT doc_id, k, w, unnest(generate_series(1, len(w) - k + 1)) AS s FROM docs, sizes WHERE len(w) >= k)),
+found AS (SELECT doc_id, s, spans.k, item_id FROM spans JOIN wins USING (k, win)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(generate_series(s, s + k - 1)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op8_prefix_decontamination", OP8_SQL)
+def op8_prefix_decontamination(spark, folder):
+    docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
+    return decontam.find_contamination(docs, table(spark, folder, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
