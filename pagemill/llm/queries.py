@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, decontam, langid, neardup, quality
+from pagemill.llm import bands, decontam, langid, neardup, pii, quality
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -109,3 +109,13 @@ FROM least LEFT JOIN sizes USING (doc_id)
 def op10_bottom_k(spark, folder):
     docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
     return neardup.find_groups(docs).drop("row")
+
+
+@query("op9_bootstrapped_pii")
+def op9_bootstrapped_pii(spark, folder):
+    docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
+    listed = "array_join(transform({0}, m -> concat(m.kind, ':', m.start, ':', m.end)), ',')"
+    counts = [F.expr(f"CAST(size(filter(base, m -> m.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in pii.KINDS]
+    return pii.find_personal_data(docs).select(
+        "doc_id", *counts, F.expr(f"sha2({listed.format('base')}, 256)").alias("base_sha256"), F.expr(listed.format("spans")).alias("spans")
+    )
