@@ -15,6 +15,10 @@ from pagemill.session import scratch_root
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality", stages.drop_poor),
+    ("near_duplicates", stages.drop_near_copies),
+    ("decontamination", stages.drop_benchmark_text),
+    ("personal_data", stages.mask_personal_data),
+    ("packing", stages.pack_sequences),
 ]
 
 # Compression and bin packing are beyond SQL; tests compare with brute force.

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, decontam, langid, neardup, pii, quality
+from pagemill.llm import bands, decontam, langid, neardup, packing, pii, quality
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -119,3 +119,14 @@ def op9_bootstrapped_pii(spark, folder):
     return pii.find_personal_data(docs).select(
         "doc_id", *counts, F.expr(f"sha2({listed.format('base')}, 256)").alias("base_sha256"), F.expr(listed.format("spans")).alias("spans")
     )
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@query("op6_vector_packing")
+def op6_vector_packing(spark, folder):
+    return packed_digest(packing.pack(present(table(spark, folder, "documents"), ["doc_id", "text"])))
