@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from pagemill.llm.common import first_by_hash
+from pagemill.llm.common import first_by_hash, fit_logistic
 
 PIECE = 512
 LEVEL = 3
@@ -83,20 +83,6 @@ def inputs(diff: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones_like(diff), diff * 20, full, diff * 20 * full])
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05, rounds: int = 50) -> np.ndarray:
-    """Newton steps on the weighted log-likelihood with a small ridge."""
-    w = np.zeros(x.shape[1])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (y - p)) - ridge * w
-        curve = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(curve, slope)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
-
-
 def fit(docs: DataFrame, labelled: DataFrame) -> CompressionModel:
     """docs(doc_id, text); labelled(doc_id, label 0/1): the rows to learn from.
 

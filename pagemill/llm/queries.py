@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, decontam, langid, neardup, packing, pii, quality
+from pagemill.llm import bands, decontam, langid, neardup, packing, pii, quality, toxicity
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -130,3 +130,13 @@ def packed_digest(pieces: DataFrame) -> DataFrame:
 @query("op6_vector_packing")
 def op6_vector_packing(spark, folder):
     return packed_digest(packing.pack(present(table(spark, folder, "documents"), ["doc_id", "text"])))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, folder):
+    docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
+    labelled = table(spark, folder, "labels").where(~held_out(F.col("doc_id"), 5, 0)).withColumnRenamed("toxic", "label")
+    scored = toxicity.score(docs, toxicity.fit(docs, labelled))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
