@@ -29,7 +29,8 @@ SMOOTHING = 0.01
 # Bounds of the learning sample: whole texts of the documents whose ids hash lowest.
 DOCS_PER_LANGUAGE = 300
 LEARN_BYTES = 65_536
-CACHE = 600_000  # chunks whose scores a worker keeps
+CACHE = 400_000  # chunks whose scores a task keeps
+SLICE = 256  # documents split into chunks at a time
 
 MARK = "▁"
 WORD = re.compile(r"[^\W\d_]+")
@@ -199,7 +200,9 @@ def predict(docs: DataFrame, model: UnigramModel, text: str = "text", out: str =
         # What stands between blanks is scored once: sums of word scores, and letters.
         known: dict[str, int] = {}
         table = np.zeros((0, k + 1))
-        for texts in batches:
+
+        def label(texts: list[str | None]) -> tuple[list[str], list[float]]:
+            nonlocal known, table
             split = [t.lower().split() if t else [] for t in texts]
             if len(known) > CACHE:
                 known, table = {}, np.zeros((0, k + 1))
@@ -228,6 +231,15 @@ def predict(docs: DataFrame, model: UnigramModel, text: str = "text", out: str =
                 top = int(logs.argmax())
                 langs.append(model.languages[top])
                 best.append(float(1 / np.exp(logs - logs[top]).sum()))
-            yield pd.DataFrame({"lang": langs, "score": best})
+            return langs, best
+
+        for texts in batches:
+            langs: list[str] = []
+            scores: list[float] = []
+            for i in range(0, len(texts), SLICE):
+                some = label(texts.iloc[i : i + SLICE].tolist())
+                langs += some[0]
+                scores += some[1]
+            yield pd.DataFrame({"lang": langs, "score": scores})
 
     return docs.withColumn(out, run(F.col(f"`{text}`")))

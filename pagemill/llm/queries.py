@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, decontam, langid, neardup, packing, pii, quality, toxicity
+from pagemill.llm import bands, chunks, decontam, langid, neardup, packing, pii, quality, toxicity
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -140,3 +140,9 @@ def op2_toxicity(spark, folder):
     return scored.select(
         "doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op4_chunk_dedup")
+def op4_chunk_dedup(spark, folder):
+    found = chunks.find_repeats(present(table(spark, folder, "documents"), ["doc_id", "text"]))
+    return found.select("doc_id", "start", "end", "n_words", "n_chunks", "n_new", "first_doc_ids")
