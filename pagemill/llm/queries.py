@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, chunks, decontam, langid, neardup, packing, pii, quality, toxicity
+from pagemill.llm import bands, chunks, decontam, langid, neardup, packing, pii, quality, secret_scan, toxicity
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -146,3 +146,13 @@ def op2_toxicity(spark, folder):
 def op4_chunk_dedup(spark, folder):
     found = chunks.find_repeats(present(table(spark, folder, "documents"), ["doc_id", "text"]))
     return found.select("doc_id", "start", "end", "n_words", "n_chunks", "n_new", "first_doc_ids")
+
+
+@query("op3_secret_forest")
+def op3_secret_forest(spark, folder):
+    docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
+    found = secret_scan.add_features(secret_scan.findings(docs), secret_scan.dictionary(docs))
+    model = secret_scan.train(secret_scan.known_labels(found))
+    return secret_scan.judge(found, model).select(
+        "doc_id", "start", "end", F.sha2(F.col("hit").cast("binary"), 256).alias("hit_sha256"), "score", "secret"
+    )
