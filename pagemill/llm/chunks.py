@@ -114,8 +114,10 @@ def chunk_rows(docs: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, doc_id: str, text: str, least_words: int) -> DataFrame:
-    """(rid, doc_id, start, length, words, digest, run): chunks in runs of at least
-    `least_words` words whose chunks all occur in several rows of `docs`. Written."""
+    """(rid, doc_id, start, length, words, pair, run): chunks in runs of at least
+    `least_words` words whose chunks all occur in several rows of `docs`. `pair`
+    is the digest of a chunk with the one before it in the run (of the first one
+    with the next): short chunks also meet by chance, two in a row hardly. Written."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")
     )
@@ -130,15 +132,19 @@ def repeated_chunks(docs: DataFrame, doc_id: str, text: str, least_words: int) -
         "breaks", (F.coalesce(F.lag(F.expr("start + length")).over(order), F.lit(-1)) != F.col("start")).cast("int")
     ).withColumn("run", F.sum("breaks").over(order))
     found = found.withColumn("total", F.sum("words").over(Window.partitionBy("rid", "run")))
-    return settle(
-        found.where(F.col("total") >= least_words).select("rid", "doc_id", "start", "length", "words", "digest", "run"), "runs"
+    within = Window.partitionBy("rid", "run").orderBy("start", "length")
+    pair = F.coalesce(
+        F.when(F.lag("digest").over(within).isNotNull(), F.xxhash64(F.lag("digest").over(within), "digest")),
+        F.xxhash64("digest", F.lead("digest").over(within)),
     )
+    found = found.where(F.col("total") >= least_words).withColumn("pair", pair)
+    return settle(found.select("rid", "doc_id", "start", "length", "words", "pair", "run"), "runs")
 
 
 def with_first(found: DataFrame) -> DataFrame:
     """`found` with the least (doc_id, rid, start) among the copies of each chunk."""
-    first = found.groupBy("digest").agg(F.min(F.struct("doc_id", "rid", "start")).alias("first"))
-    return found.join(first, "digest")
+    first = found.groupBy("pair").agg(F.min(F.struct("doc_id", "rid", "start")).alias("first"))
+    return found.join(first, "pair")
 
 
 def find_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
@@ -169,8 +175,8 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", le
     found = repeated_chunks(plain.select("doc_id", "text"), "doc_id", "text", least_words).join(
         plain.select("doc_id", "own"), "doc_id"
     )
-    first = found.groupBy("digest").agg(F.min(F.struct("own", "doc_id", "start")).alias("first"))
-    later = found.join(first, "digest").where("first.doc_id <> doc_id OR first.start <> start")
+    first = found.groupBy("pair").agg(F.min(F.struct("own", "doc_id", "start")).alias("first"))
+    later = found.join(first, "pair").where("first.doc_id <> doc_id OR first.start <> start")
     gone = later.groupBy(F.col("doc_id").alias("__rid")).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias("__gone"))
     kept = F.expr(
         f"""aggregate(__gone, named_struct('at', 0L, 'out', ''), (acc, g) -> named_struct(
