@@ -14,7 +14,8 @@ DATE_FORMATS = [
     "yyyy-M-d", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m", "yyyy-M-d H:m:s", "yyyy-M-d H:m", "yyyy/M/d", "yyyy/M/d H:m:s",
     "yyyyMMdd", "yyyyMMddHHmm", "yyyyMMddHHmmss", "M/d/yyyy", "M/d/yyyy h:ma", "M/d/yyyy H:m", "MMMM d yyyy",
     "MMM d yyyy", "MMMM d yyyy h:m a", "MMM d yyyy h:m a", "h:m:s a MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy",
-    "d MMM yyyy H:m:s", "yyyy MMM d", "yyyy M d",
+    "d MMM yyyy H:m:s", "yyyy MMM d", "yyyy M d", "d.M.yyyy", "d.M.yyyy H:m", "d-MMM-yyyy", "M/d/yy", "d MMMM yyyy H:m",
+    "d MMM yyyy H:m", "d MMMM yyyy H:m:s", "MMMM d yyyy H:m", "MMM d yyyy H:m",
 ]
 
 
@@ -24,7 +25,10 @@ _RULES = [
     (r"^\s+|\s+$", ""),
     (r"(?i)\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b\.?,?", ""),
     (r"(\d:\d{2})[.,]\d+", "$1"),
-    (r"(\d:\d{2})\s*(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$", "$1"),
+    (r"(\d:\d{2})\s*(?:Z|UTC|GMT|[ECMP][SD]T|CES?T|BST|[+-]\d{2}:?\d{2})$", "$1"),
+    (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1"),
+    (r"(?i)\b(jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec)t?\.", "$1"),
+    (r"(?i)\bsept\b", "Sep"),
     (r"(?i)([ap])\.?m\.?\b", "$1M"),
     (",", " "),
     (r"\s+", " "),

@@ -11,15 +11,17 @@ from pyspark.sql.types import StringType
 
 from pagemill.functions.arrays import let_sql, quoted
 
-# Attribute area of a tag; quoted values may hold '>'. Possessive, so linear.
+# Attribute area of a tag; quoted values may hold '>'. Possessive, so linear. What
+# is never closed (tag, comment, block) runs to the end of the page and is taken
+# with it: it must not be looked at again from every later start.
 ATTRS = r"(?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+"
-TAG = rf"<[/!?a-zA-Z]{ATTRS}>"
-COMMENT = r"<!--.*?-->"
+TAG = rf"<[/!?a-zA-Z]{ATTRS}(?:>|\z)"
+COMMENT = r"<!--.*?(?:-->|\z)"
 CUT = "<!>"
 
 
 def _block(name: str) -> str:
-    return rf"<{name}\b[^>]*>.*?(?:</{name}\s*>|\z)"
+    return rf"<{name}\b[^>]*+(?:>.*?(?:</{name}\s*>|\z)|\z)"
 
 
 def strip_hidden(html: Column, hide_iframe: bool = True, drop_comments: bool = True) -> Column:
@@ -30,7 +32,7 @@ def strip_hidden(html: Column, hide_iframe: bool = True, drop_comments: bool = T
     parts += [_block(n) for n in names]
     hidden = F.regexp_replace(html, "(?is)" + "|".join(parts), CUT)
     if not drop_comments:
-        hidden = F.regexp_replace(hidden, r"(?s)<!--(.*?)-->", f"{CUT}$1{CUT}")
+        hidden = F.regexp_replace(hidden, r"(?s)<!--(.*?)(?:-->|\z)", f"{CUT}$1{CUT}")
     return hidden
 
 
@@ -60,9 +62,18 @@ _NAMED = f"""get(transform(array(regexp_extract(p, '^(?:{_LEGACY})', 0)),
     k -> CASE WHEN try_element_at(e, m) IS NOT NULL THEN concat(try_element_at(e, m), substr(p, length(m) + 1))
       WHEN k <> '' THEN concat(try_element_at(e, k), substr(p, length(k) + 1)) ELSE concat('&', p) END), 0)"""
 _REFERENCE = quoted(r"^(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)")
+# The usual references are told apart before the whole table is searched.
+_USUAL = (
+    "lt; gt; quot; apos; nbsp; copy; reg; trade; middot; bull; ndash; mdash; lsquo; rsquo; ldquo; rdquo; laquo; raquo; hellip; "
+    "times; euro; pound; deg; eacute; egrave; agrave; ccedil; auml; ouml; uuml; szlig; ntilde; #39; #34; #38; #160; #8217; #8211;"
+).split()
+_USUAL_SQL = "CASE m " + " ".join(
+    f"WHEN {quoted(n)} THEN {quoted(_entities.html5[n] if n in _entities.html5 else chr(int(n[1:-1])))}" for n in _USUAL
+) + " END"
 _PIECE = f"""CASE WHEN startswith(p, 'amp;') THEN concat('&', substr(p, 5))
     ELSE get(transform(array(regexp_extract(p, {_REFERENCE}, 0)),
-      m -> CASE WHEN startswith(m, '#') THEN {_NUMERIC} ELSE {_NAMED} END), 0) END""".replace(
+      m -> CASE WHEN m IN ({', '.join(quoted(n) for n in _USUAL)}) THEN concat({_USUAL_SQL}, substr(p, length(m) + 1))
+        WHEN startswith(m, '#') THEN {_NUMERIC} ELSE {_NAMED} END), 0) END""".replace(
     "try_element_at(e, ", f"try_element_at({_entity_table()}, "
 )
 # `s` is a text; a text without an ampersand is returned as it is.
@@ -96,7 +107,7 @@ def visible_text(html: Column, hide_iframe: bool = True, drop_comments: bool = T
 
 def title(html: Column) -> Column:
     """Text of the first <title>; empty when missing or nested."""
-    return decode_entities(F.regexp_extract(html, r"(?is)<title\b[^>]*>([^<]*)</title", 1))
+    return decode_entities(F.regexp_extract(html, r"(?is)<title\b[^<>]*+>([^<]*+)</title", 1))
 
 
 def clean_text(title_text: Column, visible: Column) -> Column:

@@ -22,7 +22,7 @@ def meta_tags(html: Column) -> Column:
     keys = {"name": "name", "property": "property", "itemprop": "itemprop", "http_equiv": "http-equiv"}
     fields = ", ".join(f"'{k}', coalesce(lower({attribute_sql('m', a)}), '')" for k, a in keys.items())
     found = F.regexp_extract_all(
-        F.regexp_replace(html, f"(?s){COMMENT}", ""), F.lit(rf"(?is)<meta\b({ATTRS})>"), F.lit(1)
+        F.regexp_replace(html, f"(?s){COMMENT}", ""), F.lit(rf"(?is)<meta\b({ATTRS})(?:>|\z)"), F.lit(1)
     )
     return let_sql(found, _TAGS.format(fields=fields, content=attribute_sql("m", "content"), decode=DECODE_SQL))
 

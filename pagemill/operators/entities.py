@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from pagemill.functions.arrays import let_sql, quoted, runs
-from pagemill.session import BROADCAST_ROWS, fits, settle
+from pagemill.functions.text import words
+from pagemill.session import BROADCAST_ROWS, content_key, fits, settle
 
-MAX_WORDS = 4
 # A gazetteer of at most this many phrases is held as a literal inside the plan.
 LITERAL_PHRASES = 5_000
 
@@ -33,7 +35,7 @@ def _grams(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(0), F.size(tokens) - n), gram)).otherwise(none)
 
 
-def phrase_candidates(tokens: Column, max_words: int = MAX_WORDS) -> Column:
+def phrase_candidates(tokens: Column, max_words: int) -> Column:
     """Token n-grams as array<struct<start, words, phrase>>."""
     return F.concat(*[_grams(tokens, n) for n in range(1, max_words + 1)])
 
@@ -59,26 +61,32 @@ def _listed_grams(tokens: Column, phrases: list[str], max_words: int) -> Column:
     )
 
 
-def _entries(gazetteer: DataFrame) -> DataFrame:
-    # Written once: its size is checked before it is used.
-    return settle(
-        gazetteer.groupBy(F.lower("phrase").alias("phrase")).agg(F.min("type").alias("type")), "gazetteer"
+def _entries(gazetteer: DataFrame, cut: Callable[[Column], Column] | None) -> tuple[DataFrame, int]:
+    """(phrase, type) and the words of the longest phrase. Phrases become the
+    tokens that `cut` makes of them, as the text did, joined by spaces; a phrase
+    without tokens is left out. Written once: its size is checked before use."""
+    pieces = (cut or words)(F.col("phrase"))
+    entries = settle(
+        gazetteer.select(F.lower(F.array_join(pieces, " ")).alias("phrase"), "type").where("phrase <> ''")
+        .groupBy("phrase").agg(F.min("type").alias("type")), "gazetteer"
     )
+    return entries, entries.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
 
 
 def match_phrases(
-    df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, max_words: int = MAX_WORDS,
-    limit: int = BROADCAST_ROWS,
+    df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, limit: int = BROADCAST_ROWS,
+    cut: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Gazetteer hits (id, start, words, phrase, type). The gazetteer is broadcast
-    when its size allows; otherwise an equi-join on the phrase. A short one also
-    filters the n-grams inside the row, so that only hits are exploded."""
-    entries = _entries(gazetteer)
+    """Gazetteer hits (id, start, words, phrase, type), phrases of any length. The
+    gazetteer is broadcast when its size allows; otherwise an equi-join on the
+    phrase. A short one also filters the n-grams inside the row, so that only hits
+    are exploded. `cut` is the token function the text went through."""
+    entries, max_words = _entries(gazetteer, cut)
     size = entries.count()
     candidates = phrase_candidates(F.col(tokens_col), max_words)
     if size <= min(LITERAL_PHRASES, limit):
         candidates = _listed_grams(F.col(tokens_col), [r["phrase"] for r in entries.select("phrase").collect()], max_words)
-    if size <= limit:
+    if fits(entries, limit):
         entries = F.broadcast(entries)
     grams = df.select(id_col, F.explode(candidates).alias("g")).select(
         id_col, "g.*"
@@ -114,11 +122,11 @@ def _row_tags(tokens, types: dict[str, str], max_words: int) -> list[str]:
 
 
 def tag_arrays(df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, out: str = "tags",
-               limit: int = BROADCAST_ROWS, max_words: int = MAX_WORDS) -> DataFrame:
+               limit: int = BROADCAST_ROWS, cut: Callable[[Column], Column] | None = None) -> DataFrame:
     """Add one tag per token (`O` outside entities). With a gazetteer of at most
-    `limit` phrases the rows stay in place; with a larger one only the hits are
-    shuffled, then joined back by `id_col`, which must be unique."""
-    entries = _entries(gazetteer)
+    `limit` phrases the rows stay in place; with a larger one the hits are found
+    once for every distinct token array and matched by that array, not by `id_col`."""
+    entries, max_words = _entries(gazetteer, cut)
     if fits(entries, limit):
         held = df.sparkSession.sparkContext.broadcast({r["phrase"]: r["type"] for r in entries.toLocalIterator()})
 
@@ -128,14 +136,16 @@ def tag_arrays(df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame
             return column.map(lambda t: None if t is None else _row_tags(t, types, max_words))
 
         return df.withColumn(out, tag(F.col(tokens_col)))
-    tags = tag_tokens(match_phrases(df, id_col, tokens_col, gazetteer, max_words, limit), id_col)
+    keyed = df.withColumn("_k", content_key(tokens_col))
+    arrays = keyed.select("_k", tokens_col).dropDuplicates(["_k"])
+    tags = tag_tokens(match_phrases(arrays, "_k", tokens_col, gazetteer, limit, cut), "_k")
     # One document's own hits, in order.
-    per_row = tags.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "tag"))).alias("_hits"))
+    per_row = tags.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("pos", "tag"))).alias("_hits"))
     tokens = F.col(tokens_col)
     filled = F.when(tokens.isNull(), F.lit(None)).when(
         F.col("_hits").isNull(), F.transform(tokens, lambda t: F.lit("O"))
     ).otherwise(_place(F.size(tokens), F.col("_hits")))
-    return df.join(per_row, id_col, "left").withColumn(out, filled).drop("_hits")
+    return keyed.join(per_row, "_k", "left").withColumn(out, filled).drop("_hits", "_k")
 
 
 def _place(size: Column, hits: Column) -> Column:

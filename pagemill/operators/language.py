@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from pagemill.functions.arrays import let_sql, quoted, term_counts
 from pagemill.functions.text import words
-from pagemill.session import BROADCAST_ROWS, fits, settle
+from pagemill.session import BROADCAST_ROWS, content_key, fits, settle
 
 MAX_GRAM = 3
 SMOOTHING = 0.5
@@ -169,12 +169,15 @@ def detect_language(docs: DataFrame, profiles: LanguageProfiles, id_col: str = "
                     min_probability: float = 0.1, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Add `languages`, array<struct<prob, lang>> with the likeliest first, for
     every document; empty when the text has no words. With profiles of at most
-    `limit` grams the rows stay in place, otherwise the scores come from a join."""
+    `limit` grams the rows stay in place, otherwise the scores come from a join, once
+    for every distinct text; rows are matched by the text, not by `id_col`."""
     if fits(profiles.table, limit):
         scored = _row_scores(docs, profiles, text)
     else:
-        side = language_scores(docs, profiles, id_col, text).select(id_col, F.col("scores").alias("_scores"))
-        scored = docs.join(side, id_col, "left")
+        keyed = docs.withColumn("_k", content_key(text))
+        texts = keyed.select("_k", F.col(text).alias("_text")).dropDuplicates(["_k"])
+        side = language_scores(texts, profiles, "_k", "_text").select("_k", F.col("scores").alias("_scores"))
+        scored = keyed.join(side, "_k", "left").drop("_k")
     names = "array(" + ", ".join(quoted(x) for x in profiles.languages) + ")"
     ranked = let_sql(
         F.col("_scores"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from pagemill.session import BROADCAST_ROWS, fits, settle
+from pagemill.session import BROADCAST_ROWS, content_key, fits, settle
 
 # Tags by ending for words outside the lexicon, first match decides.
 SUFFIX_TAGS = [
@@ -27,8 +27,8 @@ def lookup_tokens(
 ) -> DataFrame:
     """Add array `out`: the table value of each token, null where it has none,
     order kept. A table of at most `limit` rows goes to the tasks as a broadcast
-    dictionary and no row moves. A larger one is joined by token and the arrays
-    are rebuilt per `id_col`, which must be unique."""
+    dictionary and no row moves. A larger one is joined by token, once for every
+    distinct token array; rows are matched by that array, not by `id_col`."""
     unique = settle(_one_per_key(table, key, value), "lookup")
     if fits(unique, limit):
         spark = df.sparkSession
@@ -36,18 +36,19 @@ def lookup_tokens(
 
         @F.pandas_udf(ArrayType(StringType()))
         def look(column: pd.Series) -> pd.Series:
-            table = held.value
-            return column.map(lambda t: None if t is None else [table.get(x) for x in t])
+            get = held.value.get
+            return column.map(lambda t: None if t is None else list(map(get, t)))
 
         return df.withColumn(out, look(F.col(tokens_col)))
-    exploded = df.select(id_col, F.posexplode(tokens_col).alias("_pos", "_key"))
-    found = exploded.join(unique, "_key", "left")
-    rebuilt = found.groupBy(id_col).agg(
+    keyed = df.withColumn("_k", content_key(tokens_col))
+    arrays = keyed.select("_k", F.col(tokens_col).alias("_tokens")).dropDuplicates(["_k"])
+    found = arrays.select("_k", F.posexplode("_tokens").alias("_pos", "_key")).join(unique, "_key", "left")
+    rebuilt = found.groupBy("_k").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("_pos", "_value"))), lambda s: s["_value"]
         ).alias(out)
     )
-    joined = df.join(rebuilt, id_col, "left")
+    joined = keyed.join(rebuilt, "_k", "left").drop("_k")
     empty = F.expr("cast(array() as array<string>)")
     return joined.withColumn(
         out, F.when(F.col(tokens_col).isNotNull(), F.coalesce(F.col(out), empty))

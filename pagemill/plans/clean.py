@@ -111,7 +111,7 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
         df = df.withColumn("pos", no_list)
     kinds = {"ner_people": "PERSON", "ner_organization": "ORGANIZATION", "ner_location": "LOCATION"}
     if o.gazetteer is not None:
-        df = entities.tag_arrays(df, "_id", "tokens", o.gazetteer, "_ner")
+        df = entities.tag_arrays(df, "_id", "tokens", o.gazetteer, "_ner", cut=lambda c: tx.tokens(c, o.stop))
         pick = entities.merge_phrases if o.merge_entities else entities.tokens_with_tag
         df = df.withColumns({n: pick(F.col("tokens"), F.col("_ner"), t) for n, t in kinds.items()})
     else:

@@ -16,7 +16,7 @@ from pagemill.functions.text import model_tokens, sentences, words
 from pagemill.functions.urls import url_text
 from pagemill.operators.entities import date_entities, match_phrases
 from pagemill.operators.terms import cosine_value, dot_products
-from pagemill.session import BROADCAST_ROWS, settle
+from pagemill.session import BROADCAST_ROWS, content_key, settle
 
 # A model of at most this many terms is held as a literal inside the plan.
 LITERAL_TERMS = 2_000
@@ -52,20 +52,24 @@ def build_topic_model(docs: DataFrame, k: int = fixed.VOCABULARY_SIZE, min_df: i
 def cosine_to_model(df: DataFrame, id_col: str, counts_col: str, model: DataFrame, out: str,
                     literal_terms: int = LITERAL_TERMS) -> DataFrame:
     """Add the cosine of each row's term counts with a (term, weight) model. Rows
-    stay where they are while the model is small; a larger one is joined by term."""
+    stay where they are while the model is small; a larger one is joined by term,
+    once for every distinct counts array. Rows are matched by that array, so neither
+    route needs `id_col` to be unique or there at all."""
     model = settle(model.select("term", "weight"), "cosine-model")
     rows = model.select("term", "weight").limit(literal_terms + 1).collect()
     if len(rows) <= literal_terms:
         weights = {r["term"]: float(r["weight"]) for r in rows}
         return df.withColumn(out, _literal_cosine(F.col(counts_col), weights))
-    exploded = df.select(id_col, F.explode(counts_col).alias("c")).select(
-        id_col, F.col("c.term").alias("term"), F.col("c.tf").cast("double").alias("weight")
+    keyed = df.withColumn("_k", content_key(counts_col))
+    arrays = keyed.select("_k", F.col(counts_col).alias("_counts")).dropDuplicates(["_k"])
+    exploded = arrays.select("_k", F.explode("_counts").alias("c")).select(
+        "_k", F.col("c.term").alias("term"), F.col("c.tf").cast("double").alias("weight")
     )
     model_norm = model.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).first()[0]
-    dots = dot_products(exploded, model, id_col).select(id_col, F.col("dot").alias("_dot"))
-    return df.join(dots, id_col, "left").withColumn(
+    dots = dot_products(exploded, model, "_k").select("_k", F.col("dot").alias("_dot"))
+    return keyed.join(dots, "_k", "left").withColumn(
         out, cosine_value(F.coalesce("_dot", F.lit(0.0)), norm(F.col(counts_col)), F.lit(model_norm))
-    ).drop("_dot")
+    ).drop("_dot", "_k")
 
 
 def _literal_cosine(counts: Column, weights: dict[str, float]) -> Column:

@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# Tables at or below this many rows may be broadcast or held as a literal.
-# Every caller checks the size with `fits` and has a shuffle route beyond it.
+# Tables at or below this many rows and bytes may be broadcast or held as a
+# literal. Every caller checks the size with `fits` and has a shuffle route with
+# equal results beyond it.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "pagemill", master: str | None = None, **conf) -> SparkSession:
@@ -64,19 +67,41 @@ def settle(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """True when `df` has at most `limit` rows. A plain parallel count: a row
-    limit would pull its rows through one task. Callers pass written tables,
-    where the count comes from file footers."""
-    return df.count() <= limit
+def row_bytes(df: DataFrame) -> Column:
+    """Approximate bytes of a row: text by its length, arrays by their JSON."""
+    total = F.lit(16)
+    for field in df.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif kind in ("array", "struct", "map"):
+            total = total + F.coalesce(F.octet_length(F.to_json(field.name)), F.lit(0))
+        else:
+            total = total + 8
+    return total
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when `df` has at most `limit` rows of `most_bytes` bytes in all. A plain
+    parallel sum; callers pass written tables."""
+    size = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")).first()
+    return size["n"] <= limit and size["bytes"] <= most_bytes
+
+
+def content_key(name: str) -> Column:
+    """16 bytes that stand for the value of a column. What depends on one column
+    only is worked out once per value and joined back by this key, so rows need no
+    unique id and repeated rows agree."""
+    return F.unhex(F.md5(F.to_json(F.struct(F.col(name).alias("v"))).cast("binary")))
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work at least one task per core. Large inputs already
-    have more splits than cores and pass through without a shuffle."""
+    """Give CPU-heavy row work at least one task per core. Inputs of as many files
+    as cores pass through without a shuffle. Files are only listed: nothing runs
+    while the plan is made."""
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)

@@ -29,9 +29,9 @@ def table_stream(spark: SparkSession, path: str, schema: StructType, max_files:
 
 def clean_stream(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFrame:
     """Record-at-a-time cleaning: the batch plan on a stream, no state. Options
-    that aggregate per page (language, entities) belong in `foreach_clean`."""
-    if o.profiles is not None or o.gazetteer is not None:
-        raise ValueError("language and entity options need foreach_clean")
+    that look up tables belong in `foreach_clean`, whatever the tables' size."""
+    if any(x is not None for x in (o.profiles, o.gazetteer, o.lemmas, o.lexicon)):
+        raise ValueError("options with a table need foreach_clean")
     return clean_flat(fetches, o)
 
 
