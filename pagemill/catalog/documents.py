@@ -106,6 +106,19 @@ def str8(spark, sf):
     return df.select("doc_id", F.array_join("lemmatized", ",").alias("lemmatized"))
 
 
+@query(
+    "str8_lemmas_duplicate_keys",
+    f"""WITH {TOKEN_CTE}, {LEMMA_CTE}, j AS (SELECT doc_id, string_agg(coalesce(lemma, token), ',' ORDER BY pos) AS lemmatized
+      FROM tok LEFT JOIN lemmas ON form = token GROUP BY doc_id)
+    SELECT doc_id % 7 AS key, coalesce(lemmatized, '') AS lemmatized FROM documents LEFT JOIN j USING (doc_id)""",
+)
+def str8_duplicates(spark, sf):
+    """The join route, with keys that many rows share."""
+    docs = token_docs(spark, sf).select((F.col("doc_id") % 7).alias("key"), "tokens")
+    df = lk.lemmatize(docs, "key", "tokens", lemma_table(spark, sf), limit=0)
+    return df.select("key", F.array_join("lemmatized", ",").alias("lemmatized"))
+
+
 SENTENCE_CTE = r"""pieces AS (SELECT {id}, list_filter(flatten(list_transform(
     string_split(regexp_replace(regexp_replace(text, '(.)\.(.)', '\1. \2', 'g'), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)),
     lambda s: string_split(s, chr(10)))), lambda s: length(s) > 3) AS ps FROM {src}),
@@ -274,6 +287,27 @@ def page_link_rows(spark, sf):
     return found.join(ids, "src_url").withColumn("href", F.concat("src_url", "href"))
 
 
+WIDE_CTE = f"""{MODEL_CTE}, vocab AS (SELECT term, count(*) AS n FROM tf GROUP BY term),
+wide AS (SELECT term, 1.0 / n AS weight FROM vocab)"""
+
+
+@query(
+    "mth1_cosine_duplicate_urls",
+    f"""WITH {WIDE_CTE}, d AS (SELECT doc_id, sum(tf * weight) AS dot, sqrt(sum(tf * tf)) AS norm FROM tf JOIN wide USING (term) GROUP BY doc_id)
+    SELECT source AS url, round(coalesce(dot / (norm * (SELECT sqrt(sum(weight * weight)) FROM wide)), 0.0), 9) AS score
+    FROM documents LEFT JOIN d USING (doc_id)""",
+)
+def mth1_duplicates(spark, sf):
+    """A model of all terms of the corpus, joined by term, and urls that repeat."""
+    from pagemill.functions.arrays import term_counts
+
+    docs = model_docs(spark, sf).select(F.col("source").alias("url"), term_counts(F.col("tokens")).alias("terms"))
+    counts = docs.select(F.explode("terms").alias("c")).groupBy(F.col("c.term").alias("term")).count()
+    model = counts.select("term", (1.0 / F.col("count")).alias("weight"))
+    scored = rv.cosine_to_model(docs, "url", "terms", model, "score")
+    return scored.select("url", F.round("score", 9).alias("score"))
+
+
 @query(
     "url8_link_tokens",
     f"""WITH {LINK_TERM_CTE} SELECT page_id, pos, coalesce(string_agg(term, ' ' ORDER BY i), '') AS tokens
@@ -364,6 +398,26 @@ def nlp2(spark, sf):
     return en.tag_tokens(hits, "doc_id").select("doc_id", F.col("pos").cast("bigint").alias("pos"), "tag")
 
 
+# Listed phrases of six tokens, as they stand in the text: with stop words and
+# apostrophes between the tokens.
+LONG_CTE = f"""{TOKEN_CTE}, long AS (SELECT DISTINCT array_to_string(tokens[3:8], ' ') AS phrase FROM docs WHERE len(tokens) >= 8 AND doc_id % 40 = 3),
+places AS (SELECT doc_id, tokens, unnest(range(1, len(tokens) - 4)) AS i FROM docs WHERE len(tokens) >= 6)"""
+
+
+@query(
+    "nlp2_long_phrases",
+    f"""WITH {LONG_CTE} SELECT doc_id, CAST(i - 1 AS BIGINT) AS start, phrase FROM places
+    JOIN long ON phrase = array_to_string(tokens[i:i + 5], ' ')""",
+)
+def nlp2_long(spark, sf):
+    docs = token_docs(spark, sf)
+    listed = docs.where("size(tokens) >= 8 AND doc_id % 40 = 3").select(
+        F.concat(F.lit("The "), F.array_join(F.slice("tokens", 3, 6), "' and of the ")).alias("phrase"), F.lit("EVENT").alias("type")
+    )
+    hits = en.match_phrases(docs, "doc_id", "tokens", listed, cut=tx.tokens)
+    return hits.select("doc_id", F.col("start").cast("bigint").alias("start"), "phrase")
+
+
 def _sql_kind(kind: str) -> str:
     return f"coalesce(string_agg(token, ';' ORDER BY pos) FILTER (WHERE tag = '{kind}'), '')"
 

@@ -44,7 +44,7 @@ def rich_fetches(spark, sf):
 
 
 def _options(**more):
-    return cl.CleanOptions(phrases=PHRASES, collection_name="#Eclipse 2017", collection_id="994", **more)
+    return cl.CleanOptions(phrases=PHRASES, collection_name="#Harbour Fire", collection_id="31", **more)
 
 
 @query(
@@ -79,7 +79,7 @@ def job1_summary(spark, sf):
     CASE WHEN status_code = '0200' THEN translate(clean_text, {CTL}, '...') END AS clean_text,
     CASE WHEN status_code = '0200' THEN translate(masked, {CTL}, '...') END AS clean_text_profanity,
     CASE WHEN status_code = '0200' THEN array_to_string({sql_tokens('masked')}, ',') END AS tokens,
-    CASE WHEN status_code = '0200' THEN 'Eclipse 2017' END AS real_world_events
+    CASE WHEN status_code = '0200' THEN 'Harbour Fire' END AS real_world_events
     FROM domains LEFT JOIN metas USING (page_id)""",
 )
 def job1(spark, sf):

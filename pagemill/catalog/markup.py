@@ -193,6 +193,24 @@ def htm14(spark, sf):
     return meta_pages(spark, sf).select("page_id", F.date_format(mx.meta_date(F.col("tags")), _STAMP).alias("published"))
 
 
+# A third of the addresses has a day of its own; it comes before the meta tags.
+DAY_ADDRESS = "CASE WHEN page_id % 3 = 0 THEN regexp_replace(url, '^(https?://[^/]*)/.*$', 'M1') || '/2019/0' || (1 + page_id % 9) || '/1' || (page_id % 10) || '/news' ELSE 'http://news.example.org/story' END"
+
+
+@query(
+    "dt3_article_date",
+    f"""WITH {META_CTE}, v AS (SELECT page_id, {_PARSED} AS published FROM
+    (SELECT page_id, min_by(content, pos) FILTER (WHERE {SQL_DATE_NAMES}) AS v FROM tags GROUP BY page_id))
+    SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '2019-0' || (1 + page_id % 9) || '-1' || (page_id % 10) || ' 00:00:00' ELSE published END AS published
+    FROM v""",
+)
+def dt3(spark, sf):
+    """Publication date of a page from its address or its meta tags."""
+    urls = table(spark, sf, "pages").select("page_id", F.expr(DAY_ADDRESS.replace("M1", "$1")).alias("address"))
+    dated = meta_pages(spark, sf).select("page_id", "tags").join(urls, "page_id")
+    return dated.select("page_id", F.date_format(mx.article_date(F.col("address"), F.col("tags")), _STAMP).alias("published"))
+
+
 @query(
     "win4_first_date_meta_wins",
     f"""WITH {META_CTE} SELECT page_id, min_by(content, pos) FILTER (WHERE {SQL_DATE_NAMES}) AS value
@@ -276,14 +294,14 @@ def url3(spark, sf):
 
 # Addresses that carry a date.
 DATED_URL = """url || CASE page_id % 6 WHEN 0 THEN '/2017/08/' || CAST(1 + page_id % 28 AS STRING) || '/x.html'
-  WHEN 1 THEN '/2017-8-21-story' WHEN 2 THEN '/2016/nov/09/vote' WHEN 3 THEN '/2017-total-eclipse'
+  WHEN 1 THEN '/2018-5-14-report' WHEN 2 THEN '/2016/nov/09/vote' WHEN 3 THEN '/2018-river-bridge'
   WHEN 4 THEN '/news/20170821/' ELSE '' END"""
 
 
 @query(
     "url4_url_date",
     """SELECT page_id, CASE page_id % 6 WHEN 0 THEN '2017-08-' || lpad(CAST(1 + page_id % 28 AS STRING), 2, '0')
-    WHEN 1 THEN '2017-08-21' WHEN 2 THEN '2016-11-09' WHEN 4 THEN '2017-08-21' END AS url_date FROM pages""",
+    WHEN 1 THEN '2018-05-14' WHEN 2 THEN '2016-11-09' WHEN 4 THEN '2017-08-21' END AS url_date FROM pages""",
 )
 def url4(spark, sf):
     df = table(spark, sf, "pages").select("page_id", F.expr(DATED_URL).alias("url"))

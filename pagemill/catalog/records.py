@@ -136,9 +136,9 @@ def prj4(spark, sf):
     return flat_pages(spark, sf).select("page_id", F.col("real_world_events").alias("label"))
 
 
-@query("prj5_add_event_info", "SELECT page_id, url, 'db' AS database, 'feed' AS source, 'eclipse' AS event FROM pages")
+@query("prj5_add_event_info", "SELECT page_id, url, 'db' AS database, 'feed' AS source, 'flood' AS event FROM pages")
 def prj5(spark, sf):
-    return tb.add_event_info(table(spark, sf, "pages").select("page_id", "url"), "db", "feed", "eclipse")
+    return tb.add_event_info(table(spark, sf, "pages").select("page_id", "url"), "db", "feed", "flood")
 
 
 @query(

@@ -1,7 +1,8 @@
 """WARC archives as a Spark data source (`format("warc")`), read and write.
 
-A `.warc.gz` holds one gzip member per record, so a file is cut into byte ranges:
-a task reads the members that start inside its range. Plain `.warc` files are
+A `.warc.gz` mostly holds one gzip member per record, so a file is cut into byte
+ranges: a task reads the members that start inside its range, and all records of
+each. Plain `.warc` files are
 read by one task each, as a stream."""
 
 from __future__ import annotations
@@ -53,6 +54,10 @@ def _list_files(path: str) -> list[tuple[str, int]]:
     )
 
 
+class TruncatedRecord(ValueError):
+    """A record is shorter than it says."""
+
+
 def _headers(block: bytes) -> tuple[str, dict[str, str]]:
     lines = block.decode("utf-8", "replace").split("\r\n")
     out = {}
@@ -69,7 +74,9 @@ def _row(record: bytes):
     first, fields = _headers(head)
     if not first.startswith("WARC/"):
         return None
-    length = int(fields.get("content-length", len(body)))
+    length = int(fields.get("content-length") or len(body))
+    if len(body) < length:
+        raise TruncatedRecord(f"{fields.get('warc-target-uri')}: {len(body)} of {length} bytes")
     body = body[:length]
     status, http_type, payload = None, None, body
     if body.startswith(b"HTTP/"):
@@ -114,49 +121,72 @@ def _first_member(stream, start: int, end: int):
     return None
 
 
-def _members(stream, start: int, end: int):
-    """Decompressed members that start in [start, end)."""
+def _member_blocks(stream, at: int):
+    """Decompressed blocks of the member at `at`; returns where the next one may
+    start, None at the end of the file."""
+    stream.seek(at)
+    inflate, used = zlib.decompressobj(31), 0
+    while not inflate.eof:
+        block = stream.read(_BLOCK)
+        if not block:
+            return None
+        used += len(block)
+        yield inflate.decompress(block)
+    return at + used - len(inflate.unused_data)
+
+
+def _gz_records(stream, start: int, end: int):
+    """Records of the members that start in [start, end), however many each holds."""
     at = 0 if start == 0 else _first_member(stream, start, end)
     while at is not None and at < end:
-        stream.seek(at)
-        inflate, parts, used = zlib.decompressobj(31), [], 0
-        while not inflate.eof:
-            block = stream.read(_BLOCK)
-            if not block:
-                break
-            parts.append(inflate.decompress(block))
-            used += len(block)
-        if used == 0:
-            return
-        yield b"".join(parts)
-        at += used - len(inflate.unused_data)
+        blocks = _member_blocks(stream, at)
+        following = None
+
+        def walk():
+            nonlocal following
+            following = yield from blocks
+
+        yield from _records(walk())
+        at = following
 
 
-def _plain_records(stream):
-    """Records of an uncompressed archive."""
-    buffer = b""
+def _plain_blocks(stream):
+    while block := stream.read(_BLOCK):
+        yield block
 
-    def fill(n: int) -> bool:
-        nonlocal buffer
-        while len(buffer) < n:
-            block = stream.read(_BLOCK)
-            if not block:
-                return False
-            buffer += block
+
+def _records(blocks):
+    """Records of a stream of blocks. Blocks are taken as records need them; the
+    last record is what is left, which `_row` compares with its stated length."""
+    held, at = bytearray(), 0
+
+    def more() -> bool:
+        block = next(blocks, None)
+        if block is None:
+            return False
+        held.extend(block)
         return True
 
     while True:
-        while fill(2) and buffer.startswith(b"\r\n"):
-            buffer = buffer[2:]
-        cut = buffer.find(b"\r\n\r\n")
-        while cut == -1:
-            if not fill(len(buffer) + 1):
-                return
-            cut = buffer.find(b"\r\n\r\n")
-        length = int(_headers(buffer[:cut])[1].get("content-length", 0))
-        fill(cut + 4 + length)
-        yield buffer[: cut + 4 + length]
-        buffer = buffer[cut + 4 + length:]
+        if at > _BLOCK:
+            del held[:at]
+            at = 0
+        while (len(held) - at >= 2 or more()) and held.startswith(b"\r\n", at):
+            at += 2
+        looked = at
+        while (cut := held.find(b"\r\n\r\n", looked)) == -1:
+            looked = max(at, len(held) - 3)
+            if not more():
+                break
+        if cut == -1:
+            if held[at:].strip():
+                yield bytes(held[at:])
+            return
+        size = cut + 4 - at + int(_headers(bytes(held[at:cut]))[1].get("content-length") or 0)
+        while len(held) - at < size and more():
+            pass
+        yield bytes(held[at : at + size])
+        at = min(at + size, len(held))
 
 
 _ARROW = pa.schema(
@@ -179,6 +209,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
+        self.drop_truncated = options.get("truncated", "fail") == "drop"
 
     def partitions(self):
         out = []
@@ -194,10 +225,15 @@ class WarcReader(DataSourceReader):
         columns, held = [[] for _ in _ARROW], 0
         with fs.open_input_file(part.path) as stream:
             records = (
-                _members(stream, part.start, part.end) if part.path.endswith(".gz") else _plain_records(stream)
+                _gz_records(stream, part.start, part.end) if part.path.endswith(".gz") else _records(_plain_blocks(stream))
             )
             for record in records:
-                row = _row(record)
+                try:
+                    row = _row(record)
+                except TruncatedRecord:
+                    if not self.drop_truncated:
+                        raise
+                    continue
                 if row is None:
                     continue
                 for column, value in zip(columns, row):
@@ -286,10 +322,21 @@ class WarcSource(DataSource):
         return WarcWriter(self.options, overwrite)
 
 
-def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """All records of the archives under `path`."""
+def full_path(spark: SparkSession, path: str) -> str:
+    """`path` with the scheme of the session's default file system, as Spark itself
+    would read it; local only if that is."""
+    home = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///") or "file:///"
+    if "://" in path or path.startswith("file:") or home.startswith("file:"):
+        return path
+    return home.rstrip("/") + "/" + path.lstrip("/")
+
+
+def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, truncated: str = "fail") -> DataFrame:
+    """All records of the archives under `path`. A record that is cut off fails the
+    job, or is left out with truncated="drop"."""
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("splitbytes", split_bytes).load(path)
+    reader = spark.read.format("warc").option("splitbytes", split_bytes).option("truncated", truncated)
+    return reader.load(full_path(spark, path))
 
 
 def response_records(records: DataFrame) -> DataFrame:
@@ -302,4 +349,4 @@ def write_warc(df: DataFrame, path: str) -> None:
     df.select(
         F.lit("response").alias("warc_type"), "target_uri", "warc_date", F.lit(None).cast("string").alias("content_type"),
         F.lit(200).alias("http_status"), "http_content_type", "payload",
-    ).write.format("warc").mode("append").save(path)
+    ).write.format("warc").mode("append").save(full_path(df.sparkSession, path))

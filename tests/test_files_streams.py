@@ -1,5 +1,7 @@
 import gzip
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pagemill import schemas
@@ -40,6 +42,26 @@ def test_warc_gz_ranges_and_plain(spark, tmp_path):
     assert row.mime_type == "application/http" and "café" in row.clean_text
 
 
+def test_warc_many_records_in_one_member(spark, tmp_path):
+    bodies = [b"x" * n for n in (5, 0, 300_000, 7, 12)]
+    records = [
+        b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: http://a.example/%d\r\nContent-Length: %d\r\n\r\n" % (i, len(b)) + b + b"\r\n\r\n"
+        for i, b in enumerate(bodies)
+    ]
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(records[:3])) + gzip.compress(b"".join(records[3:])))
+    rows = warc.read_warc(spark, str(tmp_path), 1 << 20).collect()
+    assert sorted((r.target_uri[-1], len(r.payload)) for r in rows) == [(str(i), len(b)) for i, b in enumerate(bodies)]
+
+
+def test_warc_truncation_is_reported(spark, tmp_path):
+    head = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: http://a.example/%d\r\nContent-Length: 5\r\n\r\n"
+    whole = gzip.compress(head % 0 + b"12345\r\n\r\n")
+    (tmp_path / "cut.warc.gz").write_bytes(whole + gzip.compress(head % 1 + b"1"))
+    with pytest.raises(Exception, match="1 of 5 bytes"):
+        warc.read_warc(spark, str(tmp_path)).collect()
+    assert [r.target_uri for r in warc.read_warc(spark, str(tmp_path), truncated="drop").collect()] == ["http://a.example/0"]
+
+
 def test_warc_write_then_read(spark, tmp_path):
     df = spark.createDataFrame([("http://a", b"<p>1</p>"), ("http://b", b"")], "target_uri string, payload binary").select(
         "target_uri", F.lit("2020-01-01 00:00:00").cast("timestamp").alias("warc_date"), F.lit("text/html").alias("http_content_type"), "payload"

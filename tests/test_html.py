@@ -1,5 +1,6 @@
 import html as html_lib
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill import fixed
@@ -116,3 +117,19 @@ def test_json_ld_and_tag_dates(one):
     assert str(one('<time datetime="2015-01-02">x</time>', mx.tag_date(S())))[:10] == "2015-01-02"
     assert one('<time datetime="soon">x</time><p class="pubdate">2015-01-02</p>', mx.tag_date(S())) is None
     assert str(one('<p class="pubdate">x</p><div class="date">2015-01-04</div>', mx.tag_date(S())))[:10] == "2015-01-04"
+
+
+@pytest.mark.parametrize("unclosed", ["<!-- ", "<a href=x ", "<script ", "<title ", "<meta name=a ", "<style x>"])
+def test_unclosed_markup_is_linear(spark, unclosed):
+    """A megabyte of one unclosed form; the quadratic scan took hours."""
+    import time
+
+    from pagemill.functions import meta as mx
+
+    page = "<p>text</p>" + unclosed * (1_000_000 // len(unclosed))
+    df = spark.createDataFrame([(page,)], "s string").select(
+        hx.visible_text(F.col("s")).alias("v"), hx.title(F.col("s")).alias("t"), mx.meta_tags(F.col("s")).alias("m"), hx.links(F.col("s")).alias("l")
+    )
+    started = time.time()
+    assert df.first()["v"].startswith("text")
+    assert time.time() - started < 30

@@ -144,3 +144,39 @@ def test_consolidate_last_write_wins(spark):
     rows = {r.row_key: r for r in tb.consolidate(old, new).collect()}
     assert rows["k"].title is None and rows["k"].status_code == "0200"
     assert rows["m"].status_code == "tie"
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_lookups_with_repeated_ids(spark, limit):
+    docs = spark.createDataFrame([(1, ["cats", "x"]), (1, ["dog"]), (1, ["dog"]), (None, ["cats"])], "doc_id bigint, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat")], "form string, lemma string")
+    rows = lk.lemmatize(docs, "doc_id", "tokens", lemmas, limit=limit).select("lemmatized").collect()
+    assert sorted(r.lemmatized for r in rows) == [["cat"], ["cat", "x"], ["dog"], ["dog"]]
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_long_phrases_and_repeated_ids(spark, limit):
+    from pagemill.functions.text import tokens
+
+    text = "Visit O'Hare and the united states of america today"
+    docs = spark.createDataFrame([(1, text), (1, text), (1, "o hare")], "doc_id bigint, text string").withColumn("tokens", tokens(F.col("text")))
+    listed = spark.createDataFrame(
+        [("O'Hare", "PLACE"), ("The United States of America today", "EVENT"), ("of the", "NONE")], "phrase string, type string"
+    )
+    rows = en.tag_arrays(docs, "doc_id", "tokens", listed, limit=limit, cut=tokens).select("tokens", "tags").collect()
+    found = sorted([(t, g) for t, g in zip(r.tokens, r.tags) if g != "O"] for r in rows)
+    place, event = [("hare", "PLACE")], [(w, "EVENT") for w in ("united", "states", "america", "today")]
+    assert found == sorted([place + event, place + event, place])
+
+
+def test_cosine_routes_agree_on_repeated_urls(spark):
+    from pagemill.plans.relevance import cosine_to_model
+
+    rows = [("u", [("a", 2), ("b", 1)]), ("u", [("c", 1)]), ("u", [("a", 2), ("b", 1)]), ("v", []), ("w", None)]
+    docs = spark.createDataFrame(rows, "url string, terms array<struct<term:string,tf:bigint>>")
+    model = spark.createDataFrame([("a", 0.5), ("c", 0.25)], "term string, weight double")
+    ways = [
+        sorted((r.url, round(r.score, 9)) for r in cosine_to_model(docs.where("terms is not null"), "no_such_column", "terms", model, "score", n).collect())
+        for n in (10, 0)
+    ]
+    assert ways[0] == ways[1] and len(ways[0]) == 4

@@ -136,3 +136,15 @@ def test_date_score(spark, days, kind, expected):
     event = F.lit("2020-06-01 12:00:00").cast("timestamp")
     page = F.lit(None).cast("timestamp") if days is None else event + F.make_dt_interval(F.lit(days))
     assert spark.range(1).select(dx.date_score(page, event, kind)).first()[0] == pytest.approx(expected)
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("Nov. 26, 2015", "2015-11-26 00:00"), ("Sept 3, 2015", "2015-09-03 00:00"), ("26.11.2015", "2015-11-26 00:00"),
+        ("November 26th, 2015", "2015-11-26 00:00"), ("26-Nov-2015", "2015-11-26 00:00"), ("11/26/15", "2015-11-26 00:00"),
+        ("26 November 2015 14:42", "2015-11-26 14:42"), ("2015-11-26 14:42 EST", "2015-11-26 14:42"),
+    ],
+)
+def test_more_date_layouts(one, text, day):
+    assert one(text, F.date_format(dx.parse_date(F.col("s")), "yyyy-MM-dd HH:mm")) == day
