@@ -199,7 +199,7 @@ def jn6(spark, sf):
     f"WITH {FRONTIER_SQL} SELECT b.url, round(b.score, 9) AS priority, ids.doc_id FROM best b JOIN ids ON b.url = ids.url",
 )
 def jn7(spark, sf):
-    popped = fr.pop_best(frontier(spark, sf), seen(spark, sf), table(spark, sf, "documents").count())
+    popped = fr.pop_best(frontier(spark, sf), seen(spark, sf), None)
     pages = graph_pages(spark, sf).select("url", "doc_id")
     return popped.join(pages, "url").select("url", F.round("score", 9).alias("priority"), "doc_id")
 

@@ -71,6 +71,7 @@ def source_ratio(rel: Column, nonrel: Column) -> Column:
 
 def with_source_ratio(links: DataFrame, counts: DataFrame, url: str = "dst_url", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Add the importance of each link's target source; unseen sources give 1."""
+    counts = settle(counts, "source-counts")  # its size is checked before it is used
     side = F.broadcast(counts) if fits(counts, limit) else counts
     return (
         links.withColumn("domain", host(F.col(url))).join(side, "domain", "left")
@@ -100,15 +101,15 @@ def link_priorities(links: DataFrame, method: int = 1, threshold: float = fixed.
     return first.withColumn("total", total).filter(F.col("total") >= threshold)
 
 
-def pop_best(frontier: DataFrame, visited: DataFrame, n: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Best n unvisited addresses by score, then url, then parent."""
+def pop_best(frontier: DataFrame, visited: DataFrame, n: int | None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Best n unvisited addresses by score, then url, then parent; all of them, in no
+    order and without a top-k, when n is None."""
     seen = F.broadcast(visited) if fits(visited, limit) else visited
     best = frontier.join(seen, "url", "left_anti").groupBy("url").agg(
         F.min(F.struct((-F.col("score")).alias("neg"), "parent_id")).alias("_k")
     )
-    return best.select((-F.col("_k.neg")).alias("score"), "url", F.col("_k.parent_id").alias("parent_id")).orderBy(
-        F.desc("score"), "url", "parent_id"
-    ).limit(n)
+    best = best.select((-F.col("_k.neg")).alias("score"), "url", F.col("_k.parent_id").alias("parent_id"))
+    return best if n is None else best.orderBy(F.desc("score"), "url", "parent_id").limit(n)
 
 
 def _bucket(url: str, n: int) -> Column:
