@@ -76,4 +76,3 @@ VOCABULARY_SIZE = 10
 MIN_DOCUMENT_FREQUENCY = 2
 MIN_LOCATION_COUNT = 20
 PAGE_LIMIT = 1000
-BATCH_SIZE = 1000

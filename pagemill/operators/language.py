@@ -31,11 +31,6 @@ def word_grams(word: Column, max_gram: int = MAX_GRAM) -> Column:
     return F.flatten(F.array(*[of_length(n) for n in range(1, max_gram + 1)]))
 
 
-def text_grams(text: Column, max_gram: int = MAX_GRAM) -> Column:
-    """All n-grams of the lower-cased words of a text."""
-    return F.flatten(F.transform(words(text), lambda w: word_grams(F.lower(w), max_gram)))
-
-
 @dataclass
 class LanguageProfiles:
     """`table` is (gram, logp array in the order of `languages`); `unseen` holds

@@ -31,7 +31,7 @@ WARC_RECORDS = T.StructType(
     ]
 )
 
-# Column families of the page record, in output order.
+# Column families of the page record, in output order.
 METADATA = ["doc_type", "collection_id", "collection_name", "database", "source"]
 WEBPAGE = [
     "url", "html", "language", "title", "author", "organization_name", "create_time", "domain_name",
@@ -42,5 +42,4 @@ CLEAN_WEBPAGE = [
     "ner_organization", "ner_location", "real_world_events",
 ]
 FAMILIES = {"metadata": METADATA, "webpage": WEBPAGE, "clean_webpage": CLEAN_WEBPAGE}
-COMMA_LISTS = ["language", "tokens", "stemmed", "lemmatized", "pos", "tweet_ids"]
 SEMICOLON_LISTS = ["sub_urls", "ner_people", "ner_organization", "ner_location"]

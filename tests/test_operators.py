@@ -180,3 +180,9 @@ def test_cosine_routes_agree_on_repeated_urls(spark):
         for n in (10, 0)
     ]
     assert ways[0] == ways[1] and len(ways[0]) == 4
+
+
+def test_language_pairs(spark):
+    df = spark.createDataFrame([([(0.75, "en"), (0.25, "fr")],)], "languages array<struct<prob:double,lang:string>>")
+    row = df.select(lg.language_pairs(F.col("languages")).alias("p"), lg.language_codes(F.col("languages")).alias("c")).first()
+    assert row.p == ["en:0.75", "fr:0.25"] and row.c == ["en", "fr"]
