@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pagemill import fixed
 from pagemill.catalog.base import (
-    FETCH_CTE, PHRASES, SCORED_CTE, SQL_TEXT_CODE, STOP, TEXT_CTE, TOKEN_CTE, TOPIC_CTE, TWEET_CTE, fetches, model_docs,
-    query, scored, sql_list, sql_mask, sql_stems, sql_tokens, table, tweets,
+    FETCH_CTE, MODEL_STOP, PHRASES, SCORED_CTE, SQL_TEXT_CODE, STOP, TEXT_CTE, TOKEN_CTE, TOPIC_CTE, TWEET_CTE,
+    fetches, model_docs, query, scored, sql_list, sql_mask, sql_model_words, sql_stems, sql_title, sql_tokens, sql_visible, table,
+    tweets,
 )
 from pagemill.catalog.documents import (
     GAZETTEER_CTE, LEMMA_CTE, LEXICON_CTE, LINK_TERM_CTE, LOCATION_CTE, SQL_FALLBACK, TAG_CTE, gazetteer, lemma_table, lexicon,
@@ -16,6 +17,7 @@ from pagemill.catalog.documents import (
 from pagemill.catalog.markup import META_CTE, META_HTML, SQL_DATE_NAMES, SQL_DOMAIN, SQL_LOCATION, _last
 from pagemill.catalog.records import _warc
 from pagemill.catalog.scoring import graph_links, graph_pages
+from pagemill.functions import html as hx
 from pagemill.functions.arrays import term_counts
 from pagemill.operators import tables as tb
 from pagemill.plans import clean as cl
@@ -298,6 +300,45 @@ def job7(spark, sf):
     return fr.focused_expand(seeds, pages, graph_links(spark, sf), fr.CrawlOptions(batch=500)).scored
 
 
+PAGE_TERM_CTE = f"""seen AS (SELECT page_id, {sql_title('html')} AS title, {sql_visible('html')} AS visible FROM pages),
+pw AS (SELECT page_id, {sql_model_words("title || ' ' || title || chr(10) || visible")} AS words FROM seen
+  WHERE trim(title || visible, ' ' || chr(10)) <> ''),
+pwords AS (SELECT page_id, unnest(words) AS token FROM pw),
+{sql_stems('pwords', 'ps')},
+ptf AS (SELECT page_id, stem AS term, count(*) AS tf FROM pwords JOIN ps_stems USING (token)
+  WHERE NOT list_contains({sql_list(MODEL_STOP)}, stem) GROUP BY ALL),
+size AS (SELECT sqrt(sum(weight * weight)) AS norm FROM model),
+pscore AS (SELECT page_id, coalesce(sum(tf * weight), 0.0) / (any_value(n) * (SELECT norm FROM size)) AS score
+  FROM ptf LEFT JOIN model USING (term) JOIN (SELECT page_id, sqrt(sum(tf * tf)) AS n FROM ptf GROUP BY page_id) USING (page_id) GROUP BY page_id),
+ltf AS (SELECT page_id, pos, term, count(*) AS tf FROM ltok GROUP BY ALL),
+lscore AS (SELECT page_id, pos, coalesce(sum(tf * weight), 0.0) / (any_value(n) * (SELECT norm FROM size)) AS score
+  FROM ltf LEFT JOIN model USING (term) JOIN (SELECT page_id, pos, sqrt(sum(tf * tf)) AS n FROM ltf GROUP BY page_id, pos) USING (page_id, pos)
+  GROUP BY page_id, pos)"""
+
+
+@query(
+    "job7_pages_round",
+    f"""WITH {TOPIC_CTE}, {LINK_TERM_CTE}, {PAGE_TERM_CTE}, rated AS (SELECT page_id, pos, coalesce(p.score, 0.0) AS page_score,
+      coalesce(l.score, 0.0) AS link_score FROM ltext LEFT JOIN pscore p USING (page_id) LEFT JOIN lscore l USING (page_id, pos))
+    SELECT page_id, pos, round(page_score, 9) AS page_score, round(link_score, 9) AS link_score,
+      round(page_score * link_score, 9) AS total FROM rated""",
+)
+def job7_pages(spark, sf):
+    """From stored pages to the priorities of their links: text, terms, page score,
+    links, link score, total."""
+    scorer = rv.TopicScorer(rv.build_topic_model(model_docs(spark, sf)))
+    stored = table(spark, sf, "pages").select(
+        "page_id", hx.clean_text(hx.title(F.col("html")), hx.visible_text(F.col("html"))).alias("clean_text")
+    )
+    scores = scorer.page_scores(rv.page_terms(stored)).select("page_id", F.col("score").alias("page_score"))
+    rated = scorer.link_scores(rv.link_terms(page_link_rows(spark, sf))).join(scores, "page_id")
+    total = fr.link_total(F.col("page_score"), F.col("link_score"), F.lit(1.0), F.lit(0))
+    return rated.select(
+        "page_id", "pos", F.round("page_score", 9).alias("page_score"), F.round("link_score", 9).alias("link_score"),
+        F.round(total, 9).alias("total"),
+    )
+
+
 @query(
     "job8_evaluate",
     f"""WITH {SCORED_CTE}, l AS (SELECT page_id, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS label FROM scored)
