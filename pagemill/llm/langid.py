@@ -98,6 +98,14 @@ class Pieces:
         return arcs
 
 
+def letter_runs(text: str) -> list[str]:
+    """Runs of letters. Numerals such as superscripts are word characters, not letters."""
+    out = []
+    for run in WORD.findall(text):
+        out += [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split()
+    return out
+
+
 def by_length(words: list[str]) -> dict[int, list[int]]:
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
@@ -180,7 +188,7 @@ def fit(docs: DataFrame, labelled: DataFrame, vocabulary: str | None = None) ->
             docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most DOCS_PER_LANGUAGE ids
             .where(F.octet_length("text") <= LEARN_BYTES).orderBy("doc_id", "text").select("text").collect()
         )
-        found = Counter(w for r in rows for w in WORD.findall(r["text"].lower()) if len(w) <= MAX_WORD)
+        found = Counter(w for r in rows for w in letter_runs(r["text"].lower()) if len(w) <= MAX_WORD)
         if found:
             counts[lang] = found
     return learn(counts, shares, public_pieces(vocabulary))
@@ -207,7 +215,7 @@ def predict(docs: DataFrame, model: UnigramModel, text: str = "text", out: str =
             if len(known) > CACHE:
                 known, table = {}, np.zeros((0, k + 1))
             new = list({c for chunks in split for c in chunks if c not in known})
-            words = [WORD.findall(c) for c in new]
+            words = [letter_runs(c) for c in new]
             flat = [p for ws in words for w in ws for p in parts(w)]
             owner = np.repeat(np.arange(len(new)), [sum(len(parts(w)) for w in ws) for ws in words]) if new else np.zeros(0, int)
             fresh = np.zeros((len(new), k + 1))

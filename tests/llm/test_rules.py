@@ -124,3 +124,7 @@ def test_language_edges(spark, edge, empty):
 def test_repeated_words_short(text):
     words = text.encode().split()
     assert bands.repeated_words(words) == brute.rules_row(text)["n_repeat_words"]
+
+
+def test_letters_only():
+    assert langid.letter_runs("a²b ½ x_y 12 É") == ["a", "b", "x", "y", "É"]
