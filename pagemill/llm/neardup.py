@@ -11,10 +11,12 @@ A value on more than LONG_LIST sketches is no basis for pairs of all its holders
   are retained, so there it is certain; else a miss needs 16 independent values to
   fail together).
 * The others ("common" classes: large groups of near copies) are first compared
-  with the hub of each of their long lists only. What is not joined with a hub
-  that way is compared, over full sets, with every common class that holds one of
-  its rarest shingles (prefix filter), unless the shingles nobody else has already
-  rule the pair out. This is exact and leaves out only pairs already connected.
+  with the hub of each of their long lists only, the member with the fewest
+  shingles of its own. What is not joined with a hub that way needs a partner that
+  holds one of its rarest shingles (prefix filter over the full sets). Shingles
+  with few holders are joined as they are. A partner that shares none of those
+  differs in all of them, which rules most pairs out before a frequent shingle is
+  joined. This is exact and leaves out only pairs already connected.
 
 Links decide components; so pairs inside one component need no further check."""
 
@@ -63,8 +65,8 @@ def sketch_rows(docs: DataFrame, size: int) -> DataFrame:
     @F.pandas_udf("n long, sketch array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            sets = [shingle_hashes(t, size) for t in texts]
-            yield pd.DataFrame({"n": [len(s) for s in sets], "sketch": [s[:SKETCH] for s in sets]})
+            found = [(len(s), s[:SKETCH].copy()) for s in (shingle_hashes(t, size) for t in texts)]
+            yield pd.DataFrame(found, columns=["n", "sketch"])
 
     plain = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), r"[\x20\x09-\x0D]+", " "))
     return docs.select("row", "doc_id", F.when(plain != "", text_key(plain)).alias("cls"), run("text").alias("s")).select(
@@ -160,43 +162,48 @@ def with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def common_classes(classes: DataFrame, lists: DataFrame) -> DataFrame:
-    """(cls, n, long): classes with more than half of their sketch on long lists."""
+    """(cls, n, row): classes with more than half of their sketch on long lists."""
     long = lists.where(F.col("holders") > LONG_LIST).groupBy("cls").agg(F.count("*").alias("long"))
-    return classes.join(long, "cls").where("2 * long > size(sketch)").select("cls", "n", "long", "row", "sketch")
+    return classes.join(long, "cls").where("2 * long > size(sketch)").select("cls", "n", "row")
 
 
-def rest_pairs(common: DataFrame, sets: DataFrame, lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def common_tokens(common: DataFrame, sets: DataFrame) -> DataFrame:
+    """(cls, n, token, df, at): the shingles of the common classes, how many of these
+    have each, and its place in the order from the rarest on. Written."""
+    tokens = sets.join(common.select("cls", "n"), "cls").select("cls", "n", F.explode("items").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("cls").orderBy("df", "token")
+    return settle(tokens.join(counts, "token").withColumn("at", F.row_number().over(order)), "common-tokens")
+
+
+def rest_pairs(common: DataFrame, tokens: DataFrame, lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """(a, b) among the common classes that could still be linked, where a is not
     joined with the hub of one of its long lists. lists(value, cls, hub)."""
     root = roots.select(F.col("node").alias("cls"), "root")
     placed = settle(
-        common.select("cls", "n").join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "common-roots"
+        common.select("cls", "n", "spread").join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "common-roots"
     )
     hubs = placed.select(F.col("cls").alias("hub"), F.col("root").alias("hub_root"))
     apart = (
         lists.select("cls", "hub").distinct().join(placed, "cls").join(hubs, "hub")
         .where("root <> hub_root").select("cls").distinct()
     )
-    tokens = sets.join(placed, "cls").select("cls", "n", "root", F.explode("items").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("df"))
-    tokens = settle(tokens.join(counts, "token"), "common-tokens")
-    # Shingles nobody else has bound every intersection of a class.
-    most = tokens.groupBy("cls").agg(F.count_if(F.col("df") > 1).alias("most"))
-    order = Window.partitionBy("cls").orderBy("df", "token")
-    left = (
-        tokens.join(apart, "cls", "left_semi").withColumn("at", F.row_number().over(order))
-        .where(f"100 * (at - 1) <= (100 - {percent}) * n AND df > 1").join(most, "cls")
-        .select("token", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("most").alias("ma"))
+    # A partner has one of the first tokens up to this place.
+    prefix = tokens.where(f"df > 1 AND 100 * (at - 1) <= (100 - {percent}) * n").join(apart, "cls", "left_semi")
+    left = prefix.join(placed.select("cls", "spread", "root"), "cls").select(
+        "token", "df", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("spread").alias("ca"), F.col("root").alias("ra")
     )
-    right = tokens.where("df > 1").join(most, "cls").select(
-        "token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("most").alias("mb")
+    right = tokens.where("df > 1").select("token", "cls").join(placed, "cls").select(
+        "token", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("spread").alias("cb"), F.col("root").alias("rb")
     )
-    # A pair needs 100 i >= percent (na + nb - i); i is at most what either side shares with anybody.
-    possible = f"(100 + {percent}) * least(ma, mb) >= {percent} * (na + nb)"
-    able = F.expr(f"(100 + {percent}) * least(ma, na) >= {percent} * na + {percent} * ma")
-    pairs = left.where(able).join(
-        right.where(F.expr(f"(100 + {percent}) * least(mb, nb) >= {percent} * nb + {percent} * mb")), "token"
-    ).where(F.expr(f"ra <> rb AND {possible}"))
+    rare = left.where(F.col("df") <= LONG_LIST).join(right, "token").where((F.col("ra") != F.col("rb")) & size_bound("na", "nb", percent))
+    # Without a rare shingle in common the intersection is at most the lesser count
+    # of frequent ones: 100 i >= percent * (na + nb - i).
+    able = [F.expr(f"100 * {c} >= {percent} * {n}") for c, n in (("ca", "na"), ("cb", "nb"))]
+    wide = left.where((F.col("df") > LONG_LIST) & able[0]).join(right.where(able[1]), "token").where(
+        F.expr(f"ra <> rb AND (100 + {percent}) * least(ca, cb) >= {percent} * (na + nb)")
+    )
+    pairs = rare.select("a", "b").union(wide.select("a", "b"))
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -219,10 +226,14 @@ def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     )
     lists = settle(postings(classes), "postings")
     common = settle(common_classes(classes, lists), "common")
-    long = lists.where(F.col("holders") > LONG_LIST).join(common.select("cls", "long"), "cls", "left_semi")
-    ranked = long.join(common.select("cls", "long"), "cls")
-    hubs = ranked.groupBy("value").agg(F.min(F.struct((-F.col("long")).alias("rank"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"))).alias("h"))
-    in_long = settle(ranked.join(hubs, "value").select("value", "cls", "n", "h.hub", "h.hub_n"), "long-lists")
+    common_sets = settle(full_sets(source, common.select("cls", "row"), shingle), "common-sets")
+    tokens = common_tokens(common, common_sets)
+    common = settle(
+        common.join(tokens.groupBy("cls").agg(F.count_if(F.col("df") > LONG_LIST).alias("spread")), "cls"), "common-spread"
+    )
+    long = lists.where(F.col("holders") > LONG_LIST).select("value", "cls").join(common.select("cls", "n", "spread"), "cls")
+    hubs = long.groupBy("value").agg(F.min(F.struct(F.expr("n - spread").alias("own"), F.col("cls").alias("hub"), F.col("n").alias("hub_n"))).alias("h"))
+    in_long = settle(long.join(hubs, "value").select("value", "cls", "n", "h.hub", "h.hub_n"), "long-lists")
 
     rare = settle(likely(rare_pairs(lists, percent), classes, percent), "rare-pairs")
     stars = likely(
@@ -232,13 +243,12 @@ def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     stars = settle(stars, "star-pairs")
     # First each class with the least partner, then what that has not joined.
     first = rare.groupBy(F.col("b")).agg(F.min("a").alias("a")).select("a", "b").union(stars).distinct()
-    ends = rare.select("a").union(rare.select("b")).union(stars.select("a")).union(stars.select("b")).union(common.select("cls"))
-    wanted = settle(ends.toDF("cls").distinct().join(classes.select("cls", "row"), "cls"), "wanted")
-    sets = settle(full_sets(source, wanted, shingle), "full-sets")
+    ends = rare.select("a").union(rare.select("b")).toDF("cls").distinct().join(common, "cls", "left_anti")
+    wanted = settle(ends.join(classes.select("cls", "row"), "cls"), "wanted")
+    sets = settle(full_sets(source, wanted, shingle), "full-sets").union(common_sets)
     links = settle(confirmed(first, sets, percent), "links")
     roots = settle(components(links, "stars"), "roots")
-    common_sets = sets.join(common.select("cls"), "cls", "left_semi")
-    more = with_roots(rare, roots).union(likely(rest_pairs(common, common_sets, in_long, roots, percent), classes, percent))
+    more = with_roots(rare, roots).union(likely(rest_pairs(common, tokens, in_long, roots, percent), classes, percent))
     more = settle(confirmed(more.distinct(), sets, percent), "more-links")
     if not more.isEmpty():
         known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
