@@ -1,8 +1,8 @@
 """Repeated passages by content-defined chunking.
 
 A gear rolling hash over the last GEAR_BYTES bytes ends a chunk wherever its value
-is low, so chunks depend on their own text only and an insertion shifts none but
-its neighbours. Chunks with a digest that several documents have are repeated;
+is the lowest within REACH bytes on either side. Chunks so depend on the text
+nearby only, an insertion shifts none but its neighbours, and none is short. Chunks with a digest that several documents have are repeated;
 runs of repeated chunks that are long enough are reported, and all but the first
 copy of each chunk can be removed."""
 
@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 from pagemill.session import settle
 
 GEAR_BYTES = 16
-MEAN = 20  # bytes from one cut to the next, on average
-# Periodic text may have no low value at all. A stretch this long without a cut is
-# cut at values up to twice, four and eight times as high, APART bytes or more apart.
+REACH = 16  # a chunk has 2 * REACH + 1 bytes on average, and more than REACH
+# Periodic text repeats its lowest value. A stretch this long without a cut is cut
+# at values below these, one after the other, APART bytes or more apart.
 STRETCH, APART = 128, 8
+STRETCH_VALUES = (6_553, 13_107, 26_214)
 LONGEST = 4_096
 LEAST_WORDS = 20  # of a run
 # One number for each byte value, from a fixed rule.
@@ -44,19 +45,32 @@ def gear_values(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def lowest(values: np.ndarray) -> np.ndarray:
+    """True where a value is below the REACH values before it and not above the
+    REACH after it. Running minima over 1, 2, 4, ... and REACH values."""
+    n = len(values)
+    most = np.full(REACH, 1 << 16, np.int32)
+    padded = np.concatenate([most, values, most])
+    low, width = padded, 1
+    while width < REACH:
+        step = min(width, REACH - width)
+        low = np.minimum(low[:-step], low[step:])
+        width += step
+    return (values < low[:n]) & (values <= low[REACH + 1 : REACH + 1 + n])
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text's bytes (the last one is its length)."""
     if not len(data):
         return np.zeros(0, np.int64)
     values = gear_values(data)
-    low = (1 << 16) // MEAN
-    ends = np.union1d(np.flatnonzero(values < low) + 1, [len(data)])
-    for factor in (2, 4, 8):
+    ends = np.union1d(np.flatnonzero(lowest(values)) + 1, [len(data)])
+    for low in STRETCH_VALUES:
         sizes = np.diff(ends, prepend=0)
         more = []
         for end, size in zip(ends[sizes > STRETCH].tolist(), sizes[sizes > STRETCH].tolist()):
             last = end - size
-            for at in (np.flatnonzero(values[last:end] < low * factor) + last + 1).tolist():
+            for at in (np.flatnonzero(values[last:end] < low) + last + 1).tolist():
                 if at - last >= APART:
                     more.append(at)
                     last = at
@@ -123,8 +137,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str, text: str, least_words: int) -
     )
     chunks = settle(chunk_rows(rows), "chunks")
     shared = chunks.where("new").groupBy("digest").agg(F.count("*").alias("holders")).where("holders > 1").select("digest")
-    found = chunks.select("rid", "doc_id", "digest", "place").join(shared, "digest").select(
-        "rid", "doc_id", "digest", F.expr("place >> 27").alias("start"), F.expr("(place >> 13) & 16383").alias("length"),
+    found = chunks.select("rid", "digest", "place").join(shared, "digest").select(
+        "rid", "digest", F.expr("place >> 27").alias("start"), F.expr("(place >> 13) & 16383").alias("length"),
         F.expr("place & 8191").alias("words"),
     )
     order = Window.partitionBy("rid").orderBy("start", "length")
@@ -138,7 +152,8 @@ def repeated_chunks(docs: DataFrame, doc_id: str, text: str, least_words: int) -
         F.xxhash64("digest", F.lead("digest").over(within)),
     )
     found = found.where(F.col("total") >= least_words).withColumn("pair", pair)
-    return settle(found.select("rid", "doc_id", "start", "length", "words", "pair", "run"), "runs")
+    ids = chunks.where("place < 134217728").select("rid", "doc_id").distinct()  # first chunks
+    return settle(found.join(ids, "rid").select("rid", "doc_id", "start", "length", "words", "pair", "run"), "runs")
 
 
 def with_first(found: DataFrame) -> DataFrame:
