@@ -208,8 +208,10 @@ def rest_pairs(common: DataFrame, tokens: DataFrame, lists: DataFrame, roots: Da
 
 
 def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of `docs`: (row, doc_id, n_shingles, component_id, kept).
-    `row` is row_key of the row; rows that agree in it have equal results.
+    """One row per row of `docs`: (row, doc_id, n_shingles, component_id, kept, group).
+    `row` is row_key of the row; rows that agree in it have equal results. `group`
+    is the component's own key (null without shingles): ids may repeat or be null,
+    so component_id does not tell components apart.
 
     Words are lower-cased in A-Z and split at the six ASCII blanks. A text of fewer
     words than a shingle is one shingle; null, empty and blank texts have none, are
@@ -257,10 +259,13 @@ def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     named = classes.select("cls", "least").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
     named = named.withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = named.join(least, "root").select("cls", "component_id")
+    of_class = named.join(least, "root").select("cls", "component_id", "root")
     joined = rows.select("row", "doc_id", F.col("n").alias("n_shingles"), "cls").join(of_class, "cls", "left")
     own = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("row", "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return joined.select(
+        "row", "doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"),
+        F.col("root").alias("group"),
+    )
 
 
 def row_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -269,11 +274,12 @@ def row_key(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Colu
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """`docs`, all columns, with one row of each component: the row of its least
-    doc_id (of equal ids the one whose key is least; of equal rows any one).
-    Documents without words all stay."""
+    doc_id (null ids last; of equal ids the one whose key is least; of equal rows
+    any one). Documents without words all stay."""
     groups = settle(find_groups(docs, doc_id, text, shingle, percent), "groups")
     full = groups.where("n_shingles > 0")
-    best = full.where("kept").groupBy("component_id").agg(F.min("row").alias("row")).select("row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    best = full.groupBy("group").agg(first.alias("f")).select("f.row")
     counts = full.groupBy("row").agg(F.count("*").alias("copies"))
     keep = best.join(counts, "row").union(groups.where("n_shingles = 0").select("row").distinct().select("row", F.lit(1).alias("copies")))
     keep = settle(keep.select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "kept-rows")

@@ -108,7 +108,7 @@ FROM least LEFT JOIN sizes USING (doc_id)
 @query("op10_bottom_k", OP10_SQL)
 def op10_bottom_k(spark, folder):
     docs = present(table(spark, folder, "documents"), ["doc_id", "text"])
-    return neardup.find_groups(docs).drop("row")
+    return neardup.find_groups(docs).drop("row", "group")
 
 
 @query("op9_bootstrapped_pii")

@@ -142,6 +142,19 @@ def test_group_edges(edge, empty, edge_rows):
     assert neardup.drop_copies(empty).count() == 0
 
 
+def test_null_and_repeated_ids_are_not_copies(spark):
+    """Unlike texts stay, whatever their ids; of copies one stays, a numbered one first."""
+    rng = random.Random(12)
+    alone = [(None, prose(rng, 40)) for _ in range(6)] + [(7, prose(rng, 40)) for _ in range(3)] + [(7, "One"), (None, "two words")]
+    pair, twin = prose(rng, 60), prose(rng, 60)
+    rows = alone + [(None, pair), (None, pair + " end"), (None, pair), (7, twin), (None, twin), (9, twin + " end"), (None, None), (7, "")]
+    kept = [tuple(r) for r in neardup.drop_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    of_pair = [r for r in kept if r[1] and r[1].startswith(pair)]
+    assert len(of_pair) == 1 and of_pair[0][0] is None
+    assert sorted(map(repr, set(kept) - set(of_pair))) == sorted(map(repr, alone + [(7, twin), (None, None), (7, "")]))
+    assert len(kept) == len(alone) + 4
+
+
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
     roots = {r["node"]: r["root"] for r in neardup.components(edges, "t").collect()}
