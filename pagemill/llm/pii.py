@@ -4,15 +4,17 @@ The base finds e-mail addresses, IP addresses, card and phone numbers by form.
 Those are the seed instances. The words around an instance are its lexical
 patterns; patterns and instances make a graph that is scored in rounds: a pattern
 is worth the share of its instances that are good, an instance is good if one of
-its patterns is. Patterns of high confidence then mark further identifiers
-(tokens with a digit) that have no known form. Built-in functions only."""
+its patterns is. Patterns of high confidence then mark further identifiers that
+have no known form: tokens with a digit, runs of digit groups, and, at the places
+of patterns that identifiers without a digit have given, words. Built-in functions
+only."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import text_key
+from pagemill.llm.common import maybe_broadcast, text_key
 from pagemill.session import settle
 
 # Kinds in their order and the forms of the base. Possessive
@@ -34,11 +36,22 @@ NEEDS = {
 }
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-# Tokens with a digit: possible identifiers.
+# Tokens with a digit: possible identifiers, of any length.
 TOKEN_CHARS = r"A-Za-z0-9._:/#@+-"
 TOKEN = rf"(?<![{TOKEN_CHARS}])[A-Za-z._:/#@+-]*+[0-9][{TOKEN_CHARS}]*+"
-LEAST_TOKEN = 5
-BLANK = r"[\x20\x09-\x0D]"
+# Digit groups joined by a blank, brackets, dot or hyphen; each is a whole token.
+GROUP = r"[0-9]++(?:[.-]++[0-9]++)*+(?![._:/#@+-]*+[A-Za-z0-9_])"
+JOIN = r"\)?+[\x20\xA0]?+(?:-[\x20\xA0]?+)?+\(?+"
+RUN = rf"(?<![{TOKEN_CHARS}])(?:\((?=\+?[0-9]++\)))?+\+?+[0-9]++(?:[.-]++[0-9]++)*+(?:\)(?=[0-9])|(?![._:/#@+-]*+[A-Za-z0-9_]))(?:{JOIN}{GROUP})++"
+RUN_NEEDS = r"[0-9][)\x20\xA0-][^A-Za-z0-9]{0,4}+[0-9]|[0-9]\([0-9]"
+# A name without a digit, alone or with its host spelled out.
+AT, DOT = (rf"[\x20\xA0](?:{w}|\({w}\)|\[{w}\])[\x20\xA0]" for w in ("at", "dot"))
+NAME = (
+    r"\p{L}++(?:[._%+-]++\p{L}++)*+(?![._%+-]*+[\p{N}@/:#_])"
+    rf"(?:{AT}[\p{{L}}\p{{N}}-]++(?:(?:\.|{DOT})[\p{{L}}\p{{N}}-]++)*+)?+"
+)
+GAP, NOT_INSIDE, AT_NAME = r"[^\p{L}\p{N}]+", r"(?iu)(?<![\p{L}\p{N}])", r"(?=\p{L})"
+NAME_REACH = 320  # code points in which a name is read
 
 ROUNDS = 3
 # A pattern needs this many distinct good instances, and this share of all its
@@ -57,11 +70,15 @@ def position(df: DataFrame, name: str, text: str, pattern: str, needs: str) -> D
     """`df` with array<struct<start, end, hit, before, after>> `name`: leftmost
     matches in code points, end exclusive, with up to 80 code points on either
     side. The text between matches gives the positions."""
+    return position_sql(df, name, text, quoted(pattern), f"rlike({text}, {quoted(needs)})")
+
+
+def position_sql(df: DataFrame, name: str, text: str, pattern: str, able: str) -> DataFrame:
+    """`position` of a pattern that is an SQL expression, where `able` holds."""
     hits, parts, ends = f"__{name}_hits", f"__{name}_parts", f"__{name}_ends"
-    able = f"rlike({text}, {quoted(needs)})"
     df = df.withColumns({
-        hits: F.expr(f"IF({able}, regexp_extract_all({text}, {quoted(pattern)}, 0), CAST(array() AS ARRAY<STRING>))"),
-        parts: F.expr(f"IF({able}, split({text}, {quoted(pattern)}, -1), CAST(array() AS ARRAY<STRING>))"),
+        hits: F.expr(f"IF({able}, regexp_extract_all({text}, {pattern}, 0), CAST(array() AS ARRAY<STRING>))"),
+        parts: F.expr(f"IF({able}, split({text}, {pattern}, -1), CAST(array() AS ARRAY<STRING>))"),
     })
     df = df.withColumn(ends, F.expr(
         f"aggregate(sequence(1, size({hits})), array(0), (acc, i) -> IF(i > size({hits}), acc, array_append(acc, "
@@ -102,6 +119,7 @@ def row_spans(docs: DataFrame) -> DataFrame:
     df = docs.withColumn("text", F.coalesce("text", F.lit("")))
     for kind in KINDS:
         df = position(df, kind, "text", FORMS[kind], NEEDS[kind])
+    df = position(df, "run", "text", RUN, RUN_NEEDS)
     df = position(df, "token", "text", TOKEN, "[0-9]").drop("text")
     shape = (
         f"named_struct('start', m.start, 'rank', %d, 'end', m.end, 'kind', %s, 'hit', lower(m.hit), 'patterns', {patterns('m')})"
@@ -109,19 +127,53 @@ def row_spans(docs: DataFrame) -> DataFrame:
     base = ", ".join(
         f"transform(filter({kind}, m -> {valid(kind)}), m -> {shape % (rank, quoted(kind))})" for rank, kind in enumerate(KINDS)
     )
-    df = df.select("key", "doc_id", F.expr(f"array_sort(concat({base}))").alias("base"), "token")
+    df = df.select("key", "doc_id", F.expr(f"array_sort(concat({base}))").alias("base"), "run", "token")
     edge = quoted("[._:/#@+-]+")
     # Punctuation at the edges is not part of an identifier.
     trimmed = F.expr(f"""transform(token, m -> named_struct(
       'start', m.start + length(regexp_extract(m.hit, '^' || {edge}, 0)), 'end', m.end - length(regexp_extract(m.hit, {edge} || '$', 0)),
       'hit', regexp_replace(m.hit, '^' || {edge} || '|' || {edge} || '$', ''), 'before', m.before, 'after', m.after))""")
     df = df.withColumn("token", trimmed)
+    # A run that meets the base leaves its tokens.
+    df = df.withColumn("run", F.expr("filter(run, m -> NOT exists(base, b -> b.start < m.end AND m.start < b.end))"))
     return df.select("key", "doc_id", "base", F.expr(
-        f"transform(filter(token, m -> length(m.hit) >= {LEAST_TOKEN} AND NOT exists(base, b -> b.start < m.end AND m.start < b.end)), "
+        "transform(concat(run, filter(token, m -> m.start < m.end AND NOT exists(base, b -> b.start < m.end AND m.start < b.end) "
+        "AND NOT exists(run, b -> b.start < m.end AND m.start < b.end))), "
         f"m -> {shape % (len(KINDS), 'CAST(NULL AS STRING)')})"
     ).alias("tokens"))
 
 
+def name_places(source: DataFrame, rows: DataFrame) -> DataFrame | None:
+    """(key, start, end, kind, hit, pattern): names without a digit after two words
+    that SUPPORT identifiers or more without a digit have before them, and the base
+    spans at those places. Patterns are those with `W` for `L`. None if no two words
+    are such. Written."""
+    base = rows.select("key", F.explode("base").alias("m")).select(
+        "key", "m.start", "m.end", "m.kind", "m.hit", F.explode("m.patterns").alias("pattern")
+    ).where("pattern LIKE 'L %'").withColumn("pattern", F.expr("concat('W', substring(pattern, 2))"))
+    seeds = base.where("NOT rlike(hit, '[0-9]')").groupBy("pattern").agg(F.count_distinct("hit").alias("seeds"))
+    wanted = settle(seeds.where(F.col("seeds") >= SUPPORT).select("pattern"), "name-patterns")
+    if wanted.isEmpty():
+        return None
+    bound = maybe_broadcast(wanted)
+    words = f"filter(split(lower(text), {quoted(GAP)}), w -> w <> '')"
+    pairs = source.select("key", F.expr(words).alias("w")).select("key", F.explode(F.expr(
+        "array_distinct(transform(slice(w, 1, greatest(size(w) - 2, 0)), (x, i) -> concat('W ', x, ' ', get(w, i + 1))))"
+    )).alias("pattern"))
+    texts = settle(pairs.join(bound, "pattern", "left_semi").distinct().join(source.select("key", "text").distinct(), "key"), "name-texts")
+    first, second = "split(pattern, ' ')[1]", "split(pattern, ' ')[2]"
+    form = f"concat({quoted(NOT_INSIDE)}, {first}, {quoted(GAP)}, {second}, {quoted(GAP + AT_NAME)})"
+    places = position_sql(texts, "place", "text", form, "true").select(
+        "key", "pattern", F.explode("place.end").alias("start"), "text"
+    ).withColumn("hit", F.expr(f"regexp_extract(substring(text, start + 1, {NAME_REACH}), {quoted('^' + NAME)}, 0)")).where("hit <> ''")
+    names = places.select("key", "start", F.expr("start + length(hit)").alias("end"), F.lower("hit").alias("hit"), "pattern").distinct()
+    spans = rows.select("key", F.col("base").alias("spans")).dropDuplicates(["key"])
+    free = names.join(spans, "key").where("NOT exists(spans, b -> b.start < end AND start < b.end)")
+    return settle(free.select("key", "start", "end", F.lit(None).cast("string").alias("kind"), "hit", "pattern").unionByName(
+        base.join(bound, "pattern", "left_semi")
+    ), "names")
+
+
 def score_patterns(edges: DataFrame) -> DataFrame:
     """edges(pattern, hit, kind): kind null where unknown. Returns the patterns of
     high confidence (pattern, kind, confidence) after ROUNDS rounds. Every pair
@@ -159,6 +211,9 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     seen = rows.select("key", F.explode(F.concat("base", "tokens")).alias("m")).select(
         "key", "m.start", "m.end", "m.kind", "m.hit", F.explode("m.patterns").alias("pattern")
     )
+    names = name_places(source, rows)
+    if names is not None:
+        seen = seen.unionByName(names)
     best = score_patterns(seen.select("pattern", "hit", "kind"))
     added = (
         seen.where("kind IS NULL").drop("kind").join(best, "pattern").groupBy("key", "start", "end")

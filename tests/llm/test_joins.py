@@ -90,6 +90,27 @@ def test_patterns_discover_unknown_forms(spark):
     assert not found[50]["base"] and not found[51]["spans"] and not found[60]["spans"]
 
 
+def test_patterns_discover_grouped_and_plain_identifiers(spark):
+    rng = random.Random(8)
+    rows = [(i, f"Please call me at +1 (375) 555-{4000 + i} before noon.") for i in range(48)]
+    rows += [(100 + i, f"You may write to {prose(rng, 1)}.{c}@mail.org when ready.") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    new = {
+        50: ("Please call me at 020 7946 0958. It is new.", "phone", "020 7946 0958"), 51: ("Please call me at (555) 123-4567 before noon.", "phone", "(555) 123-4567"),
+        52: ("Please call me at 555.123.4567 x", "phone", "555.123.4567"), 53: ("Please call me at (555)123-4567, ok", "phone", "(555)123-4567"),
+        54: ("Please call me at 7946 today", "phone", "7946"), 55: ("You may write to jane_doe when ready.".replace("_", "."), "email", "jane.doe"),
+        56: ("You may write to jane at example.org when ready.", "email", "jane at example.org"),
+    }
+    rows += [(d, t) for d, (t, _, _) in new.items()] + [(60, "In all 020 7946 0958 of 12 34 were seen by jane at noon.")]
+    rows += [(70 + i, f"Report number 12 {i}77 {i} was filed by {prose(rng, 1)}.") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.find_personal_data(docs).collect()}
+    for d, (text, kind, hit) in new.items():
+        assert [(m["kind"], text[m["start"]:m["end"]]) for m in found[d]["spans"]] == [(kind, hit)] and not found[d]["base"], d
+    assert not any(found[d]["spans"] for d in [60, *range(70, 82)])
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_personal_data(docs).collect()}
+    assert masked[51] == "Please call me at <PHONE> before noon." and masked[56] == "You may write to <EMAIL> when ready."
+
+
 def test_masking(edge, empty):
     masked = pii.mask_personal_data(edge)
     assert masked.columns == edge.columns and masked.count() == edge.count()
