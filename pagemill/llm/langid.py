@@ -26,6 +26,7 @@ MAX_PIECE = 8  # letters of the longest piece used, with the word mark
 MAX_WORD = 48  # longer runs of letters are scored in parts of this length
 ROUNDS = 3
 SMOOTHING = 0.01
+TINY = 1e-100  # sums below this are rescaled
 # Bounds of the learning sample: whole texts of the documents whose ids hash lowest.
 DOCS_PER_LANGUAGE = 300
 LEARN_BYTES = 65_536
@@ -118,6 +119,25 @@ def parts(word: str) -> list[str]:
     return [MARK + word[i : i + MAX_WORD] for i in range(0, len(word), MAX_WORD)]
 
 
+def path_sums(arcs: list[tuple[int, int, np.ndarray]], table: np.ndarray, size: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums, logs), each (place, word, language): sums * exp(logs) is the total of
+    all paths from 0 to a place. Arcs come by the place where they end, which has a
+    path. Sums that get tiny are rescaled with those an arc can still start from."""
+    k = table.shape[1]
+    sums, logs = np.zeros((size + 1, n, k)), np.zeros((size + 1, n, k))
+    sums[0] = 1.0
+    for i, (start, end, found) in enumerate(arcs):
+        sums[end] += sums[start] * table[found]
+        if (i + 1 == len(arcs) or arcs[i + 1][1] != end) and sums[end].min(initial=1.0) < TINY:
+            factor = np.where(sums[end] < TINY, sums[end], 1.0)
+            low = max(0, end - MAX_PIECE + 1)
+            sums[low : end + 1] /= factor
+            logs[low : end + 1] += np.log(factor)
+        if end < size and (i + 1 == len(arcs) or arcs[i + 1][1] != end):
+            logs[end + 1] = logs[end]
+    return sums, logs
+
+
 @dataclass(frozen=True)
 class UnigramModel:
     """languages in order, pieces, probabilities (piece + unknown, language),
@@ -133,11 +153,9 @@ class UnigramModel:
         out = np.zeros((len(words), len(self.languages)))
         table = np.vstack([self.probs, np.zeros(len(self.languages))])  # row -1: no piece
         for size, at in by_length(words).items():
-            alpha = np.zeros((size + 1, len(at), len(self.languages)))
-            alpha[0] = 1.0
-            for start, end, found in finder.lattice([words[i] for i in at]):
-                alpha[end] += alpha[start] * table[found]
-            out[at] = np.log(alpha[size])
+            arcs = finder.lattice([words[i] for i in at])
+            sums, logs = path_sums(arcs, table, size, len(at))
+            out[at] = np.log(sums[size]) + logs[size]
         return out
 
 
@@ -157,15 +175,13 @@ def learn(counts: dict[str, Counter], doc_counts: dict[str, int], pieces: list[s
         expected = np.full((rows, k), SMOOTHING)
         table = np.vstack([probs, np.zeros(k)])
         for at, size, arcs in groups:
-            forward = np.zeros((size + 1, len(at), k))
-            backward = np.zeros((size + 1, len(at), k))
-            forward[0] = backward[size] = 1.0
-            for start, end, found in arcs:
-                forward[end] += forward[start] * table[found]
-            for start, end, found in reversed(arcs):
-                backward[start] += backward[end] * table[found]
-            scale = weight[at] / np.maximum(forward[size], 1e-300)
-            shares = np.concatenate([forward[s] * table[f] * backward[e] * scale for s, e, f in arcs])
+            forward, ahead = path_sums(arcs, table, size, len(at))
+            turned = sorted(((size - end, size - start, found) for start, end, found in arcs), key=lambda a: a[1])
+            backward, behind = (x[::-1] for x in path_sums(turned, table, size, len(at)))
+            scale = weight[at] / forward[size]
+            shares = np.concatenate([
+                forward[s] * table[f] * backward[e] * np.exp(ahead[s] + behind[e] - ahead[size]) * scale for s, e, f in arcs
+            ])
             found = np.concatenate([f for _, _, f in arcs])
             used = found >= 0
             for j in range(k):
@@ -188,7 +204,7 @@ def fit(docs: DataFrame, labelled: DataFrame, vocabulary: str | None = None) ->
             docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most DOCS_PER_LANGUAGE ids
             .where(F.octet_length("text") <= LEARN_BYTES).orderBy("doc_id", "text").select("text").collect()
         )
-        found = Counter(w for r in rows for w in letter_runs(r["text"].lower()) if len(w) <= MAX_WORD)
+        found = Counter(p[len(MARK) :] for r in rows for w in letter_runs(r["text"].lower()) for p in parts(w))
         if found:
             counts[lang] = found
     return learn(counts, shares, public_pieces(vocabulary))

@@ -128,3 +128,19 @@ def test_repeated_words_short(text):
 
 def test_letters_only():
     assert langid.letter_runs("a²b ½ x_y 12 É") == ["a", "b", "x", "y", "É"]
+
+
+def test_letters_no_language_has_seen_leave_the_evidence(spark):
+    rng = random.Random(21)
+    word = {"aa": lambda: "".join(rng.choice("abcde") for _ in range(5)), "bb": lambda: "".join(rng.choice("vwxyz") for _ in range(5))}
+    glued = lambda: "".join(rng.choice("日本語文字列") for _ in range(120))
+    rows = [(i, " ".join(word[l]() for _ in range(2_000)), l) for i, l in enumerate(["aa", "bb"] * 10)]
+    rows += [(100 + i, glued(), "zz") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs.select("doc_id", "text"), docs.select("doc_id", "lang"))
+    assert model.languages == ("aa", "bb", "zz")
+    long = " ".join(word["bb"]() for _ in range(300))
+    texts = [long + " " + "ж" * 48, long + " " + glued()[:48], glued(), "ж" * 500]
+    found = langid.predict(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    assert [r["language"]["lang"] for r in found[:3]] == ["bb", "bb", "zz"]
+    assert all(0 < r["language"]["score"] <= 1 for r in found)
