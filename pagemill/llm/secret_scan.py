@@ -1,6 +1,7 @@
 """Secret scanning with false-positive removal.
 
-Every long token of a text is a finding. A random forest says which ones are
+Every value given to a word for a secret and every token of LEAST characters is a
+finding. A random forest says which ones are
 secrets, from their length, character transitions, how much of them a dictionary
 of the corpus covers, whether they look like part of a path, and the words beside
 them. The forest learns from labelled findings. Built-in functions and Spark's own
@@ -8,29 +9,42 @@ forest only."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import text_key
+from pagemill.llm.common import maybe_broadcast
 from pagemill.llm.pii import position
 from pagemill.session import settle
 
-LEAST = 20
-TOKEN = rf"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{{{LEAST},}}+"
-NEEDS = rf"[A-Za-z0-9_/+=-]{{{LEAST}}}"
 # A word is in the dictionary if this many documents have it.
 DICTIONARY_DOCS = 5
 LEAST_WORD = 3
-# Bound of the labelled sample, of each label: findings whose text hashes lowest.
+# Bound of each part of the labelled sample: findings whose text hashes lowest.
 LEARN_FINDINGS = 4_000
 TREES, DEPTH, SEED = 24, 6, 11
 # Words beside secrets, and beside other long tokens.
 SECRET_WORDS = ("token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential", "credentials", "access")
 PLAIN_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "digest", "hash", "uuid", "id", "revision", "etag")
 
+# What a finding is. A value given to a word for a secret has any
+# length; other tokens have LEAST characters, without punctuation at their end.
+LEAST = 8
+INNER, POINT = r"A-Za-z0-9_/+=@$%~^&*#\-", r".!:?"
+NAMED = rf"(?i:{'|'.join(SECRET_WORDS)})"
+VALUE = r"""(?<=[=:][\x20\x09"\x27`]{0,4})(?<=""" + NAMED + r"""["\x27`]?[\x20\x09]{0,3}[=:][\x20\x09]{0,3}["\x27`]?)"""
+VALUE += r"""(?:(?<=["\x27`])[^\s"\x27`]++|(?<!["\x27`])[^\s"\x27`,;.!:?=]++(?:[,;.!:?=]++[^\s"\x27`,;.!:?=]++)*+=*+)"""
+# A name that is given a value is no token.
+ASSIGNS = rf"(?:[A-Za-z0-9_.-]*[_.-]|[a-z]*|[A-Z]*){NAMED}[\x22\x27`]?[\x20\x09]{{0,3}}[=:]"
+TOKEN = rf"{VALUE}|(?<![{INNER}{POINT}])(?!{ASSIGNS})(?:[{INNER}]|[{POINT}]++(?=[{INNER}])){{{LEAST},}}+"
+NEEDS = rf"[{INNER}{POINT}]{{{LEAST}}}|{NAMED}[\x22\x27`]?[\x20\x09]{{0,3}}[=:]"
+# Findings that are no secrets beside PLAIN_WORDS: digests, UUIDs and paths.
+DIGEST = r"^(?:[0-9a-f]{8,}|[0-9A-F]{8,}|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[A-Za-z0-9_.-]*(?:/[A-Za-z0-9_.-]+)+)$"
+
 FEATURES = (
     "n_chars", "transitions", "letter_steps", "digit_share", "upper_share", "vowel_share", "distinct_share", "coverage", "path",
     "assigned", "quoted", "secret_word", "plain_word",
@@ -38,15 +52,21 @@ FEATURES = (
 
 
 def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, doc_id, start, end, hit, before, after): all tokens of LEAST characters
-    or more, in code points, with the text around them. Written. Null and empty
+    """(doc_id, start, end, hit, path, assigned, quoted, secret_word, plain_word,
+    given): the tokens above, in code points, with what the text around them says.
+    `given` holds for quoted values of a word for a secret. Written. Null and empty
     texts have none; repeated rows give repeated findings."""
-    rows = docs.select(
-        text_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("key"), F.col(f"`{doc_id}`").alias("doc_id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-    )
-    found = position(rows, "found", "text", TOKEN, NEEDS).select("key", "doc_id", F.explode("found").alias("m"))
-    return settle(found.select("key", "doc_id", "m.*"), "findings")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    found = position(rows, "found", "text", TOKEN, NEEDS).select("doc_id", F.explode("found").alias("m")).select("doc_id", "m.*")
+    near = F.expr(r"array_compact(transform(split(lower(concat(right(before, 40), ' ', left(after, 20))), r'[^a-z0-9]+'), w -> nullif(w, '')))")
+    listed = lambda words_: F.arrays_overlap(near, F.array(*map(F.lit, words_)))
+    given = NAMED + r"""["'`]?\s*[=:]\s*["']$"""
+    return settle(found.select(
+        "doc_id", "start", "end", "hit",
+        (F.contains("hit", F.lit("/")) | F.rlike("before", F.lit(r"[/\\.@]$")) | F.rlike("after", F.lit(r"^[/\\.][A-Za-z]"))).alias("path"),
+        F.rlike("before", F.lit(r"[=:]\s*[\"']?$")).alias("assigned"), F.rlike("before", F.lit("[\"'`]$")).alias("quoted"),
+        listed(SECRET_WORDS).alias("secret_word"), listed(PLAIN_WORDS).alias("plain_word"), F.rlike("before", F.lit(given)).alias("given"),
+    ), "findings")
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -71,20 +91,15 @@ def add_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "regexp_replace(regexp_replace(regexp_replace(regexp_replace(hit, '[a-z]', 'a'), '[A-Z]', 'B'), '[0-9]', '0'), '[^aB0]', '-')"
     )
     steps = F.length(F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower("hit"), "[aeiouy]", "1"), "[a-z]", "2"), r"(.)\1*", "$1"))
-    near = F.expr(r"array_compact(transform(split(lower(concat(right(before, 40), ' ', left(after, 20))), r'[^a-z0-9]+'), w -> nullif(w, '')))")
-    listed = lambda words_: F.arrays_overlap(near, F.array(*map(F.lit, words_))).cast("double")
     plain = F.col("hit")
-    return found.join(covered, "hit", "left").withColumns({
+    return found.join(maybe_broadcast(settle(covered, "covered")), "hit", "left").withColumns({
         "n_chars": F.length(plain).cast("double"),
         "transitions": (F.length(F.regexp_replace(classes, r"(.)\1*", "$1")) - 1) / F.length(plain),
         "letter_steps": steps / F.length(plain),
         "digit_share": share("0-9"), "upper_share": share("A-Z"), "vowel_share": share("AEIOUYaeiouy"),
         "distinct_share": F.size(F.array_distinct(F.split(plain, ""))) / F.length(plain),
         "coverage": F.coalesce("covered", F.lit(0)) / F.length(plain),
-        "path": (F.contains(plain, F.lit("/")) | F.rlike("before", F.lit(r"[/\\.@]$")) | F.rlike("after", F.lit(r"^[/\\.][A-Za-z]"))).cast("double"),
-        "assigned": F.rlike("before", F.lit(r"[=:]\s*[\"']?$")).cast("double"),
-        "quoted": F.rlike("before", F.lit("[\"'`]$")).cast("double"),
-        "secret_word": listed(SECRET_WORDS), "plain_word": listed(PLAIN_WORDS),
+        **{n: F.col(n).cast("double") for n in ("path", "assigned", "quoted", "secret_word", "plain_word")},
     }).drop("covered")
 
 
@@ -94,19 +109,22 @@ def assemble(df: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     """Forest from findings with FEATURES and `label` (0, 1; null: not used). Of each
-    label the LEARN_FINDINGS distinct rows whose text hashes lowest are used. None
-    without both labels."""
+    label, and apart with and without a digit or slash (plain words would leave no
+    room for digests), the LEARN_FINDINGS distinct rows whose text hashes lowest are
+    used. None without both labels."""
     rows = labelled.select(*FEATURES, "hit", F.col("label").cast("double").alias("label")).where("label IS NOT NULL").distinct()
+    rows = settle(rows, "labelled")
     sample = [
-        rows.where(F.col("label") == x).orderBy(F.xxhash64("hit"), *FEATURES).limit(LEARN_FINDINGS) for x in (0, 1)
+        rows.where((F.col("label") == x) & (F.rlike("hit", F.lit("[0-9/]")) == other)).orderBy(F.xxhash64("hit"), *FEATURES).limit(LEARN_FINDINGS)
+        for x in (0, 1) for other in (False, True)
     ]
-    learn = settle(sample[0].union(sample[1]), "labelled-findings")
+    learn = settle(reduce(DataFrame.union, sample), "labelled-findings")
     if learn.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
         featuresCol="__features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=1.0
     )
-    return forest.fit(assemble(learn.coalesce(1)))  # at most 2 * LEARN_FINDINGS rows
+    return forest.fit(assemble(learn.coalesce(1)))  # at most 4 * LEARN_FINDINGS rows
 
 
 def judge(found: DataFrame, model: RandomForestClassificationModel | None, least: float = 0.5) -> DataFrame:
@@ -121,11 +139,11 @@ def judge(found: DataFrame, model: RandomForestClassificationModel | None, least
 def known_labels(found: DataFrame) -> DataFrame:
     """`found` with `label` where it can be told without the forest: 1 for keys of a
     published form (fixed values below) or quoted values that are given to a word for
-    a secret, 0 for tokens of letters alone in ordinary case, null otherwise."""
+    a secret, 0 for tokens of letters alone in ordinary case that are not assigned,
+    and for digests, UUIDs and paths beside PLAIN_WORDS but no word for a secret;
+    null otherwise."""
     published = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
-    given = rf"(?i)(?:{'|'.join(SECRET_WORDS)})\s*[=:]\s*[\"']$"
-    return found.withColumn(
-        "label",
-        F.when(F.rlike("hit", F.lit(published)) | F.rlike("before", F.lit(given)), 1.0)
-        .when(F.rlike("hit", F.lit("^[A-Z]?[a-z]+$")) & ~F.rlike("before", F.lit(r"[=:]\s*[\"']?$")), 0.0),
-    )
+    flag = lambda n: F.col(n).cast("boolean")
+    word = F.rlike("hit", F.lit("^[A-Z]?[a-z]+$")) & ~flag("assigned")
+    digest = F.rlike("hit", F.lit(DIGEST)) & flag("plain_word") & ~flag("secret_word")
+    return found.withColumn("label", F.when(F.rlike("hit", F.lit(published)) | F.col("given"), 1.0).when(word | digest, 0.0))

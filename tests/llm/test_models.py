@@ -173,6 +173,28 @@ def test_secrets(spark, edge, empty):
         assert all(r["score"] == 1 and r["secret"] for r in rows)
 
 
+def test_short_and_odd_secrets_and_digests(spark):
+    rng = random.Random(16)
+    code = lambda n, chars: "".join(rng.choice(chars) for _ in range(n))
+    hexes, odd = "0123456789abcdef", "ABCDEFGHJKabcdefghjk23456789.!@$%"
+    rows = [(i, f'the password = "{code(rng.randint(8, 24), odd)}" is set here') for i in range(60)]
+    rows += [(100 + i, f"the commit {code(40, hexes)} and sha256 {code(64, hexes)} of it") for i in range(60)]
+    rows += [(200 + i, f"a {code(9, 'aeiourstln')} word and {code(12, 'aeioumnt')} too") for i in range(60)]
+    new = {
+        300: ('password = "Tr0ub4dor3x"', "Tr0ub4dor3x"), 301: ("db_password=p@ss.w:rd!9$k, then", "p@ss.w:rd!9$k"), 302: ("pwd: x9!", "x9"),
+        303: ('{"api_key": "abc.def.ghi.jkl1"}', "abc.def.ghi.jkl1"), 304: ("see aa1.bb2.cc3.dd4.", "aa1.bb2.cc3.dd4"), 305: ("PASSWORD='q7'", "q7"),
+    }
+    rows += [(d, t) for d, (t, _) in new.items()] + [(400, "the digest 5d41402abc4b2a76b9719d911017c592 of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.add_features(secret_scan.findings(docs), secret_scan.dictionary(docs))
+    judged = secret_scan.judge(found, secret_scan.train(secret_scan.known_labels(found))).collect()
+    texts, verdict = dict(rows), {(r["doc_id"], r["hit"]): r["secret"] for r in judged}
+    assert all(texts[r["doc_id"]][r["start"]:r["end"]] == r["hit"] for r in judged)
+    assert all((d, hit) in verdict for d, (_, hit) in new.items()), verdict
+    assert verdict[300, "Tr0ub4dor3x"] and not verdict[400, "5d41402abc4b2a76b9719d911017c592"]
+    assert all(v for (d, hit), v in verdict.items() if d < 60 and hit != "password") and not any(v for (d, _), v in verdict.items() if 100 <= d < 260)
+
+
 # ---- pipeline -----------------------------------------------------------------------------
 def test_pipeline_equals_brute_force(spark, tokenizer):
     source = spark.read.parquet(f"{FOLDER}/documents.parquet")
