@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bands, chunks, decontam, langid, neardup, packing, pii, quality, secret_scan, toxicity
+from pagemill.llm import bands, chunks, decontam, fim, grace, langid, neardup, packing, pii, quality, secret_scan, toxicity, whitening
 from pagemill.llm.common import held_out, present, table
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -156,3 +156,50 @@ def op3_secret_forest(spark, folder):
     return secret_scan.judge(found, model).select(
         "doc_id", "start", "end", F.sha2(F.col("hit").cast("binary"), 256).alias("hit_sha256"), "score", "secret"
     )
+
+
+OP11_SQL = r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS bare
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, CAST(count(*) OVER (PARTITION BY bare) AS BIGINT) AS group_size,
+  row_number() OVER best = 1 AS kept, sha256(bare) AS text_sha256
+FROM t WINDOW best AS (PARTITION BY bare ORDER BY chars DESC, doc_id)
+"""
+
+
+@query("op11_grace_dedup", OP11_SQL)
+def op11_grace_dedup(spark, folder):
+    return grace.find_copies(present(table(spark, folder, "documents"), ["doc_id", "text"])).drop("row")
+
+
+OP12_SQL = r"""
+WITH tokens AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+drawn AS (SELECT doc_id, t, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50
+      THEN 'plain' WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM tokens),
+cut AS (SELECT doc_id, t, n, form, array_to_string(w[1:least(a, b)], '') AS p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(w[greatest(a, b) + 1:], '') AS s FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END)
+    AS output_sha256, sha256(t) AS restored_sha256
+FROM cut
+"""
+
+
+@query("op12_fim_scatter", OP12_SQL)
+def op12_fim_scatter(spark, folder):
+    made = fim.add_middle(present(table(spark, folder, "documents"), ["doc_id", "text"])).select("doc_id", "fim.*")
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+@query("op13_polarisation_whitening")
+def op13_polarisation_whitening(spark, folder):
+    vectors = present(table(spark, folder, "embeddings"), ["vec_id", "embedding"])
+    model = whitening.fit_whitening(vectors)
+    return whitening.whiten(vectors, model).withColumn("deviation", F.col("deviation").cast("long"))
