@@ -16,6 +16,7 @@ from pagemill.functions.porter import stems
 from pagemill.operators import entities as en
 from pagemill.operators import language as lg
 from pagemill.operators import lookup as lk
+from pagemill.operators import phrases as ph
 from pagemill.operators import terms as tm
 from pagemill.plans import relevance as rv
 from pagemill.plans.frontier import page_links
@@ -58,6 +59,42 @@ def str4_after(spark, sf):
     return cleaned.select("doc_id", tx.mask_phrases(F.col("text"), PHRASES).alias("masked"))
 
 
+# A list that grows with the table: every third pair of neighbouring words. All
+# phrases have two words, so of touching hits every other one is masked.
+LONG_MASK_CTE = r"""cut AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z0-9]+') AS w, regexp_split_to_array(text, '[A-Za-z0-9]+') AS s FROM documents),
+places AS (SELECT doc_id, i, w[i] AS word, s[i] AS before, s[i + 1] = ' ' AND len(w) > i AS paired, lower(w[i] || ' ' || w[i + 1]) AS phrase,
+  coalesce(right(s[i], 1), '') NOT IN ('-', '.') AND coalesce(left(s[i + 2], 1), '') <> '_' AS free
+  FROM (SELECT doc_id, w, s, unnest(range(1, len(w) + 1)) AS i FROM cut)),
+pairs AS (SELECT DISTINCT phrase FROM places WHERE paired AND i % 3 = 1)"""
+LONG_MASK_SQL = f"""WITH {LONG_MASK_CTE},
+hits AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM places JOIN pairs USING (phrase) WHERE paired AND free),
+chosen AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, island ORDER BY i) AS k FROM hits) WHERE k % 2 = 1),
+pieces AS (SELECT p.doc_id, p.i, CASE WHEN b.i IS NOT NULL THEN '' WHEN c.i IS NOT NULL THEN before || '{fixed.MASK_TEXT}' ELSE before || word END AS piece
+  FROM places p LEFT JOIN chosen c ON p.doc_id = c.doc_id AND p.i = c.i LEFT JOIN chosen b ON p.doc_id = b.doc_id AND p.i = b.i + 1),
+whole AS (SELECT doc_id, string_agg(piece, '' ORDER BY i) AS masked FROM pieces GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(masked, '') || s[-1] END AS masked FROM cut LEFT JOIN whole USING (doc_id)"""
+
+
+def pair_list(spark, sf):
+    cut = documents(spark, sf).select(
+        F.regexp_extract_all("text", F.lit("[A-Za-z0-9]+"), F.lit(0)).alias("w"), F.split("text", "[A-Za-z0-9]+").alias("s")
+    )
+    pair = "IF(get(s, i + 1) = ' ', concat(get(w, i), ' ', get(w, i + 1)), NULL)"
+    pairs = f"array_compact(transform(IF(size(w) > 1, sequence(0, size(w) - 2, 3), array()), i -> {pair}))"
+    return cut.select(F.explode(F.expr(pairs)).alias("word"))
+
+
+@query("str4_long_list", LONG_MASK_SQL)
+def str4_long(spark, sf):
+    return ph.mask_listed(documents(spark, sf).select("doc_id", "text"), "text", pair_list(spark, sf), trie=10**9).select("doc_id", "masked")
+
+
+@query("str4_long_list_join", LONG_MASK_SQL)
+def str4_long_join(spark, sf):
+    docs = documents(spark, sf).select("doc_id", "text")
+    return ph.mask_listed(docs, "text", pair_list(spark, sf), pattern=0, trie=0).select("doc_id", "masked")
+
+
 @query("str5_tokens", f"WITH {TOKEN_CTE} SELECT doc_id, array_to_string(tokens, ' ') AS tokens FROM docs")
 def str5(spark, sf):
     return token_docs(spark, sf).select("doc_id", F.array_join("tokens", " ").alias("tokens"))
@@ -473,6 +510,45 @@ def jn10(spark, sf):
     return hits.groupBy("doc_id", "type").agg(F.count("*").alias("n"))
 
 
+# A gazetteer that grows with the table: phrases of three tokens, and of thirty.
+LARGE_CTE = f"""{TOKEN_CTE}, large AS (SELECT phrase, CASE length(phrase) % 3 WHEN 0 THEN 'PERSON' WHEN 1 THEN 'LOCATION' ELSE 'ORGANIZATION' END AS type
+  FROM (SELECT array_to_string(tokens[i:i + 2], ' ') AS phrase FROM (SELECT tokens, unnest(range(1, len(tokens) - 1, 3)) AS i FROM docs)
+  UNION SELECT array_to_string(tokens[1:30], ' ') FROM docs WHERE len(tokens) >= 200)),
+lspots AS (SELECT doc_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM docs),
+lhits AS (SELECT doc_id, start, words, type FROM (SELECT doc_id, i - 1 AS start, n AS words, array_to_string(tokens[i:i + n - 1], ' ') AS phrase
+  FROM lspots, (VALUES (3), (30)) v(n) WHERE i + n - 1 <= len(tokens)) JOIN large USING (phrase)),
+lcover AS (SELECT doc_id, unnest(range(start, start + words)) AS pos, start, words, type FROM lhits)"""
+
+
+def large_gazetteer(spark, sf):
+    docs = token_docs(spark, sf).select("tokens")
+    joined = "array_join(transform(sequence(i, i + {n} - 1), k -> get(tokens, k)), ' ')"
+    threes = docs.where("size(tokens) >= 3").select(F.explode(F.expr(
+        f"transform(sequence(0, size(tokens) - 3, 3), i -> {joined.format(n=3)})"
+    )).alias("phrase"))
+    thirties = docs.where("size(tokens) >= 200").select(F.expr(f"transform(array(0), i -> {joined.format(n=30)})[0]").alias("phrase"))
+    kind = F.when(F.length("phrase") % 3 == 0, "PERSON").when(F.length("phrase") % 3 == 1, "LOCATION").otherwise("ORGANIZATION")
+    return threes.union(thirties).distinct().withColumn("type", kind)
+
+
+@query("jn10_large_gazetteer", f"WITH {LARGE_CTE} SELECT doc_id, type, words, count(*) AS n FROM lhits GROUP BY ALL")
+def jn10_large(spark, sf):
+    hits = en.match_phrases(token_docs(spark, sf), "doc_id", "tokens", large_gazetteer(spark, sf), limit=0, cut=tx.tokens)
+    return hits.groupBy("doc_id", "type", F.col("words").cast("bigint").alias("words")).agg(F.count("*").alias("n"))
+
+
+@query(
+    "nlp2_large_gazetteer",
+    f"""WITH {LARGE_CTE}, ltags AS (SELECT doc_id, pos, type AS tag FROM lcover
+      QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY words DESC, start, type DESC) = 1),
+    j AS (SELECT doc_id, string_agg(coalesce(tag, 'O'), ' ' ORDER BY pos) AS tags FROM tok LEFT JOIN ltags USING (doc_id, pos) GROUP BY doc_id)
+    SELECT doc_id, coalesce(tags, '') AS tags FROM documents LEFT JOIN j USING (doc_id)""",
+)
+def nlp2_large(spark, sf):
+    df = en.tag_arrays(token_docs(spark, sf), "doc_id", "tokens", large_gazetteer(spark, sf), cut=tx.tokens)
+    return df.select("doc_id", F.array_join("tags", " ").alias("tags"))
+
+
 # Places of one to three words, in running text.
 PLACES = ["la", "de la", "der", "eren", "of the", "the", "que de la", "thing"]
 PLACE_CTE = rf"""{SENTENCE_CTE.format(id='doc_id', src='documents')},

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType, StringType
 
 from pagemill.functions.arrays import let_sql, quoted, runs
 from pagemill.functions.text import words
+from pagemill.operators.phrases import listed_grams
 from pagemill.session import BROADCAST_ROWS, content_key, fits, settle
 
 # A gazetteer of at most this many phrases is held as a literal inside the plan.
@@ -23,23 +24,6 @@ DATE_ENTITY_PATTERN = (
 )
 
 
-def _grams(tokens: Column, n: int) -> Column:
-    """N-grams of exactly n tokens. Tokens are fetched by position: slicing would
-    copy the whole array for every gram."""
-
-    def gram(i: Column) -> Column:
-        phrase = F.concat_ws(" ", *[F.get(tokens, i + k) for k in range(n)])
-        return F.struct(i.alias("start"), F.lit(n).alias("words"), F.lower(phrase).alias("phrase"))
-
-    none = F.expr("cast(array() as array<struct<start:int,words:int,phrase:string>>)")
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(0), F.size(tokens) - n), gram)).otherwise(none)
-
-
-def phrase_candidates(tokens: Column, max_words: int) -> Column:
-    """Token n-grams as array<struct<start, words, phrase>>."""
-    return F.concat(*[_grams(tokens, n) for n in range(1, max_words + 1)])
-
-
 def _listed_grams(tokens: Column, phrases: list[str], max_words: int) -> Column:
     """The n-grams that are listed phrases. N-grams are built only where a token
     is the first word of a phrase."""
@@ -61,37 +45,80 @@ def _listed_grams(tokens: Column, phrases: list[str], max_words: int) -> Column:
     )
 
 
-def _entries(gazetteer: DataFrame, cut: Callable[[Column], Column] | None) -> tuple[DataFrame, int]:
-    """(phrase, type) and the words of the longest phrase. Phrases become the
-    tokens that `cut` makes of them, as the text did, joined by spaces; a phrase
-    without tokens is left out. Written once: its size is checked before use."""
-    pieces = (cut or words)(F.col("phrase"))
-    entries = settle(
-        gazetteer.select(F.lower(F.array_join(pieces, " ")).alias("phrase"), "type").where("phrase <> ''")
-        .groupBy("phrase").agg(F.min("type").alias("type")), "gazetteer"
-    )
-    return entries, entries.agg(F.max(F.size(F.split("phrase", " ")))).first()[0] or 1
+def _entries(gazetteer: DataFrame, cut: Callable[[Column], Column] | None) -> DataFrame:
+    """(phrase, units, type). Phrases become the tokens that `cut` makes of them, as
+    the text did, joined by spaces; a phrase without tokens is left out. Written
+    once: its size is checked before use."""
+    units = F.transform((cut or words)(F.col("phrase")), F.lower)
+    named = gazetteer.select(units.alias("units"), "type").select(F.array_join("units", " ").alias("phrase"), "units", "type")
+    return settle(named.where("phrase <> ''").groupBy("phrase", "units").agg(F.min("type").alias("type")), "gazetteer")
+
+
+class _Index:
+    """A gazetteer inside a task: the lengths of phrases by their first word, and
+    the type of each phrase."""
+
+    def __init__(self, entries: DataFrame):
+        self.types: dict[str, str] = {}
+        sizes: dict[str, set[int]] = {}
+        for r in entries.toLocalIterator():
+            self.types[r["phrase"]] = r["type"]
+            sizes.setdefault(r["units"][0], set()).add(len(r["units"]))
+        self.sizes = {head: tuple(sorted(found)) for head, found in sizes.items()}
+
+    def hits(self, low) -> list[tuple[int, int, str, str]]:
+        """(start, words, phrase, type) in lower-cased tokens."""
+        low = list(low)
+        found = []
+        for start, head in enumerate(low):
+            for n in self.sizes.get(head, ()):
+                phrase = " ".join(low[start:start + n]) if start + n <= len(low) else None
+                if phrase in self.types:
+                    found.append((start, n, phrase, self.types[phrase]))
+        return found
+
+    def tags(self, low) -> list[str]:
+        """Tags of one token array, by the rule of `tag_tokens`."""
+        best: list[tuple | None] = [None] * len(low)
+        for start, n, _, kind in self.hits(low):
+            rank = (n, -start, kind)
+            for at in range(start, start + n):
+                if best[at] is None or rank > best[at]:
+                    best[at] = rank
+        return ["O" if b is None else b[2] for b in best]
+
+
+HITS = "array<struct<start:int,words:int,phrase:string,type:string>>"
 
 
 def match_phrases(
     df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, limit: int = BROADCAST_ROWS,
     cut: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Gazetteer hits (id, start, words, phrase, type), phrases of any length. The
-    gazetteer is broadcast when its size allows; otherwise an equi-join on the
-    phrase. A short one also filters the n-grams inside the row, so that only hits
-    are exploded. `cut` is the token function the text went through."""
-    entries, max_words = _entries(gazetteer, cut)
-    size = entries.count()
-    candidates = phrase_candidates(F.col(tokens_col), max_words)
-    if size <= min(LITERAL_PHRASES, limit):
-        candidates = _listed_grams(F.col(tokens_col), [r["phrase"] for r in entries.select("phrase").collect()], max_words)
+    """Gazetteer hits (id, start, words, phrase, type), phrases of any length. A
+    short gazetteer is part of the expression, a larger one goes to the tasks while
+    its size allows: only hits leave the row. Beyond that it is joined, by first
+    word and then by phrase, once for every distinct token array. `cut` is the token
+    function the text went through."""
+    entries = _entries(gazetteer, cut)
+    lowered = F.transform(tokens_col, F.lower)
+    if fits(entries, min(LITERAL_PHRASES, limit)):
+        listed = [(r["phrase"], len(r["units"])) for r in entries.select("phrase", "units").collect()]
+        hits = _listed_grams(F.col(tokens_col), [p for p, _ in listed], max((n for _, n in listed), default=1))
+        grams = df.select(id_col, F.explode(hits).alias("g")).select(id_col, "g.*")
+        return grams.join(F.broadcast(entries), "phrase").select(id_col, "start", "words", "phrase", "type")
     if fits(entries, limit):
-        entries = F.broadcast(entries)
-    grams = df.select(id_col, F.explode(candidates).alias("g")).select(
-        id_col, "g.*"
-    )
-    return grams.join(entries, "phrase").select(id_col, "start", "words", "phrase", "type")
+        held = df.sparkSession.sparkContext.broadcast(_Index(entries))
+
+        @F.pandas_udf(HITS)
+        def find(column: pd.Series) -> pd.Series:
+            return column.map(lambda t: None if t is None else [dict(zip(("start", "words", "phrase", "type"), h)) for h in held.value.hits(t)])
+
+        return df.select(id_col, F.explode(find(lowered)).alias("h")).select(id_col, "h.*")
+    keyed = df.select(id_col, lowered.alias("_low")).withColumn("_low_key", content_key("_low"))
+    arrays = keyed.select("_low_key", "_low").dropDuplicates(["_low_key"])
+    typed = listed_grams(arrays, "_low_key", "_low", entries, " ").join(entries.select("phrase", "type"), "phrase")
+    return keyed.select(id_col, "_low_key").join(typed, "_low_key").select(id_col, "start", "words", "phrase", "type")
 
 
 def tag_tokens(hits: DataFrame, id_col: str) -> DataFrame:
@@ -106,36 +133,20 @@ def tag_tokens(hits: DataFrame, id_col: str) -> DataFrame:
     )
 
 
-def _row_tags(tokens, types: dict[str, str], max_words: int) -> list[str]:
-    """Tags of one token array, by the rule of `tag_tokens`."""
-    low = [t.lower() for t in tokens]
-    best: list[tuple | None] = [None] * len(low)
-    for start in range(len(low)):
-        for n in range(1, min(max_words, len(low) - start) + 1):
-            kind = types.get(" ".join(low[start:start + n]))
-            if kind is not None:
-                rank = (n, -start, kind)
-                for at in range(start, start + n):
-                    if best[at] is None or rank > best[at]:
-                        best[at] = rank
-    return ["O" if b is None else b[2] for b in best]
-
-
 def tag_arrays(df: DataFrame, id_col: str, tokens_col: str, gazetteer: DataFrame, out: str = "tags",
                limit: int = BROADCAST_ROWS, cut: Callable[[Column], Column] | None = None) -> DataFrame:
     """Add one tag per token (`O` outside entities). With a gazetteer of at most
     `limit` phrases the rows stay in place; with a larger one the hits are found
     once for every distinct token array and matched by that array, not by `id_col`."""
-    entries, max_words = _entries(gazetteer, cut)
+    entries = _entries(gazetteer, cut)
     if fits(entries, limit):
-        held = df.sparkSession.sparkContext.broadcast({r["phrase"]: r["type"] for r in entries.toLocalIterator()})
+        held = df.sparkSession.sparkContext.broadcast(_Index(entries))
 
         @F.pandas_udf(ArrayType(StringType()))
         def tag(column: pd.Series) -> pd.Series:
-            types = held.value
-            return column.map(lambda t: None if t is None else _row_tags(t, types, max_words))
+            return column.map(lambda t: None if t is None else held.value.tags(t))
 
-        return df.withColumn(out, tag(F.col(tokens_col)))
+        return df.withColumn(out, tag(F.transform(tokens_col, F.lower)))
     keyed = df.withColumn("_k", content_key(tokens_col))
     arrays = keyed.select("_k", tokens_col).dropDuplicates(["_k"])
     tags = tag_tokens(match_phrases(arrays, "_k", tokens_col, gazetteer, limit, cut), "_k")

@@ -16,6 +16,7 @@ from pagemill.functions import urls as ux
 from pagemill.functions.porter import stems
 from pagemill.operators import entities, lookup
 from pagemill.operators.language import LanguageProfiles, detect_language, language_codes
+from pagemill.operators.phrases import mask_listed
 from pagemill.operators.records import assemble_record, row_key
 from pagemill.operators.status import error_mime, fetch_status, is_valid, text_status
 from pagemill.operators.tweets import IDS_PER_ROW, event_label, join_tweet_info, tweets_by_url
@@ -25,7 +26,7 @@ from pagemill.sources.warc import read_warc, response_records
 
 @dataclass(frozen=True)
 class CleanOptions:
-    phrases: Sequence[str] = ()
+    phrases: Sequence[str] | DataFrame = ()  # a table (word) for lists of any length
     stop: Sequence[str] | None = None
     collection_name: str = ""
     collection_id: str | None = None
@@ -87,6 +88,13 @@ def extract_pages(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataF
     )
 
 
+def masked_text(df: DataFrame, text: str, phrases: Sequence[str] | DataFrame, out: str) -> DataFrame:
+    """Add `out`, the text with a list or a table of phrases masked."""
+    if isinstance(phrases, DataFrame):
+        return mask_listed(df, text, phrases, out)
+    return df.withColumn(out, tx.mask_phrases(F.col(text), phrases))
+
+
 def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFrame:
     """Flat record columns, one row per fetch, failures included."""
     if "stamp" not in fetches.columns:
@@ -97,8 +105,8 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
         if "chunk" in fetches.columns else F.lit("")
     )
     pages = extract_pages(fetches, o).withColumn("_id", F.concat(row_key(F.col("url"), F.col("stamp")), part))
-    masked = pages.withColumn("_masked", tx.mask_phrases(F.col("clean_text"), o.phrases))
-    df = masked.withColumn("tokens", tx.tokens(F.col("_masked"), o.stop))
+    df = masked_text(pages, "clean_text", o.phrases, "_masked")
+    df = df.withColumn("tokens", tx.tokens(F.col("_masked"), o.stop))
     df = df.withColumn("stemmed", stems(F.col("tokens")))
     no_list = F.lit(None).cast("array<string>")
     if o.lemmas is not None:
@@ -126,7 +134,9 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
     page = lambda c: F.when(ok, c)
     final_url = ux.clean_url(F.coalesce(F.nullif(F.col("meta.url"), F.lit("")), F.col("url")))
     text = tx.clean_control(F.col("clean_text"))
-    stored_mask = tx.mask_phrases(text, o.phrases) if o.mask_after_clean else tx.clean_control(F.col("_masked"))
+    if o.mask_after_clean:
+        df = masked_text(df.withColumn("_text", text), "_text", o.phrases, "_stored")
+    stored_mask = F.col("_stored") if o.mask_after_clean else tx.clean_control(F.col("_masked"))
     name = F.col("collection_name") if "collection_name" in df.columns else F.lit(o.collection_name)
     number = F.col("collection_id") if "collection_id" in df.columns else F.lit(o.collection_id)
     domain = ux.domain_name(F.col("url"))

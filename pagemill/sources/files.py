@@ -56,7 +56,7 @@ def word_list(words: DataFrame, limit: int = 10_000) -> list[str]:
     """A bounded word table as a Python list, for patterns and literals."""
     rows = words.select("word").distinct().orderBy("word").limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} words: use the phrase join instead of a pattern")
+        raise ValueError(f"more than {limit} words: pass the table itself to mask_listed or CleanOptions.phrases")
     return [r.word for r in rows]
 
 
