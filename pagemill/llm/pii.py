@@ -70,25 +70,31 @@ def position(df: DataFrame, name: str, text: str, pattern: str, needs: str) -> D
     """`df` with array<struct<start, end, hit, before, after>> `name`: leftmost
     matches in code points, end exclusive, with up to 80 code points on either
     side. The text between matches gives the positions."""
-    return position_sql(df, name, text, quoted(pattern), f"rlike({text}, {quoted(needs)})")
-
-
-def position_sql(df: DataFrame, name: str, text: str, pattern: str, able: str) -> DataFrame:
-    """`position` of a pattern that is an SQL expression, where `able` holds."""
-    hits, parts, ends = f"__{name}_hits", f"__{name}_parts", f"__{name}_ends"
-    df = df.withColumns({
-        hits: F.expr(f"IF({able}, regexp_extract_all({text}, {pattern}, 0), CAST(array() AS ARRAY<STRING>))"),
-        parts: F.expr(f"IF({able}, split({text}, {pattern}, -1), CAST(array() AS ARRAY<STRING>))"),
-    })
-    df = df.withColumn(ends, F.expr(
-        f"aggregate(sequence(1, size({hits})), array(0), (acc, i) -> IF(i > size({hits}), acc, array_append(acc, "
-        f"element_at(acc, -1) + length(get({parts}, i - 1)) + length(get({hits}, i - 1)))))"
-    ))
-    return df.withColumn(name, F.expr(
-        f"transform({hits}, (hit, i) -> named_struct('start', get({ends}, i) + length(get({parts}, i)), "
-        f"'end', get({ends}, i + 1), 'hit', hit, 'before', right(get({parts}, i), 80), "
-        f"'after', left(get({parts}, i + 1), 80)))"
-    )).drop(hits, parts, ends)
+    return df.withColumn(name, F.expr(position_sql(text, quoted(pattern), f"rlike({text}, {quoted(needs)})")))
+
+
+BLOCK = 64
+
+
+def position_sql(text: str, pattern: str, able: str) -> str:
+    """SQL for `position` with a pattern that is an SQL expression, where `able`
+    holds. One expression that binds what it uses twice, so that no rule of the
+    optimizer can copy the scan of the text into the loops over matches. Lengths are
+    summed by blocks, and then inside each block: the work grows with the matches,
+    not with their square."""
+    none = "CAST(array() AS ARRAY<STRING>)"
+    # r.h: matches; r.p: the texts between them; s: lengths up to a match's end;
+    # b: sums before each block; e: ends of all matches.
+    item = f"aggregate(sequence(%s * {BLOCK}, least(%s * {BLOCK} + {BLOCK - 1}, size(s) - 1)), "
+    return f"""get(transform(array(IF({able}, named_struct('h', regexp_extract_all({text}, {pattern}, 0), 'p', split({text}, {pattern}, -1)),
+        named_struct('h', {none}, 'p', {none}))), r -> IF(size(r.h) = 0, CAST(array() AS ARRAY<STRUCT<start:INT,end:INT,hit:STRING,before:STRING,after:STRING>>),
+      get(transform(array(transform(r.h, (h, i) -> length(get(r.p, i)) + length(h))), s ->
+        get(transform(array(aggregate(sequence(0, CAST((size(s) - 1) DIV {BLOCK} AS INT)), array(0), (acc, k) -> array_append(acc, element_at(acc, -1) +
+            {item % ("k", "k")} 0, (t, i) -> t + get(s, i))))), b ->
+          get(transform(array(flatten(transform(sequence(0, size(b) - 2), k -> slice({item % ("k", "k")} array(get(b, k)),
+              (t, i) -> array_append(t, element_at(t, -1) + get(s, i))), 2, {BLOCK})))), e ->
+            transform(r.h, (h, i) -> named_struct('start', get(e, i) - length(h), 'end', get(e, i), 'hit', h,
+              'before', right(get(r.p, i), 80), 'after', left(get(r.p, i + 1), 80)))), 0)), 0)), 0))), 0)"""
 
 
 def valid(kind: str) -> str:
@@ -163,9 +169,10 @@ def name_places(source: DataFrame, rows: DataFrame) -> DataFrame | None:
     texts = settle(pairs.join(bound, "pattern", "left_semi").distinct().join(source.select("key", "text").distinct(), "key"), "name-texts")
     first, second = "split(pattern, ' ')[1]", "split(pattern, ' ')[2]"
     form = f"concat({quoted(NOT_INSIDE)}, {first}, {quoted(GAP)}, {second}, {quoted(GAP + AT_NAME)})"
-    places = position_sql(texts, "place", "text", form, "true").select(
-        "key", "pattern", F.explode("place.end").alias("start"), "text"
-    ).withColumn("hit", F.expr(f"regexp_extract(substring(text, start + 1, {NAME_REACH}), {quoted('^' + NAME)}, 0)")).where("hit <> ''")
+    # An outer explode has no filter that the optimizer would move below the scan.
+    places = texts.select("key", "pattern", F.explode_outer(F.expr(position_sql("text", form, "true"))).alias("m"), "text").where(
+        "m IS NOT NULL"
+    ).select("key", "pattern", F.col("m.end").alias("start"), "text").withColumn("hit", F.expr(f"regexp_extract(substring(text, start + 1, {NAME_REACH}), {quoted('^' + NAME)}, 0)")).where("hit <> ''")
     names = places.select("key", "start", F.expr("start + length(hit)").alias("end"), F.lower("hit").alias("hit"), "pattern").distinct()
     spans = rows.select("key", F.col("base").alias("spans")).dropDuplicates(["key"])
     free = names.join(spans, "key").where("NOT exists(spans, b -> b.start < end AND start < b.end)")

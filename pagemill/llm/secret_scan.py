@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm.common import maybe_broadcast
@@ -27,6 +27,8 @@ LEAST_WORD = 3
 # Bound of each part of the labelled sample: findings whose text hashes lowest.
 LEARN_FINDINGS = 4_000
 TREES, DEPTH, SEED = 24, 6, 11
+# Score of a finding that the rule leaves open when there is no forest.
+PRIOR = 0.25
 # Words beside secrets, and beside other long tokens.
 SECRET_WORDS = ("token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential", "credentials", "access")
 PLAIN_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "digest", "hash", "uuid", "id", "revision", "etag")
@@ -57,7 +59,8 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     `given` holds for quoted values of a word for a secret. Written. Null and empty
     texts have none; repeated rows give repeated findings."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    found = position(rows, "found", "text", TOKEN, NEEDS).select("doc_id", F.explode("found").alias("m")).select("doc_id", "m.*")
+    # An outer explode has no filter that the optimizer would move below the scan.
+    found = position(rows, "found", "text", TOKEN, NEEDS).select("doc_id", F.explode_outer("found").alias("m")).where("m IS NOT NULL").select("doc_id", "m.*")
     near = F.expr(r"array_compact(transform(split(lower(concat(right(before, 40), ' ', left(after, 20))), r'[^a-z0-9]+'), w -> nullif(w, '')))")
     listed = lambda words_: F.arrays_overlap(near, F.array(*map(F.lit, words_)))
     given = NAMED + r"""["'`]?\s*[=:]\s*["']$"""
@@ -70,7 +73,8 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word): lower-cased runs of a-z that DICTIONARY_DOCS documents or more have."""
+    """(word): lower-cased runs of a-z that DICTIONARY_DOCS documents or more have.
+    Null and empty texts have none; repeated rows count as documents of their own."""
     words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(f"`{text}`"), F.lit(""))), "[^a-z]+"))
     counts = docs.select(F.explode(words).alias("word")).where(F.length("word") >= LEAST_WORD).groupBy("word").count()
     return settle(counts.where(F.col("count") >= DICTIONARY_DOCS).select("word"), "dictionary")
@@ -82,7 +86,9 @@ def share(pattern: str) -> Column:
 
 
 def add_features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """`found` with the columns FEATURES. Equal tokens are looked up once."""
+    """`found` with the columns FEATURES, none of them null. Equal tokens are looked up
+    once and have equal features, but for those of the text around them. Without
+    `words` nothing is covered; an empty table stays empty."""
     parts = found.select("hit").distinct().select(
         "hit", F.explode(F.expr(f"filter(split(lower(hit), '[^a-z]+'), w -> length(w) >= {LEAST_WORD})")).alias("word")
     )
@@ -107,11 +113,27 @@ def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="__features", handleInvalid="keep").transform(df)
 
 
+def examples(spark: SparkSession) -> DataFrame:
+    """(doc_id, text): invented texts with labelled findings of both kinds, made by a
+    rule from the digests of 0 to 199: quoted values given to a word for a secret,
+    plain words, digests and paths. For a corpus in which one label is missing."""
+    digest = F.sha2(F.col("id").cast("string").cast("binary"), 256)
+    value = F.left(F.translate(F.base64(F.unhex(digest)), "+/=", "xyz"), F.lit(10) + F.col("id") % 24)
+    word = F.element_at(F.array(*map(F.lit, ("password", "api_key", "secret", "token"))), (F.col("id") % 4 + 1).cast("int"))
+    letters = F.translate(digest, "0123456789", "ghijklmnop")
+    text = F.concat(
+        word, F.lit(' = "'), value, F.lit('" written by '), F.left(letters, F.lit(8) + F.col("id") % 7), F.lit(" sha256 "), digest,
+        F.lit(" commit "), F.left(digest, F.lit(40)), F.lit(" checksum /usr/"), F.left(letters, F.lit(5)), F.lit("/"), F.right(letters, F.lit(6)),
+    )
+    return spark.range(200).select(F.col("id").alias("doc_id"), text.alias("text"))
+
+
 def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     """Forest from findings with FEATURES and `label` (0, 1; null: not used). Of each
     label, and apart with and without a digit or slash (plain words would leave no
     room for digests), the LEARN_FINDINGS distinct rows whose text hashes lowest are
-    used. None without both labels."""
+    used; ties are ordered by their features. None without both labels, as for an
+    empty table."""
     rows = labelled.select(*FEATURES, "hit", F.col("label").cast("double").alias("label")).where("label IS NOT NULL").distinct()
     rows = settle(rows, "labelled")
     sample = [
@@ -127,23 +149,38 @@ def train(labelled: DataFrame) -> RandomForestClassificationModel | None:
     return forest.fit(assemble(learn.coalesce(1)))  # at most 4 * LEARN_FINDINGS rows
 
 
+def train_with_examples(labelled: DataFrame, words: DataFrame) -> RandomForestClassificationModel:
+    """`train`, with the findings of `examples` added if `labelled` lacks a label."""
+    model = train(labelled)
+    if model is None:
+        shipped = known_labels(add_features(findings(examples(labelled.sparkSession)), words))
+        model = train(labelled.select(*FEATURES, "hit", "label").unionByName(shipped.select(*FEATURES, "hit", "label")))
+    return model
+
+
 def judge(found: DataFrame, model: RandomForestClassificationModel | None, least: float = 0.5) -> DataFrame:
     """`found` (with FEATURES) with `score` (0 to 1) and `secret` (score >= least).
-    Without a model nothing is removed: every score is 1."""
+    Equal findings have equal scores; an empty table stays empty. Without a model the
+    rule of known_labels decides, and what it leaves open scores PRIOR."""
     if model is None:
-        return found.withColumns({"score": F.lit(1.0), "secret": F.lit(True)})
+        score = F.coalesce(rule_label(), F.lit(PRIOR))
+        return found.withColumn("score", score).withColumn("secret", F.col("score") >= least)
     judged = model.transform(assemble(found)).withColumn("score", F.round(vector_to_array("probability")[1], 6))
     return judged.drop("__features", "rawPrediction", "probability", "prediction").withColumn("secret", F.col("score") >= least)
 
 
-def known_labels(found: DataFrame) -> DataFrame:
-    """`found` with `label` where it can be told without the forest: 1 for keys of a
-    published form (fixed values below) or quoted values that are given to a word for
-    a secret, 0 for tokens of letters alone in ordinary case that are not assigned,
-    and for digests, UUIDs and paths beside PLAIN_WORDS but no word for a secret;
-    null otherwise."""
+def rule_label() -> Column:
+    """1 for keys of a published form (fixed values below) or quoted values that are
+    given to a word for a secret, 0 for tokens of letters alone in ordinary case that
+    are not assigned, and for digests, UUIDs and paths beside PLAIN_WORDS but no word
+    for a secret; null otherwise."""
     published = r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
     flag = lambda n: F.col(n).cast("boolean")
     word = F.rlike("hit", F.lit("^[A-Z]?[a-z]+$")) & ~flag("assigned")
     digest = F.rlike("hit", F.lit(DIGEST)) & flag("plain_word") & ~flag("secret_word")
-    return found.withColumn("label", F.when(F.rlike("hit", F.lit(published)) | F.col("given"), 1.0).when(word | digest, 0.0))
+    return F.when(F.rlike("hit", F.lit(published)) | F.col("given"), 1.0).when(word | digest, 0.0)
+
+
+def known_labels(found: DataFrame) -> DataFrame:
+    """`found` with `label` where rule_label can tell it without the forest, else null."""
+    return found.withColumn("label", rule_label())
