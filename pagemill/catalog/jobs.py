@@ -7,19 +7,20 @@ from pyspark.sql import functions as F
 from pagemill import fixed
 from pagemill.catalog.base import (
     FETCH_CTE, MODEL_STOP, PHRASES, SCORED_CTE, SQL_TEXT_CODE, STOP, TEXT_CTE, TOKEN_CTE, TOPIC_CTE, TWEET_CTE,
-    fetches, model_docs, query, scored, sql_list, sql_mask, sql_model_words, sql_stems, sql_title, sql_tokens, sql_visible, table,
-    tweets,
+    fetches, model_docs, query, scored, sql_list, sql_mask, sql_model_words, sql_stems, sql_title, sql_tokens, sql_visible,
+    sql_words, table, tweets,
 )
 from pagemill.catalog.documents import (
-    GAZETTEER_CTE, LEMMA_CTE, LEXICON_CTE, LINK_TERM_CTE, LOCATION_CTE, SQL_FALLBACK, TAG_CTE, gazetteer, lemma_table, lexicon,
+    GAZETTEER_CTE, GRAM_CTE, LEMMA_CTE, LEXICON_CTE, LINK_TERM_CTE, LOCATION_CTE, SQL_FALLBACK, TAG_CTE, gazetteer, lemma_table, lexicon,
     page_link_rows, places,
 )
 from pagemill.catalog.markup import META_CTE, META_HTML, SQL_DATE_NAMES, SQL_DOMAIN, SQL_LOCATION, _last
-from pagemill.catalog.records import _warc
+from pagemill.catalog.records import warc_file
 from pagemill.catalog.scoring import graph_links, graph_pages
 from pagemill.functions import html as hx
 from pagemill.functions.arrays import term_counts
 from pagemill.operators import tables as tb
+from pagemill.operators.language import SMOOTHING, train_profiles
 from pagemill.plans import clean as cl
 from pagemill.plans import evaluate as ev
 from pagemill.plans import frontier as fr
@@ -126,11 +127,25 @@ def job1_full(spark, sf):
     )
 
 
-@query("job1_language")
+@query(
+    "job1_language",
+    f"""WITH {GRAM_CTE}, {TEXT_CTE}, coded AS (SELECT *, {SQL_TEXT_CODE} AS status_code FROM texts),
+    plw AS (SELECT page_id, unnest(list_transform({sql_words('clean_text')}, lambda w: ' ' || lower(w) || ' ')) AS w FROM coded WHERE status_code = '0200'),
+    pwc AS (SELECT page_id, w, count(*) AS n FROM plw GROUP BY ALL),
+    pwg AS (SELECT w, g, count(*) AS k FROM (SELECT w, substr(w, i, n) AS g FROM (SELECT w, n, unnest(range(1, length(w) - n + 2)) AS i
+      FROM (SELECT DISTINCT w FROM pwc), (VALUES (1), (2), (3)) v(n))) GROUP BY ALL),
+    pdg AS (SELECT page_id, g, CAST(sum(n * k) AS BIGINT) AS tf FROM pwc JOIN pwg USING (w) GROUP BY ALL),
+    pscores AS (SELECT page_id, tot.lang AS cand, sum(tf * coalesce(lp, ln({SMOOTHING} / t))) AS s
+      FROM pdg CROSS JOIN tot LEFT JOIN logp ON logp.g = pdg.g AND logp.cand = tot.lang GROUP BY ALL),
+    best AS (SELECT page_id, max(s) AS m FROM pscores GROUP BY page_id),
+    pw2 AS (SELECT page_id, cand, exp(s - m) AS w FROM pscores JOIN best USING (page_id)),
+    pp AS (SELECT page_id, cand, w / sum(w) OVER (PARTITION BY page_id) AS p FROM pw2),
+    j AS (SELECT page_id, string_agg(cand, ',' ORDER BY p DESC, cand DESC) AS language FROM pp WHERE p >= 0.1 GROUP BY page_id)
+    SELECT url || '-' || stamp AS row_key, status_code, CASE WHEN status_code = '0200' THEN coalesce(language, '') END AS language
+    FROM coded LEFT JOIN j USING (page_id)""",
+)
 def job1_language(spark, sf):
     """Language column of the page record, trained on the labelled documents."""
-    from pagemill.operators.language import train_profiles
-
     options = _options(profiles=train_profiles(table(spark, sf, "documents")))
     flat = cl.clean_flat(fetches(spark, sf), options)
     return flat.select("row_key", "status_code", F.array_join("language", ",").alias("language"))
@@ -155,6 +170,22 @@ def job2(spark, sf):
     )
 
 
+@query(
+    "job2_tweet_ids",
+    f"""WITH {TWEET_CTE}, {FETCH_CTE}, hot AS (SELECT tweet_id, seq, CASE WHEN seq % 3 = 0 THEN (SELECT min(url) FROM fetches) ELSE url END AS url FROM tweets),
+    t AS (SELECT *, count(*) OVER (PARTITION BY url) AS n_tweets, (row_number() OVER (PARTITION BY url ORDER BY seq) - 1) // 3 AS chunk FROM hot)
+    SELECT f.url || '-' || stamp AS row_key, n_tweets, chunk, string_agg(tweet_id, ',' ORDER BY seq) AS tweet_ids
+    FROM fetches f JOIN t ON f.url = t.url GROUP BY ALL""",
+)
+def job2_ids(spark, sf):
+    """All tweet ids of the records, three in a row; one page has a third of them."""
+    stored = fetches(spark, sf)
+    hottest = stored.agg(F.min("url")).first()[0]
+    hot = tweets(spark, sf).withColumn("url", F.when(F.col("seq") % 3 == 0, hottest).otherwise(F.col("url")))
+    _, ids = cl.clean_tweet_tables(hot, stored, ids_per_row=3)
+    return ids.withColumn("tweet_ids", F.array_join("tweet_ids", ","))
+
+
 _ALL_PAGES = TEXT_CTE.replace(FETCH_CTE, "fetches AS (SELECT * FROM pages)")
 
 
@@ -165,11 +196,7 @@ _ALL_PAGES = TEXT_CTE.replace(FETCH_CTE, "fetches AS (SELECT * FROM pages)")
     array_to_string({sql_tokens('clean_text')}, ',') AS tokens FROM texts""",
 )
 def job3(spark, sf):
-    from pagemill.sources.warc import response_records
-
-    stored = cl.warc_fetches(response_records(_warc(spark, sf, "warc-job")))
-    options = cl.CleanOptions(check_type=False, ok_code=fixed.STATUS_WARC)
-    record = cl.clean_pages(stored, options)
+    record = cl.clean_warc(spark, warc_file(spark, sf, "warc-job"), split_bytes=50_000)
     return record.select(
         "row_key", "webpage.status_code", "webpage.mime_type", "webpage.title", F.array_join("clean_webpage.tokens", ",").alias("tokens")
     )
@@ -285,19 +312,82 @@ def job7_round(spark, sf):
     n = pages.count()
     seeds = pages.filter(F.col("url").startswith("https://src1.example.org/")).select("url")
     out = fr.focused_expand(
-        seeds, pages, graph_links(spark, sf), fr.CrawlOptions(page_limit=n, batch=n, max_rounds=1)
+        seeds, pages, graph_links(spark, sf), fr.CrawlOptions(page_limit=n, batch=n, max_rounds=1, exact=False)
     )
     return out.scored.select(F.lit("page").alias("kind"), "url", F.col("page_id").alias("number"), F.round("score", 9).alias("score")).unionByName(
         out.frontier.select(F.lit("link").alias("kind"), "url", F.col("parent_id").alias("number"), F.round("score", 9).alias("score"))
     )
 
 
-@query("job7_focused_expand")
+ROUNDS, ROUND_PAGES = 4, 500
+
+
+def rounds_sql() -> str:
+    """SQL of a crawl in rounds: what is popped, scored and pushed in each of them."""
+    ctes = [ONE_ROUND_CTE.split("first AS")[0].rstrip().rstrip(",")]
+    ctes.append("""v0 AS (SELECT url FROM ids WHERE false), s0 AS (SELECT 0 AS page_id, url, 0 AS parent_id, score, 0 AS label FROM ids WHERE false),
+    f0 AS (SELECT CAST(1.0 AS DOUBLE) AS score, url, -1 AS parent_id FROM ids WHERE source = 'src1')""")
+    for r in range(1, ROUNDS + 1):
+        p = r - 1
+        ctes.append(f"""o{r} AS MATERIALIZED (SELECT count(*) AS done FROM s{p}),
+    p{r} AS MATERIALIZED (SELECT url, max(score) AS score, arg_min(parent_id, (-score, parent_id)) AS parent_id FROM f{p}
+      WHERE url NOT IN (SELECT url FROM v{p}) AND (SELECT done FROM o{r}) < {fixed.PAGE_LIMIT}
+      GROUP BY url ORDER BY max(score) DESC, url LIMIT {ROUND_PAGES}),
+    n{r} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY p.score DESC, url, parent_id) - 1 + (SELECT done FROM o{r}) AS page_id, url, parent_id,
+      ids.score, CASE WHEN ids.score >= 0.5 THEN 1 ELSE 0 END AS label FROM p{r} p JOIN ids USING (url)
+      QUALIFY page_id < {fixed.PAGE_LIMIT}),
+    v{r} AS MATERIALIZED (SELECT * FROM v{p} UNION ALL SELECT url FROM p{r}),
+    s{r} AS MATERIALIZED (SELECT * FROM s{p} UNION ALL SELECT * FROM n{r}),
+    c{r} AS MATERIALIZED (SELECT string_split(string_split(url, '//')[2], '/')[1] AS domain, 1.0 + sum(label) AS rel, 1.0 + sum(1 - label) AS nonrel
+      FROM s{r} GROUP BY 1),
+    l{r} AS (SELECT n.page_id AS parent_id, g.dst_url AS url, CASE WHEN n.label = 1 THEN n.score * g.link_score * (coalesce(rel, 1.0) / coalesce(nonrel, 1.0))
+      ELSE n.score * g.link_score END AS score FROM n{r} n JOIN graph g ON n.url = g.src_url
+      LEFT JOIN c{r} c ON string_split(string_split(g.dst_url, '//')[2], '/')[1] = c.domain
+      WHERE n.score >= 0.1 AND n.score * g.link_score >= 0.1 AND g.dst_url NOT IN (SELECT url FROM v{r})),
+    f{r} AS MATERIALIZED (SELECT * FROM f{p} UNION ALL SELECT score, url, parent_id FROM l{r} WHERE score >= 0.1)""")
+    return f"WITH {', '.join(ctes)} SELECT page_id, url, parent_id, round(score, 9) AS score, label FROM s{ROUNDS}"
+
+
+@query("job7_focused_expand", rounds_sql())
 def job7(spark, sf):
-    """Expansion from one source up to the default page limit."""
+    """Expansion from one source up to the default page limit, in rounds."""
+    pages = graph_pages(spark, sf)
+    seeds = pages.filter(F.col("url").startswith("https://src1.example.org/")).select("url")
+    options = fr.CrawlOptions(batch=ROUND_PAGES, exact=False, max_rounds=ROUNDS)
+    scored = fr.focused_expand(seeds, pages, graph_links(spark, sf), options).scored
+    return scored.select("page_id", "url", "parent_id", F.round("score", 9).alias("score"), F.col("label"))
+
+
+EXACT_PAGES = 108
+# One page at a time: the state of the heap is a row of lists.
+HEAP_SQL = f"""WITH RECURSIVE {ONE_ROUND_CTE.split("first AS")[0].rstrip().rstrip(",")},
+crawl AS (SELECT 0 AS step, CAST([] AS VARCHAR[]) AS visited, list({{'neg': CAST(-1.0 AS DOUBLE), 'url': url, 'parent': CAST(-1 AS BIGINT)}}) AS front,
+    CAST([] AS STRUCT(page_id BIGINT, url VARCHAR, parent_id BIGINT, score DOUBLE, label BIGINT, domain VARCHAR)[]) AS scored FROM ids WHERE source = 'src1'
+  UNION ALL
+  SELECT any_value(step) + 1, any_value(list_append(visited, best.url)), list_concat(any_value(front), coalesce(list({{'neg': -total, 'url': dst_url, 'parent': CAST(step AS BIGINT)}})
+      FILTER (WHERE best_score >= 0.1 AND plain >= 0.1 AND total >= 0.1), [])), any_value(scored)
+  FROM (SELECT *, CASE WHEN label = 1 THEN plain * (1.0 + len(list_filter(scored, lambda x: x.domain = domain AND x.label = 1)))
+        / (1.0 + len(list_filter(scored, lambda x: x.domain = domain AND x.label = 0))) ELSE plain END AS total
+    FROM (SELECT step, visited, front, best, best_score, label, dst_url, string_split(string_split(dst_url, '//')[2], '/')[1] AS domain, best_score * link_score AS plain,
+        list_append(scored, {{'page_id': CAST(step AS BIGINT), 'url': best.url, 'parent_id': best.parent, 'score': best_score, 'label': label,
+          'domain': string_split(string_split(best.url, '//')[2], '/')[1]}}) AS scored
+      FROM (SELECT t.*, ids.score AS best_score, CAST(CASE WHEN ids.score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS label
+          FROM (SELECT *, list_sort(list_filter(front, lambda x: NOT list_contains(visited, x.url)))[1] AS best FROM crawl WHERE step < {EXACT_PAGES}) t
+          JOIN ids ON ids.url = t.best.url)
+      LEFT JOIN graph ON graph.src_url = best.url AND NOT list_contains(list_append(visited, best.url), graph.dst_url)))
+  HAVING count(*) > 0),
+ended AS (SELECT unnest(scored) AS s FROM (SELECT scored FROM crawl ORDER BY step DESC LIMIT 1))
+SELECT s.page_id AS page_id, s.url AS url, s.parent_id AS parent_id, round(s.score, 9) AS score, s.label AS label FROM ended"""
+
+
+@query("job7_exact_batches", HEAP_SQL)
+def job7_exact(spark, sf):
+    """The first pages of the same expansion in heap order, popped in batches."""
     pages = graph_pages(spark, sf)
     seeds = pages.filter(F.col("url").startswith("https://src1.example.org/")).select("url")
-    return fr.focused_expand(seeds, pages, graph_links(spark, sf), fr.CrawlOptions(batch=500)).scored
+    options = fr.CrawlOptions(batch=64, page_limit=EXACT_PAGES)
+    scored = fr.focused_expand(seeds, pages, graph_links(spark, sf), options).scored
+    return scored.select("page_id", "url", "parent_id", F.round("score", 9).alias("score"), F.col("label"))
 
 
 PAGE_TERM_CTE = f"""seen AS (SELECT page_id, {sql_title('html')} AS title, {sql_visible('html')} AS visible FROM pages),

@@ -168,15 +168,20 @@ def src3(spark, sf):
     return src.read_fetches(spark, f"{sf}/pages.parquet").select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
 
 
-def _warc(spark, sf, name):
+def warc_file(spark, sf, name):
+    """The page table as an archive."""
     path = scratch_path(spark, name)
     pages = spread(table(spark, sf, "pages")).select(
         F.col("url").alias("target_uri"), F.timestamp_seconds(F.col("page_id") + 1704067200).alias("warc_date"),
         F.lit("text/html").alias("http_content_type"), F.encode("html", "UTF-8").alias("payload"),
     )
     warc.write_warc(pages, path)
+    return path
+
+
+def _warc(spark, sf, name):
     # Small ranges, so that records have to be found inside a file.
-    return warc.read_warc(spark, path, split_bytes=50_000)
+    return warc.read_warc(spark, warc_file(spark, sf, name), split_bytes=50_000)
 
 
 SQL_WARC = """SELECT url, 1704067200 + page_id AS seconds, 'application/http; msgtype=response' AS content_type,

@@ -16,7 +16,7 @@ from pagemill.sinks.files import write_pairs
 
 @query("flt9_page_threshold", f"WITH {SCORED_CTE} SELECT page_id, score FROM scored WHERE score >= 0.5")
 def flt9(spark, sf):
-    return scored(spark, sf).filter(F.col("score") >= fixed.PAGE_THRESHOLD).select("page_id", "score")
+    return fr.at_least(scored(spark, sf)).select("page_id", "score")
 
 
 @query("flt10_relevant_label", f"WITH {SCORED_CTE} SELECT page_id, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS label FROM scored")
@@ -35,7 +35,7 @@ def flt12(spark, sf):
     raw = scored(spark, sf).withColumn(
         "score", F.when(F.col("score") <= 0.02, -1.0).when(F.col("score") <= 0.05, F.lit(None)).otherwise(F.col("score"))
     )
-    return raw.filter(F.col("score").isNotNull() & (F.col("score") != -1)).select("page_id")
+    return fr.available(raw).select("page_id")
 
 
 SQL_COUNTS = """counts AS (SELECT domain, 1.0 + sum(label) AS rel, 1.0 + sum(1 - label) AS nonrel FROM scored GROUP BY domain)"""
@@ -191,7 +191,7 @@ def top2(spark, sf):
     f"WITH {FRONTIER_SQL} SELECT url, count(*) AS n FROM front WHERE url NOT IN (SELECT url FROM seen) GROUP BY url",
 )
 def jn6(spark, sf):
-    return frontier(spark, sf).join(seen(spark, sf), "url", "left_anti").groupBy("url").agg(F.count("*").alias("n"))
+    return fr.unvisited(frontier(spark, sf), seen(spark, sf)).groupBy("url").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagemill.operators.ordering import positions
 from pagemill.session import BROADCAST_ROWS, fits, settle
 
+# Tweet ids in one list, at most. Further ids of a URL are in further lists.
 IDS_PER_ROW = 100_000
 
 
@@ -23,45 +24,34 @@ def first_collection(tweets: DataFrame, seq: str = "seq") -> DataFrame:
     ).select("url", "n_tweets", "_first.collection_id", "_first.collection_name")
 
 
-def _gather(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col(seq).alias("seq"), "tweet_id"))), lambda s: s["tweet_id"]
-        ).alias("tweet_ids")
-    )
+def id_chunks(tweets: DataFrame, seq: str = "seq", ids_per_row: int = IDS_PER_ROW) -> DataFrame:
+    """(url, chunk, tweet_ids): the tweet ids of every URL in file order, in lists of
+    `ids_per_row` and a last one with the rest. Tweets are numbered in range
+    partitions, so that the tweets of a hot URL are in several tasks and no row has to
+    hold them whole."""
+    placed = settle(positions(tweets.select("url", "tweet_id", seq), [F.col("url"), F.col(seq)], "_pos"), "tweet-positions")
+    firsts = settle(placed.groupBy("url").agg(F.min("_pos").alias("_from")), "tweet-firsts")
+    chunk = F.floor((F.col("_pos") - F.col("_from")) / ids_per_row).cast("bigint")
+    numbered = placed.join(F.broadcast(firsts) if fits(firsts, BROADCAST_ROWS) else firsts, "url").withColumn("chunk", chunk)
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "tweet_id"))), lambda s: s["tweet_id"])
+    return numbered.groupBy("url", "chunk").agg(ids.alias("tweet_ids"))
 
 
 def tweets_by_url(tweets: DataFrame, seq: str = "seq", ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """One row per URL with its tweet ids in file order and the collection of its
-    first row. A URL with more than `ids_per_row` tweets continues on further rows
-    (`chunk` 1, 2, ...), so no row and no task has to hold a hot URL whole."""
-    info = settle(first_collection(tweets, seq), "tweet-urls")
-    hot = info.filter(F.col("n_tweets") > ids_per_row).select("url")
-    if fits(hot, 0):
-        lists = _gather(tweets, ["url"], seq).select("url", F.lit(0).cast("bigint").alias("chunk"), "tweet_ids")
-    else:
-        marked = F.broadcast(hot) if fits(hot, BROADCAST_ROWS) else hot
-        cold = _gather(tweets.join(marked, "url", "left_anti"), ["url"], seq).select(
-            "url", F.lit(0).cast("bigint").alias("chunk"), "tweet_ids"
-        )
-        placed = positions(
-            tweets.join(marked, "url", "left_semi").select("url", "tweet_id", seq), [F.col("url"), F.col(seq)], "_pos"
-        ).withColumn("_slot", F.floor(F.col("_pos") / ids_per_row).cast("bigint"))
-        slots = _gather(placed, ["url", "_slot"], seq)
-        first_slot = placed.groupBy("url").agg(F.min("_slot").alias("_from"))
-        long = slots.join(first_slot, "url").select(
-            "url", (F.col("_slot") - F.col("_from")).alias("chunk"), "tweet_ids"
-        )
-        lists = cold.unionByName(long)
-    return lists.join(info, "url").select(
+    """Every URL with its tweet ids in file order, `ids_per_row` of them in a row
+    (`chunk` 0, 1, ...), its number of tweets and the collection of its first one."""
+    info = first_collection(tweets, seq)
+    return id_chunks(tweets, seq, ids_per_row).join(info, "url").select(
         "url", "chunk", "collection_id", "collection_name", "n_tweets", "tweet_ids"
     )
 
 
 def join_tweet_info(pages: DataFrame, by_url: DataFrame, url: str = "url") -> DataFrame:
-    """Pages with the tweet information of their original URL. The optimizer picks
-    broadcast or sort-merge; both sides hold few rows per URL."""
-    info = by_url.select(F.col("url").alias(url), "chunk", "collection_id", "collection_name", "tweet_ids")
+    """Pages with the tweet information of their original URL, one row for each page:
+    the number of tweets, the first collection and the first list of ids."""
+    info = by_url.where("chunk = 0").select(
+        F.col("url").alias(url), "collection_id", "collection_name", "n_tweets", "tweet_ids"
+    )
     return pages.join(info, url, "inner")
 
 

@@ -20,7 +20,7 @@ from pagemill.operators.phrases import mask_listed
 from pagemill.operators.records import assemble_record, row_key
 from pagemill.operators.status import error_mime, fetch_status, is_valid, text_status
 from pagemill.operators.tweets import IDS_PER_ROW, event_label, join_tweet_info, tweets_by_url
-from pagemill.session import spread
+from pagemill.session import settle, spread
 from pagemill.sources.warc import read_warc, response_records
 
 
@@ -99,12 +99,7 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
     """Flat record columns, one row per fetch, failures included."""
     if "stamp" not in fetches.columns:
         fetches = fetches.withColumn("stamp", F.unix_timestamp("fetch_time").cast("string"))
-    # Further rows of a hot tweeted URL get keys of their own.
-    part = (
-        F.when(F.col("chunk") > 0, F.concat(F.lit("#"), F.col("chunk").cast("string"))).otherwise("")
-        if "chunk" in fetches.columns else F.lit("")
-    )
-    pages = extract_pages(fetches, o).withColumn("_id", F.concat(row_key(F.col("url"), F.col("stamp")), part))
+    pages = extract_pages(fetches, o).withColumn("_id", row_key(F.col("url"), F.col("stamp")))
     df = masked_text(pages, "clean_text", o.phrases, "_masked")
     df = df.withColumn("tokens", tx.tokens(F.col("_masked"), o.stop))
     df = df.withColumn("stemmed", stems(F.col("tokens")))
@@ -142,7 +137,7 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
     domain = ux.domain_name(F.col("url"))
     always = (lambda c: page(c)) if o.strict_reference else (lambda c: c)
     out = {
-        "row_key": F.concat(row_key(F.when(ok, final_url).otherwise(F.col("url")), F.col("stamp")), part),
+        "row_key": row_key(F.when(ok, final_url).otherwise(F.col("url")), F.col("stamp")),
         "doc_type": always(F.lit(o.doc_type)),
         "collection_id": always(number),
         "collection_name": always(name),
@@ -172,7 +167,7 @@ def clean_flat(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFram
         "real_world_events": page(event_label(name)),
     }
     if "tweet_ids" in df.columns:
-        out["tweet_ids"] = F.col("tweet_ids")
+        out |= {"tweet_ids": F.col("tweet_ids"), "n_tweets": F.col("n_tweets"), "tweet_url": F.col("url")}
     return df.select(*[c.alias(n) for n, c in out.items()])
 
 
@@ -181,16 +176,31 @@ def clean_pages(fetches: DataFrame, o: CleanOptions = CleanOptions()) -> DataFra
     return assemble_record(clean_flat(fetches, o))
 
 
-def clean_tweet_pages(tweets: DataFrame, fetches: DataFrame, o: CleanOptions = CleanOptions(), seq: str = "seq",
-                      ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """Records of the pages that tweets point to, with tweet ids and collection.
-    A URL with more than `ids_per_row` tweets has further rows, `#n` in the key."""
-    o = replace(
+def _tweeted(o: CleanOptions) -> CleanOptions:
+    return replace(
         o,
         database=fixed.TWEET_DATABASE if o.database == fixed.DATABASE else o.database,
         source=fixed.TWEET_SOURCE if o.source == fixed.SOURCE else o.source,
     )
-    return clean_pages(join_tweet_info(fetches, tweets_by_url(tweets, seq, ids_per_row)), o)
+
+
+def clean_tweet_pages(tweets: DataFrame, fetches: DataFrame, o: CleanOptions = CleanOptions(), seq: str = "seq",
+                      ids_per_row: int = IDS_PER_ROW) -> DataFrame:
+    """Records of the pages that tweets point to, one for each fetch, with the first
+    collection and the first `ids_per_row` tweet ids. All ids, however many, are in
+    clean_tweet_tables."""
+    return clean_pages(join_tweet_info(fetches, tweets_by_url(tweets, seq, ids_per_row)), _tweeted(o))
+
+
+def clean_tweet_tables(tweets: DataFrame, fetches: DataFrame, o: CleanOptions = CleanOptions(), seq: str = "seq",
+                       ids_per_row: int = IDS_PER_ROW) -> tuple[DataFrame, DataFrame]:
+    """(records, ids): the records of clean_tweet_pages, and (row_key, n_tweets, chunk,
+    tweet_ids) with all tweet ids of every record in file order. Pages are cleaned
+    once, whatever the number of their tweets."""
+    by_url = settle(tweets_by_url(tweets, seq, ids_per_row), "tweets-by-url")
+    flat = clean_flat(join_tweet_info(fetches, by_url), _tweeted(o))
+    keys = flat.select("row_key", F.col("tweet_url").alias("url"))
+    return assemble_record(flat), keys.join(by_url, "url").select("row_key", "n_tweets", "chunk", "tweet_ids")
 
 
 def warc_fetches(records: DataFrame) -> DataFrame:
@@ -202,8 +212,9 @@ def warc_fetches(records: DataFrame) -> DataFrame:
     )
 
 
-def clean_warc(spark, path: str, o: CleanOptions = CleanOptions()) -> DataFrame:
-    """Records of a WARC archive: no content-type test, status 3200."""
+def clean_warc(spark, path: str, o: CleanOptions = CleanOptions(), **options) -> DataFrame:
+    """Records of a WARC archive: no content-type test, status 3200. `options` go to
+    the reader."""
     return clean_pages(
-        warc_fetches(read_warc(spark, path)), replace(o, check_type=False, ok_code=fixed.STATUS_WARC)
+        warc_fetches(read_warc(spark, path, **options)), replace(o, check_type=False, ok_code=fixed.STATUS_WARC)
     )

@@ -54,13 +54,18 @@ def test_clean_variants(fetched):
     assert rows["16"].url == "http://a.fr/og"
 
 
-def test_tweet_pages_keep_all_ids_under_distinct_keys(spark, fetched):
+def test_tweet_pages_have_one_record_and_all_ids(spark, fetched):
     rows = [(str(i), "7", "#E", "http://a.com/p", i) for i in range(7)] + [("99", "8", "#F", "http://gone", 99)]
     tweets = spark.createDataFrame(rows, "tweet_id string, collection_id string, collection_name string, url string, seq bigint")
-    out = cl.clean_tweet_pages(tweets, fetched, ids_per_row=3).select("row_key", "metadata.*", "webpage.tweet_ids").collect()
-    assert sorted(int(t) for r in out for t in r.tweet_ids) == list(range(7))
-    assert {r.row_key.split("-")[0] for r in out} == {"http://a.com/p"} and len({r.row_key for r in out}) == len(out) >= 3
+    records, ids = cl.clean_tweet_tables(tweets, fetched, ids_per_row=3)
+    out = records.select("row_key", "metadata.*", "webpage.tweet_ids").collect()
+    pages = fetched.where("url = 'http://a.com/p'").count()
+    assert len(out) == len({r.row_key for r in out}) == pages
     assert {(r.collection_id, r.collection_name, r.source) for r in out} == {("7", "#E", "yTK")}
+    assert all(r.tweet_ids == ["0", "1", "2"] for r in out)
+    lists = sorted((r.row_key, r.chunk, r.tweet_ids, r.n_tweets) for r in ids.collect())
+    assert lists == sorted((r.row_key, k, [str(i) for i in range(3 * k, min(3 * k + 3, 7))], 7) for r in out for k in range(3))
+    assert cl.clean_tweet_pages(tweets, fetched, ids_per_row=3).count() == pages
 
 
 def test_cosine_routes_agree(spark):
@@ -147,8 +152,8 @@ def heap_crawl(seeds, pages, links, limit, method, restricted):
     return out, visited
 
 
-@pytest.mark.parametrize("method, restricted", [(1, False), (2, True)])
-def test_frontier_one_by_one_equals_a_heap(spark, method, restricted):
+@pytest.mark.parametrize("method, restricted, batch", [(1, False, 1), (2, True, 1), (1, False, 4), (2, False, 12), (1, True, 12)])
+def test_frontier_batches_equal_a_heap(spark, method, restricted, batch):
     rng = random.Random(method)
     urls = [f"http://h{i % 3}.org/{i}" for i in range(12)]
     pages = {u: rng.choice([-1.0, 0.05, 0.3, 0.6, 0.9]) for u in urls[:10]}
@@ -161,7 +166,7 @@ def test_frontier_one_by_one_equals_a_heap(spark, method, restricted):
         spark.createDataFrame([(s,) for s in seeds], "url string"),
         spark.createDataFrame(list(pages.items()), "url string, score double"),
         spark.createDataFrame(links, "src_url string, dst_url string, link_score double"),
-        fr.CrawlOptions(page_limit=7, combine_method=method, restricted=restricted, buckets=4),
+        fr.CrawlOptions(page_limit=7, combine_method=method, restricted=restricted, buckets=4, batch=batch),
     )
     got = sorted((r.page_id, r.url, r.parent_id, r.label) for r in out.scored.collect())
     assert got == expected
@@ -175,11 +180,29 @@ def test_frontier_batches_visit_once_and_respect_the_limit(spark):
     # One page holds a third of all links.
     pairs = [(urls[0], u, 0.9) for u in urls] + [(urls[i], urls[(i * 7 + 1) % 40], 0.9) for i in range(40)] * 2
     links = spark.createDataFrame(pairs, "src_url string, dst_url string, link_score double")
-    out = fr.focused_expand(spark.createDataFrame([(urls[0],)], "url string"), pages, links, fr.CrawlOptions(page_limit=25, batch=10))
+    out = fr.focused_expand(spark.createDataFrame([(urls[0],)], "url string"), pages, links, fr.CrawlOptions(page_limit=25, batch=10, exact=False))
     rows = out.scored.collect()
     assert sorted(r.page_id for r in rows) == list(range(25)) and len({r.url for r in rows}) == 25
 
 
+def test_batches_end_where_a_link_overtakes(spark):
+    batch = spark.createDataFrame([(0, 0.9), (1, 0.8), (2, 0.5), (3, 0.5)], "rank long, score double")
+    for links, stop in (([], 4), ([(0, 0.3)], 4), ([(0, 0.6)], 2), ([(0, 0.85)], 1), ([(2, 0.5)], 3), ([(3, 0.99)], 4), ([(0, 0.8)], 1)):
+        assert fr.undisturbed(batch, spark.createDataFrame(links, "rank long, total double")) == stop
+
+
+def test_large_batches_are_numbered_in_ranges(spark, monkeypatch):
+    rows = [(0.5 if i % 3 else 0.9, f"u{i:03}", i % 2) for i in range(200)] * 2
+    front = spark.createDataFrame(rows, "score double, url string, parent_id bigint")
+    seen = spark.createDataFrame([("u000",), ("u007",)], "url string")
+    ways = []
+    for small in (1000, 10):
+        monkeypatch.setattr(fr, "SMALL_BATCH", small)
+        ways.append((sorted(map(tuple, fr.pop_best(front, seen, 50).collect())),
+                     sorted(map(tuple, fr.first_rows(fr.pop_best(front, seen, None), fr._by("score"), 50, "n").select("n", "url").collect()))))
+    assert ways[0] == ways[1] and [n for n, _ in ways[0][1]] == list(range(50))
+
+
 def test_link_candidates(spark):
     hrefs = ["http://a/x?y#z", "http://a/b/", "http://a/f.pdf", "http://a/feed/", "/rel", "", None, "http://m.tempo.co/x", " https://ok/p "]
     links = spark.createDataFrame([("s", i, "t", h) for i, h in enumerate(hrefs)], "src_url string, pos int, anchor string, href string")
