@@ -38,11 +38,15 @@ PLAIN_WORDS = ("sha", "sha1", "sha256", "md5", "commit", "checksum", "digest", "
 LEAST = 8
 INNER, POINT = r"A-Za-z0-9_/+=@$%~^&*#\-", r".!:?"
 NAMED = rf"(?i:{'|'.join(SECRET_WORDS)})"
-VALUE = r"""(?<=[=:][\x20\x09"\x27`]{0,4})(?<=""" + NAMED + r"""["\x27`]?[\x20\x09]{0,3}[=:][\x20\x09]{0,3}["\x27`]?)"""
+# A quick look at the character before comes first: most places end there.
+VALUE = r"""(?<=[=:\x20\x09"\x27`])(?<=[=:][\x20\x09"\x27`]{0,4})(?<=""" + NAMED + r"""["\x27`]?[\x20\x09]{0,3}[=:][\x20\x09]{0,3}["\x27`]?)"""
 VALUE += r"""(?:(?<=["\x27`])[^\s"\x27`]++|(?<!["\x27`])[^\s"\x27`,;.!:?=]++(?:[,;.!:?=]++[^\s"\x27`,;.!:?=]++)*+=*+)"""
-# A name that is given a value is no token.
-ASSIGNS = rf"(?:[A-Za-z0-9_.-]*[_.-]|[a-z]*|[A-Z]*){NAMED}[\x22\x27`]?[\x20\x09]{{0,3}}[=:]"
-TOKEN = rf"{VALUE}|(?<![{INNER}{POINT}])(?!{ASSIGNS})(?:[{INNER}]|[{POINT}]++(?=[{INNER}])){{{LEAST},}}+"
+# A name that is given a value is no token. Short words and names that nothing is
+# given to are told before the words for secrets are looked for in them.
+GIVEN_TO = r"[\x22\x27`]?[\x20\x09]{0,3}[=:]"
+ASSIGNS = rf"(?=[A-Za-z0-9_.-]*+{GIVEN_TO})(?:[A-Za-z0-9_.-]*[_.-]|[a-z]*|[A-Z]*){NAMED}{GIVEN_TO}"
+ANY = rf"(?:[{INNER}]|[{POINT}]++(?=[{INNER}]))"
+TOKEN = rf"{VALUE}|(?<![{INNER}{POINT}])(?=[{INNER}{POINT}]{{{LEAST}}})(?!{ASSIGNS}){ANY}{{{LEAST},}}+"
 NEEDS = rf"[{INNER}{POINT}]{{{LEAST}}}|{NAMED}[\x22\x27`]?[\x20\x09]{{0,3}}[=:]"
 # Findings that are no secrets beside PLAIN_WORDS: digests, UUIDs and paths.
 DIGEST = r"^(?:[0-9a-f]{8,}|[0-9A-F]{8,}|[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[A-Za-z0-9_.-]*(?:/[A-Za-z0-9_.-]+)+)$"
@@ -109,6 +113,25 @@ def add_features(found: DataFrame, words: DataFrame) -> DataFrame:
     }).drop("covered")
 
 
+FLAGS = ("path", "assigned", "quoted", "secret_word", "plain_word")
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
+    """(doc_id, start, end, hit, score, secret): all findings of `docs`, judged by a
+    forest that learns from those that rule_label can tell. Findings that agree in
+    their text and in what stands around it are one variant: features, labels and
+    scores are made once for each."""
+    words = dictionary(docs, text)
+    found = findings(docs, doc_id, text)
+    kinds = found.select("hit", *FLAGS, "given").distinct()
+    variants = settle(known_labels(add_features(kinds, words)), "variants")
+    judged = judge(variants, train_with_examples(variants, words), least).select(
+        "hit", *[F.col(n).cast("boolean").alias(n) for n in FLAGS], "given", "score", "secret"
+    )
+    joined = found.join(settle(judged, "judged-variants"), ["hit", *FLAGS, "given"])
+    return joined.select("doc_id", "start", "end", "hit", "score", "secret")
+
+
 def assemble(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="__features", handleInvalid="keep").transform(df)
 
