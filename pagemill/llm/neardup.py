@@ -176,18 +176,21 @@ def common_tokens(common: DataFrame, sets: DataFrame) -> DataFrame:
     return settle(tokens.join(counts, "token").withColumn("at", F.row_number().over(order)), "common-tokens")
 
 
-def rest_pairs(common: DataFrame, tokens: DataFrame, lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def rest_pairs(common: DataFrame, tokens: DataFrame, lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame | None:
     """(a, b) among the common classes that could still be linked, where a is not
-    joined with the hub of one of its long lists. lists(value, cls, hub)."""
+    joined with the hub of one of its long lists. lists(value, cls, hub). Written;
+    None where every class is joined with all of its hubs."""
     root = roots.select(F.col("node").alias("cls"), "root")
     placed = settle(
         common.select("cls", "n", "spread").join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls")), "common-roots"
     )
     hubs = placed.select(F.col("cls").alias("hub"), F.col("root").alias("hub_root"))
-    apart = (
-        lists.select("cls", "hub").distinct().join(placed, "cls").join(hubs, "hub")
-        .where("root <> hub_root").select("cls").distinct()
+    apart = settle(
+        lists.select("cls", "hub").distinct().join(placed.select("cls", "root"), "cls").join(hubs, "hub")
+        .where("root <> hub_root").select("cls").distinct(), "apart"
     )
+    if apart.isEmpty():
+        return None
     # A partner has one of the first tokens up to this place.
     prefix = tokens.where(f"df > 1 AND 100 * (at - 1) <= (100 - {percent}) * n").join(apart, "cls", "left_semi")
     left = prefix.join(placed.select("cls", "spread", "root"), "cls").select(
@@ -204,7 +207,7 @@ def rest_pairs(common: DataFrame, tokens: DataFrame, lists: DataFrame, roots: Da
         F.expr(f"ra <> rb AND (100 + {percent}) * least(ca, cb) >= {percent} * (na + nb)")
     )
     pairs = rare.select("a", "b").union(wide.select("a", "b"))
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return settle(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "rest-pairs")
 
 
 def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -250,8 +253,11 @@ def find_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shi
     sets = settle(full_sets(source, wanted, shingle), "full-sets").union(common_sets)
     links = settle(confirmed(first, sets, percent), "links")
     roots = settle(components(links, "stars"), "roots")
-    more = with_roots(rare, roots).union(likely(rest_pairs(common, tokens, in_long, roots, percent), classes, percent))
-    more = settle(confirmed(more.distinct(), sets, percent), "more-links")
+    more = settle(with_roots(rare, roots), "open-pairs")
+    rest = rest_pairs(common, tokens, in_long, roots, percent)
+    if rest is not None:
+        more = settle(more.union(likely(rest, classes, percent)).distinct(), "open-pairs")
+    more = settle(confirmed(more, sets, percent), "more-links")
     if not more.isEmpty():
         known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         roots = settle(components(known.union(more), "more-stars"), "more-roots")
