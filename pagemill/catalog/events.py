@@ -123,6 +123,33 @@ def dt1(spark, sf):
     return texts.select("event_id", F.date_format(dx.parse_date(F.col("s")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
+# Layouts outside the fixed list: their parts in other orders, with other separators.
+LENIENT = [
+    ("EEE MMM dd HH:mm:ss yyyy", "%Y-%m-%d %H:%M:%S"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "%Y-%m-%d %H:%M:%S"),
+    ("yyyy.MM.dd HH:mm", "%Y-%m-%d %H:%M:00"), ("MMM-dd-yyyy", "%Y-%m-%d 00:00:00"), ("yyyy-MMM-dd H:mm", "%Y-%m-%d %H:%M:00"),
+    ("d MMMM, yyyy 'at' h:mm a", "%Y-%m-%d %H:%M:00"), ("HH:mm 'on' MMMM d, yyyy", "%Y-%m-%d %H:%M:00"), ("h a, d MMM yyyy", "%Y-%m-%d %H:00:00"),
+    ("yyyyMMdd HHmmss", "%Y-%m-%d %H:%M:%S"), ("yyyyMMdd'T'HH:mm", "%Y-%m-%d %H:%M:00"), ("MM-dd-yyyy HH:mm:ss", "%Y-%m-%d %H:%M:%S"),
+    ("dd_MMM_yyyy", "%Y-%m-%d 00:00:00"), ("MMMM yyyy, d", "%Y-%m-%d 00:00:00"), ("HH:mm:ss dd.MM.yyyy", "%Y-%m-%d %H:%M:%S"),
+    ("yyyy MMMM d HH:mm", "%Y-%m-%d %H:%M:00"), ("ddMMMyyyy", "%Y-%m-%d 00:00:00"), ("MM.dd.yyyy", None), ("MMMM d HH:mm", None),
+    ("yyyy-MM-dd 'or' HH:mm", None), ("yyyy/MM/dd HH:mm HH:mm", None),
+]
+
+
+@query(
+    "dt1_lenient_dates",
+    f"SELECT event_id, CASE event_id % {len(LENIENT)} " + " ".join(f"WHEN {i} THEN strftime(ts, '{f}')" for i, (_, f) in enumerate(LENIENT) if f)
+    + f""" WHEN {[n for n, _ in LENIENT].index("MM.dd.yyyy")} THEN CASE WHEN day(ts) <= 12 THEN strftime(make_date(year(ts), day(ts), month(ts)), '%Y-%m-%d 00:00:00')
+      ELSE strftime(ts, '%Y-%m-%d 00:00:00') END END AS parsed FROM events""",
+)
+def dt1_lenient(spark, sf):
+    """Event times in layouts that only the grammar reads, some of them not dates."""
+    case = F.lit(None).cast("string")
+    for i, (layout, _) in enumerate(LENIENT):
+        case = F.when(F.col("event_id") % len(LENIENT) == i, F.date_format("ts", layout)).otherwise(case)
+    texts = table(spark, sf, "events").select("event_id", case.alias("s"))
+    return texts.select("event_id", F.date_format(dx.parse_date(F.col("s")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
 @query(
     "dt2_relabel_utc",
     "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS utc FROM events",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill import fixed
-from pagemill.catalog.base import FETCH_CTE, SQL_CODE, SQL_TEXT_CODE, TEXT_CTE, TOPIC_CTE, fetches, model_docs, query, table
+from pagemill.catalog.base import FETCH_CTE, SQL_CODE, SQL_TEXT_CODE, TEXT_CTE, TOPIC_CTE, fetches, model_docs, query, sql_list, table
 from pagemill.functions import html as hx
 from pagemill.functions import text as tx
 from pagemill.functions.urls import is_image_url
@@ -200,6 +200,24 @@ def src4(spark, sf):
     return _warc_columns(_warc(spark, sf, "warc"))
 
 
+# In every page a complete record of its own, with a length that fits.
+FAKE_RECORD = ["", "", "WARC/1.0", "WARC-Type: response", "WARC-Target-URI: http://not.there/", "Content-Length: 3", "", "xyz"]
+
+
+@query("src4_plain_archive", f"SELECT url, md5(html || array_to_string({sql_list(FAKE_RECORD)}, chr(13) || chr(10))) AS digest FROM pages")
+def src4_plain(spark, sf):
+    """An archive without compression, cut into small ranges."""
+    path = scratch_path(spark, "warc-plain")
+    fake = "\r\n".join(FAKE_RECORD)
+    pages = spread(table(spark, sf, "pages")).select(
+        F.col("url").alias("target_uri"), F.timestamp_seconds(F.col("page_id") + 1704067200).alias("warc_date"),
+        F.lit("text/html").alias("http_content_type"), F.encode(F.concat("html", F.lit(fake)), "UTF-8").alias("payload"),
+    )
+    warc.write_warc(pages, path, compression="none")
+    found = warc.read_warc(spark, path, split_bytes=20_000)
+    return found.select(F.col("target_uri").alias("url"), F.md5("payload").alias("digest"))
+
+
 @query("src5_warc_responses", SQL_WARC)
 def src5(spark, sf):
     return _warc_columns(warc.response_records(_warc(spark, sf, "warc")))
@@ -360,8 +378,8 @@ def snk6(spark, sf):
 def snk7(spark, sf):
     path = scratch_path(spark, "page-files")
     snk.write_page_files(_texts(spark, sf), path)
-    return spark.read.schema("value string, file_name string").text(path, wholetext=False).select(
-        "file_name", F.col("value").alias("text")
+    return spark.read.text(path, wholetext=True).select(
+        F.url_decode(F.element_at(F.split("_metadata.file_path", "/"), -1)).alias("file_name"), F.col("value").alias("text")
     )
 
 

@@ -35,6 +35,61 @@ _RULES = [
 ]
 
 
+# Month names, words that may stand in a date, names of zones.
+MONTHS = [
+    "JAN(?:UARY)?", "FEB(?:RUARY)?", "MAR(?:CH)?", "APR(?:IL)?", "MAY", "JUNE?", "JULY?", "AUG(?:UST)?", "SEPT?(?:EMBER)?",
+    "OCT(?:OBER)?", "NOV(?:EMBER)?", "DEC(?:EMBER)?",
+]
+FILLERS = "AT|ON|OF|THE|AND|UTC|GMT|Z|[ECMP][SD]T|CES?T|BST|T"
+_MONTH = r"(?<!\p{L})(" + "|".join(MONTHS) + r")(?!\p{L})"
+_TIME = r"(?<![0-9:])([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2}))?\s*([AP]M)?|()()\s*([AP]M))(?![0-9:\p{L}])"
+
+
+def _grammar() -> str:
+    """SQL lambda for a date that no fixed layout fits: numbers, month names, a time
+    with or without am/pm, zones and fillers, in any order and with any of the
+    separators blank, dot, slash, hyphen, underscore and comma. Anything else, and
+    any part too many or too few, makes it null.
+
+    A number of three or four digits or above 31 is a year. With a month name the
+    other number is the day; of two small numbers the first is. Without one, a year in
+    front means year, month, day; otherwise month, day, year, or day, month, year
+    where dots separate them or the first number is no month. A month that is none
+    changes places with the day. Years of two digits are those from 1970 to 2069."""
+    months = " ".join(f"WHEN rlike(p.month, {quoted('^' + m + '$')}) THEN {i}" for i, m in enumerate(MONTHS, 1))
+    num = lambda n: f"try_cast({n} AS INT)"
+    year = lambda n: f"(length({n}) > 2 OR {num(n)} > 31)"
+    full = lambda n: f"CASE length({n}) WHEN 4 THEN {num(n)} WHEN 2 THEN {num(n)} + IF({num(n)} < 70, 2000, 1900) WHEN 1 THEN {num(n)} + 2000 END"
+    ymd = lambda y, m, d: f"named_struct('y', {y}, 'm', {num(m)}, 'd', {num(d)})"
+    a, b, c = "get(p.n, 0)", "get(p.n, 1)", "get(p.n, 2)"
+    swap = lambda y, m, d: f"IF({num(m)} > 12 AND {num(d)} <= 12, {ymd(y, d, m)}, {ymd(y, m, d)})"
+    block = lambda t, at: num(f"nullif(substring({t}, {at}, 2), '')")
+    part = lambda pattern: num(f"nullif(regexp_extract(p.time, {quoted(pattern)}, 1), '')")
+    return f"""t -> get(transform(array(regexp_replace(regexp_replace(t, {quoted('(?<=[0-9])T(?=[0-9])')}, ' '), {quoted(rf'(?<![\p{{L}}])(?:{FILLERS})(?![\p{{L}}])')}, ' ')), c ->
+      get(transform(array(named_struct('times', regexp_extract_all(c, {quoted(_TIME)}, 0), 'rest', regexp_replace(c, {quoted(_TIME)}, ' '))), r ->
+      get(transform(array(named_struct('time', get(r.times, 0), 'many', size(r.times), 'names', size(regexp_extract_all(r.rest, {quoted(_MONTH)}, 0)),
+          'month', regexp_extract(r.rest, {quoted(_MONTH)}, 1), 'left', regexp_replace(r.rest, {quoted(_MONTH)}, ' '))), q ->
+      get(transform(array(named_struct('time', q.time, 'month', q.month, 'left', q.left, 'n', regexp_extract_all(q.left, '[0-9]+', 0),
+          'able', q.many < 2 AND q.names < 2 AND NOT rlike(q.left, {quoted('[^0-9 ./,_-]')}) AND NOT rlike(q.left, '[0-9]{{15}}'))), p ->
+      IF(NOT p.able, NULL, get(transform(array(named_struct(
+        'day', CASE
+          WHEN p.month <> '' AND size(p.n) = 2 AND NOT {year(a)} THEN {ymd(full(b), f'CASE {months} END', a)}
+          WHEN p.month <> '' AND size(p.n) = 2 AND NOT {year(b)} THEN {ymd(full(a), f'CASE {months} END', b)}
+          WHEN p.month = '' AND size(p.n) = 3 AND {year(a)} AND NOT {year(b)} AND NOT {year(c)} THEN {swap(full(a), b, c)}
+          WHEN p.month = '' AND size(p.n) = 3 AND NOT {year(a)} AND NOT {year(b)} AND rlike(p.left, {quoted('[0-9][.][0-9]+[.][0-9]')}) THEN {swap(full(c), b, a)}
+          WHEN p.month = '' AND size(p.n) = 3 AND NOT {year(a)} AND NOT {year(b)} THEN {swap(full(c), a, b)}
+          WHEN p.month = '' AND size(p.n) < 3 AND length({a}) = 8 THEN {ymd(num(f'left({a}, 4)'), f'substring({a}, 5, 2)', f'right({a}, 2)')}
+          END,
+        'clock', CASE
+          WHEN p.time IS NOT NULL THEN named_struct('h', {part('^([0-9]+)')}, 'm', coalesce({part('^[0-9]+:([0-9]+)')}, 0),
+            's', coalesce({part('^[0-9]+:[0-9]+:([0-9]+)')}, 0), 'half', regexp_extract(p.time, '[AP]M', 0))
+          WHEN p.month = '' AND size(p.n) = 2 AND length({a}) = 8 AND length({b}) IN (4, 6) THEN
+            named_struct('h', {block(b, 1)}, 'm', {block(b, 3)}, 's', coalesce({block(b, 5)}, 0), 'half', '')
+          WHEN size(p.n) = 1 OR (size(p.n) = 2 AND p.month <> '') OR size(p.n) = 3 THEN named_struct('h', 0, 'm', 0, 's', 0, 'half', '') END)), x ->
+        IF(x.clock.half <> '' AND NOT x.clock.h BETWEEN 1 AND 12, NULL, try_make_timestamp(x.day.y, x.day.m, x.day.d,
+          CASE x.clock.half WHEN 'PM' THEN x.clock.h % 12 + 12 WHEN 'AM' THEN x.clock.h % 12 ELSE x.clock.h END, x.clock.m, x.clock.s))), 0))), 0)), 0)), 0)), 0)"""
+
+
 def _parse_program() -> str:
     text = "r"
     for pattern, to in _RULES:
@@ -45,15 +100,15 @@ def _parse_program() -> str:
         f"try_to_timestamp({'n' if 'MMM' in layout or 'a' in layout else 't'}, {quoted(layout)})" for layout in DATE_FORMATS
     )
     return f"""r -> get(transform(array(upper(trim({text}))),
-      t -> get(transform(array({named}), n -> coalesce({tries})), 0)), 0)"""
+      t -> get(transform(array({named}), n -> coalesce({tries}, get(transform(array(t), {_grammar()}), 0))), 0)), 0)"""
 
 
 _PARSE = _parse_program()
 
 
 def parse_date(text: Column) -> Column:
-    """Timestamp of a date string, null when no layout fits. Missing parts are
-    never filled from today's date."""
+    """Timestamp of a date string: the fixed layouts first, then the grammar; null
+    when neither fits. Missing parts are never filled from today's date."""
     return let_sql(text, _PARSE)
 
 

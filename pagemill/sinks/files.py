@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import text, urls
 from pagemill.operators.records import delimited_view, family_tables, flatten_record
+from pagemill.sinks.pages import PageFiles
+from pagemill.sources.warc import full_path
 
 
 def write_tsv(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -73,8 +75,11 @@ def page_files(pages: DataFrame) -> DataFrame:
 
 
 def write_page_files(pages: DataFrame, path: str) -> None:
-    """One folder per page, named after its address. Meant for small sets."""
-    page_files(pages).write.mode("append").partitionBy("file_name").text(path)
+    """One file per page, named after its address; a page whose name is there already
+    takes its place. Of pages with the same name the text that sorts first is kept."""
+    pages.sparkSession.dataSource.register(PageFiles)
+    named = page_files(pages).groupBy("file_name").agg(F.min("text").alias("text"))
+    named.write.format("page_files").mode("append").save(full_path(pages.sparkSession, path))
 
 
 def write_pairs(df: DataFrame, columns: list[str], path: str) -> None:

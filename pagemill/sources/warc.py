@@ -2,8 +2,9 @@
 
 A `.warc.gz` mostly holds one gzip member per record, so a file is cut into byte
 ranges: a task reads the members that start inside its range, and all records of
-each. Plain `.warc` files are
-read by one task each, as a stream."""
+each. A plain `.warc` file is cut where records begin. One task walks along its
+headers for that and skips what is between them by the stated lengths, so text that
+looks like a record is never taken for one; the ranges are then read in parallel."""
 
 from __future__ import annotations
 
@@ -31,6 +32,7 @@ SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 8 << 20
 _MAGIC = b"\x1f\x8b\x08"
 _BLOCK = 1 << 18
+_HEADER = 1 << 12  # read at once where a record begins
 
 
 def _open_fs(path: str):
@@ -150,8 +152,10 @@ def _gz_records(stream, start: int, end: int):
         at = following
 
 
-def _plain_blocks(stream):
-    while block := stream.read(_BLOCK):
+def _plain_blocks(stream, start: int, end: int):
+    stream.seek(start)
+    while start < end and (block := stream.read(min(_BLOCK, end - start))):
+        start += len(block)
         yield block
 
 
@@ -214,38 +218,100 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         out = []
         for path, size in _list_files(self.path):
-            step = self.split if path.endswith(".gz") else max(size, 1)
-            out += [WarcRange(path, at, min(at + step, size)) for at in range(0, size, step)]
+            if path.endswith(".gz"):
+                out += [WarcRange(path, at, min(at + self.split, size)) for at in range(0, size, self.split)]
         return out or [WarcRange("", 0, 0)]
 
     def read(self, part):
         if not part.path:
             return
         fs, _ = _open_fs(self.path)
-        columns, held = [[] for _ in _ARROW], 0
         with fs.open_input_file(part.path) as stream:
-            records = (
-                _gz_records(stream, part.start, part.end) if part.path.endswith(".gz") else _records(_plain_blocks(stream))
-            )
-            for record in records:
-                try:
-                    row = _row(record)
-                except TruncatedRecord:
-                    if not self.drop_truncated:
-                        raise
-                    continue
-                if row is None:
-                    continue
-                for column, value in zip(columns, row):
-                    column.append(value)
-                held += len(record)
-                if held >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-                    )
-                    columns, held = [[] for _ in _ARROW], 0
-        if columns[0]:
+            yield from _batches(_gz_records(stream, part.start, part.end), self.drop_truncated)
+
+
+def _batches(records, drop_truncated: bool):
+    """Arrow batches of records."""
+    columns, held = [[] for _ in _ARROW], 0
+    for record in records:
+        try:
+            row = _row(record)
+        except TruncatedRecord:
+            if not drop_truncated:
+                raise
+            continue
+        if row is None:
+            continue
+        for column, value in zip(columns, row):
+            column.append(value)
+        held += len(record)
+        if held >= BATCH_BYTES:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+            columns, held = [[] for _ in _ARROW], 0
+    if columns[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW)
+
+
+def _record_starts(stream, size: int):
+    """Offsets at which the records of a plain file begin: headers are read, bodies
+    are skipped by their stated length."""
+    at = 0
+    while at < size:
+        stream.seek(at)
+        held = stream.read(_HEADER)
+        blank = 0
+        while held.startswith(b"\r\n", blank):
+            blank += 2
+        if blank:
+            at += blank
+            continue
+        while (cut := held.find(b"\r\n\r\n")) == -1 and (block := stream.read(_BLOCK)):
+            held += block
+        if held.strip():
+            yield at
+        if cut == -1:
+            return
+        at += cut + 4 + int(_headers(held[:cut])[1].get("content-length") or 0)
+
+
+def _plain_ranges(stream, size: int, split: int):
+    """(start, end) of ranges of about `split` bytes that begin with a record."""
+    start, due = 0, split
+    for at in _record_starts(stream, size):
+        if at >= due:
+            yield start, at
+            start, due = at, (at // split + 1) * split
+    if start < size:
+        yield start, size
+
+
+def _read_plain(spark: SparkSession, path: str, files: list[tuple[str, int]], split: int, drop_truncated: bool) -> DataFrame:
+    """Records of plain files: a task for each file finds the ranges, then a task for
+    each range reads it."""
+
+    def cut(batches):
+        fs, _ = _open_fs(path)
+        for batch in batches:
+            for name, size in zip(batch["path"].to_pylist(), batch["size"].to_pylist(), strict=True):
+                with fs.open_input_file(name) as stream:
+                    ranges = list(_plain_ranges(stream, size, split))
+                yield pa.RecordBatch.from_pydict(
+                    {"path": pa.array([name] * len(ranges), pa.string()), "start": pa.array([a for a, _ in ranges], pa.int64()),
+                     "end": pa.array([b for _, b in ranges], pa.int64())}
+                )
+
+    def read(batches):
+        fs, _ = _open_fs(path)
+        for batch in batches:
+            for name, start, end in zip(*(batch[c].to_pylist() for c in ("path", "start", "end")), strict=True):
+                with fs.open_input_file(name) as stream:
+                    yield from _batches(_records(_plain_blocks(stream, start, end)), drop_truncated)
+
+    ranges = spark.createDataFrame(files, "path string, size bigint").repartition(len(files), "path").mapInArrow(
+        cut, "path string, start bigint, end bigint"
+    )
+    n = sum(size // max(split, _BLOCK) + 1 for _, size in files)  # ranges below one block share tasks
+    return ranges.repartition(n, "path", "start").mapInArrow(read, schemas.WARC_RECORDS)
 
 
 @dataclass
@@ -275,11 +341,12 @@ def _record_bytes(row) -> bytes:
 
 
 class WarcWriter(DataSourceWriter):
-    """One `.warc.gz` per partition; files appear under their final name only
+    """One `.warc.gz` (or plain `.warc`) per partition; files appear under their final name only
     when the whole job commits, so a retried task leaves nothing behind."""
 
     def __init__(self, options, overwrite: bool):
         self.path = options["path"].rstrip("/")
+        self.plain = options.get("compression", "gzip") == "none"
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -287,11 +354,12 @@ class WarcWriter(DataSourceWriter):
         fs, root = _open_fs(self.path)
         fs.create_dir(root, recursive=True)
         context = TaskContext.get()
-        name = f"part-{context.partitionId() if context else 0:05d}-{uuid.uuid4().hex}.warc.gz"
+        name = f"part-{context.partitionId() if context else 0:05d}-{uuid.uuid4().hex}.warc{'' if self.plain else '.gz'}"
         temporary = f"{root}/_{name}.tmp"
         with fs.open_output_stream(temporary, compression=None) as out:
             for row in iterator:
-                out.write(gzip.compress(_record_bytes(row)))
+                record = _record_bytes(row)
+                out.write(record if self.plain else gzip.compress(record))
         return WarcPart(temporary, f"{root}/{name}")
 
     def commit(self, messages):
@@ -335,18 +403,25 @@ def read_warc(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, tr
     """All records of the archives under `path`. A record that is cut off fails the
     job, or is left out with truncated="drop"."""
     spark.dataSource.register(WarcSource)
+    path = full_path(spark, path)
     reader = spark.read.format("warc").option("splitbytes", split_bytes).option("truncated", truncated)
-    return reader.load(full_path(spark, path))
+    listed = _list_files(path)
+    plain = [f for f in listed if not f[0].endswith(".gz")]
+    if not plain:
+        return reader.load(path)
+    rows = _read_plain(spark, path, plain, split_bytes, truncated == "drop")
+    return rows if len(plain) == len(listed) else rows.unionByName(reader.load(path))
 
 
 def response_records(records: DataFrame) -> DataFrame:
     return records.filter(F.col("warc_type") == "response")
 
 
-def write_warc(df: DataFrame, path: str) -> None:
-    """Write target_uri, warc_date, http_content_type, payload as archives."""
+def write_warc(df: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Write target_uri, warc_date, http_content_type, payload as archives, compressed
+    or plain (compression="none")."""
     df.sparkSession.dataSource.register(WarcSource)
     df.select(
         F.lit("response").alias("warc_type"), "target_uri", "warc_date", F.lit(None).cast("string").alias("content_type"),
         F.lit(200).alias("http_status"), "http_content_type", "payload",
-    ).write.format("warc").mode("append").save(full_path(df.sparkSession, path))
+    ).write.format("warc").option("compression", compression).mode("append").save(full_path(df.sparkSession, path))
