@@ -9,6 +9,7 @@ from pagemill.catalog.base import FETCH_COLUMNS, SQL_TEXT_CODE, TEXT_CTE, query,
 from pagemill.operators.tables import latest_by_key
 from pagemill.session import scratch_path
 from pagemill.streaming import flows
+from pagemill.streaming.state import CHANGES, crawl_state, source_totals, visits_of
 
 
 def stream(spark, sf, name):
@@ -105,3 +106,35 @@ def stm6(spark, sf):
     flows.update_stream(flows.running_source_counts(pages), f"{path}/table", f"{path}/checkpoint", once=True).awaitTermination()
     changes = spark.read.schema("domain string, rel double, nonrel double, version bigint").parquet(f"{path}/table")
     return latest_by_key(changes, "domain", F.col("version")).select("domain", "rel", "nonrel")
+
+
+def _crawl_changes(spark, sf, name):
+    """First visits of the event table, read by one file a batch and started twice."""
+    path = scratch_path(spark, name)
+    table(spark, sf, "events").repartitionByRange(3, "ts").sortWithinPartitions("ts").write.parquet(f"{path}/in")
+    visits = flows.table_stream(spark, f"{path}/in", table(spark, sf, "events").schema, max_files=1).select(
+        F.concat(F.lit("https://"), "event_type", F.lit(".org/"), (F.col("user_id") % 300).cast("string")).alias("url"),
+        F.col("ts").cast("timestamp").alias("fetch_time"), (F.col("value") > 50).cast("int").alias("label"),
+    )
+    for _ in range(2):
+        flows.update_stream(crawl_state(visits, "400 days"), f"{path}/table", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(CHANGES).parquet(f"{path}/table")
+
+
+CRAWL_CTE = """v AS (SELECT 'https://' || event_type || '.org/' || CAST(user_id % 300 AS STRING) AS url, event_type || '.org' AS domain, ts,
+  CASE WHEN value > 50 THEN 1 ELSE 0 END AS label FROM events),
+firsts AS (SELECT domain, url, min(ts) AS ts, arg_max(label, (-epoch_us(ts), label)) AS label FROM v GROUP BY ALL)"""
+
+
+@query("stm5_crawl_state_visits", f"WITH {CRAWL_CTE} SELECT url, epoch_us(ts) AS first_visit FROM firsts")
+def stm5_state(spark, sf):
+    return visits_of(_crawl_changes(spark, sf, "crawl-visits")).select("url", F.unix_micros("first_visit").alias("first_visit"))
+
+
+@query(
+    "stm6_crawl_state_counts",
+    f"""WITH {CRAWL_CTE} SELECT domain, CAST(1 + count(*) FILTER (WHERE label = 1) AS DOUBLE) AS rel,
+    CAST(1 + count(*) FILTER (WHERE label = 0) AS DOUBLE) AS nonrel FROM firsts GROUP BY domain""",
+)
+def stm6_state(spark, sf):
+    return source_totals(_crawl_changes(spark, sf, "crawl-counts"))
