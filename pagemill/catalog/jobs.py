@@ -21,11 +21,12 @@ from pagemill.functions import html as hx
 from pagemill.functions.arrays import term_counts
 from pagemill.operators import tables as tb
 from pagemill.operators.language import SMOOTHING, train_profiles
+from pagemill.operators.versions import VersionedTable
 from pagemill.plans import clean as cl
 from pagemill.plans import evaluate as ev
 from pagemill.plans import frontier as fr
 from pagemill.plans import relevance as rv
-from pagemill.session import settle
+from pagemill.session import scratch_path, settle
 
 CTL = "chr(10) || chr(13) || chr(9)"
 
@@ -438,17 +439,31 @@ def job8(spark, sf):
     return ev.harvest_curve(ev.label_pages(scored(spark, sf)))
 
 
-@query(
-    "job9_consolidate",
-    f"""WITH {TWEET_CTE}, merged AS (
+CONSOLIDATED_SQL = f"""WITH {TWEET_CTE}, merged AS (
       SELECT url AS row_key, page_id AS fetch_time, 0 AS o, CAST(NULL AS STRING) AS tweet_id, length(html) AS n FROM pages
       UNION ALL SELECT url, seq, 1, tweet_id, NULL FROM tweets)
     SELECT row_key, arg_max(fetch_time, (fetch_time, o)) AS fetch_time, max_by(struct_pack(t := tweet_id), (fetch_time, o)).t AS tweet_id,
-    max_by(struct_pack(n := n), (fetch_time, o)).n AS n FROM merged GROUP BY row_key""",
-)
-def job9(spark, sf):
+    max_by(struct_pack(n := n), (fetch_time, o)).n AS n FROM merged GROUP BY row_key"""
+
+
+def _old_and_new(spark, sf):
     old = table(spark, sf, "pages").select(
         F.col("url").alias("row_key"), F.col("page_id").alias("fetch_time"), F.length("html").cast("bigint").alias("n")
     )
-    new = tweets(spark, sf).select(F.col("url").alias("row_key"), F.col("seq").alias("fetch_time"), "tweet_id")
-    return tb.consolidate(old, new).select("row_key", "fetch_time", "tweet_id", "n")
+    return old, tweets(spark, sf).select(F.col("url").alias("row_key"), F.col("seq").alias("fetch_time"), "tweet_id")
+
+
+@query("job9_consolidate", CONSOLIDATED_SQL)
+def job9(spark, sf):
+    return tb.consolidate(*_old_and_new(spark, sf)).select("row_key", "fetch_time", "tweet_id", "n")
+
+
+@query("job9_incremental", CONSOLIDATED_SQL)
+def job9_incremental(spark, sf):
+    """The same rows by three upserts and two merges."""
+    old, new = _old_and_new(spark, sf)
+    stored = VersionedTable(spark, scratch_path(spark, "versions"), buckets=16)
+    for rows in (old, new.where("tweet_id < '5'"), new.where("tweet_id >= '5'")):
+        stored.upsert(rows)
+        stored.compact(most=1)
+    return stored.read().select("row_key", "fetch_time", "tweet_id", "n")
