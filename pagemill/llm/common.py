@@ -43,6 +43,21 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(n)
 
 
+def one_label(labelled: DataFrame) -> DataFrame:
+    """labelled(doc_id, label) with each doc_id once. Rows without id or label are left
+    out; of an id with both labels the lesser one counts, whatever the order of rows."""
+    known = labelled.where("doc_id IS NOT NULL AND label IS NOT NULL")
+    return known.groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
+def learning_text(text: str, key: str, most: int) -> Column:
+    """A text for a bounded learning sample: whole up to `most` bytes; of a longer one
+    a window of a quarter as many characters, at a place its key decides."""
+    room = F.length(text) - most // 4
+    window = F.substring(F.col(text), F.pmod(F.xxhash64(key), F.greatest(room, F.lit(1))).cast("int") + 1, F.lit(most // 4))
+    return F.when(F.octet_length(text) <= most, F.col(text)).otherwise(window)
+
+
 # A table may be broadcast only when its own bytes, measured on the written rows,
 # stay below this bound; beyond it the same join shuffles.
 BROADCAST_BYTES = 16 << 20

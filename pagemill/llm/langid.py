@@ -19,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.common import first_by_hash
+from pagemill.llm.common import first_by_hash, learning_text
 
 VOCABULARY = "piece_bpe_32k.model"
 MAX_PIECE = 8  # letters of the longest piece used, with the word mark
@@ -27,7 +27,8 @@ MAX_WORD = 48  # longer runs of letters are scored in parts of this length
 ROUNDS = 3
 SMOOTHING = 0.01
 TINY = 1e-100  # sums below this are rescaled
-# Bounds of the learning sample: whole texts of the documents whose ids hash lowest.
+# Bounds of the learning sample: the documents whose ids hash lowest, whole texts up
+# to LEARN_BYTES and a window of longer ones.
 DOCS_PER_LANGUAGE = 300
 LEARN_BYTES = 65_536
 CACHE = 400_000  # chunks whose scores a task keeps
@@ -202,7 +203,8 @@ def fit(docs: DataFrame, labelled: DataFrame, vocabulary: str | None = None) ->
         ids = first_by_hash(labelled.where(F.col("lang") == lang).select("doc_id").distinct(), "doc_id", DOCS_PER_LANGUAGE)
         rows = (
             docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most DOCS_PER_LANGUAGE ids
-            .where(F.octet_length("text") <= LEARN_BYTES).orderBy("doc_id", "text").select("text").collect()
+            .where("text IS NOT NULL").select("doc_id", learning_text("text", "doc_id", LEARN_BYTES).alias("text"))
+            .orderBy("doc_id", "text").select("text").collect()
         )
         found = Counter(p[len(MARK) :] for r in rows for w in letter_runs(r["text"].lower()) for p in parts(w))
         if found:

@@ -253,12 +253,19 @@ class Packer:
         return out
 
 
-def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits=LIMITS, vocabulary: str | None = None) -> DataFrame:
+def pack(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits=LIMITS, vocabulary: str | None = None, turns: str | None = None
+) -> DataFrame:
     """Pieces of all documents: (doc_id, start, length, doc_tokens, sequence_id,
     offset, loss_tokens, ids). `ids` are the piece's token ids, little-endian
-    unsigned 32 bits; here every token bears loss. A null text is an empty one and
-    has the end id alone. Rows are packed one by one, so repeated rows are packed
-    repeatedly. sequence_id is unique; its high part is the task."""
+    unsigned 32 bits. A null text is an empty one and has the end id alone. Rows are
+    packed one by one, so repeated rows are packed repeatedly. sequence_id is unique;
+    its high part is the task.
+
+    Every token bears loss, unless `turns` names a column of instruction data,
+    array<struct<text string, loss boolean>>: a document is then its turns, each
+    encoded for itself, and the tokens of the turns with `loss` bear it; the end id
+    does if the last turn does. Null turns, texts and flags are empty, empty, false."""
     kind = docs.select(F.col(f"`{doc_id}`")).schema[0].dataType
     names = [f.split()[0] for f in FIELDS.split(", ")]
 
@@ -269,26 +276,38 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits=LIM
         id_type = None
 
         def rows(pieces: list[tuple]) -> pa.RecordBatch:
-            docs_, starts, sizes, losses, sequences, offsets = zip(*pieces)
+            docs_, starts, sizes, _, sequences, offsets = zip(*pieces)
             data = [d[1][s : s + n].tobytes() for d, s, n in zip(docs_, starts, sizes)]
+            losses = [n if d[2] is None else int(d[2][s : s + n].sum()) for d, s, n in zip(docs_, starts, sizes)]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([d[0] for d in docs_], id_type), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()),
                     pa.array([len(d[1]) for d in docs_], pa.int64()), pa.array([task + s for s in sequences], pa.int64()),
-                    pa.array(offsets, pa.int64()), pa.array([n if x is None else x for x, n in zip(losses, sizes)], pa.int64()),
-                    pa.array(data, pa.binary()),
+                    pa.array(offsets, pa.int64()), pa.array(losses, pa.int64()), pa.array(data, pa.binary()),
                 ],
                 names,
             )
 
+        def encoded(values: list) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+            """(ids, mask of the tokens that bear loss; None: all)."""
+            if turns is None:
+                for ids in tokenizer.encode([t or "" for t in values]):
+                    yield np.append(ids, np.uint32(END_ID)).astype("<u4"), None
+                return
+            parts = [[t for t in v or [] if t is not None] for v in values]
+            flat = iter(tokenizer.encode([t["text"] or "" for v in parts for t in v]))
+            for v in parts:
+                ids = [next(flat) for _ in v]
+                flags = [bool(t["loss"]) for t in v]
+                mask = np.repeat([*flags, flags[-1] if flags else False], [*map(len, ids), 1])
+                yield np.concatenate([*ids, [END_ID]]).astype("<u4"), mask
+
         for batch in batches:
             id_type = batch.schema.field(0).type
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for key, ids in zip(part.column(0).to_pylist(), tokenizer.encode(texts)):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
-                    packer.add((key, ids), len(ids))
+                for key, (ids, mask) in zip(part.column(0).to_pylist(), encoded(part.column(1).to_pylist())):
+                    packer.add((key, ids, mask), len(ids), mask)
                 pieces = packer.take()
                 if pieces:
                     yield rows(pieces)
@@ -297,7 +316,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", limits=LIM
         if pieces:
             yield rows(pieces)
 
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{turns or text}`").alias("text")).mapInArrow(
         run, FIELDS.format(id=kind.simpleString())
     )
 

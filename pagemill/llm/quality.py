@@ -18,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from pagemill.llm.common import first_by_hash, fit_logistic
+from pagemill.llm.common import first_by_hash, fit_logistic, learning_text, one_label
 
 PIECE = 512
 LEVEL = 3
 DICTIONARY_BYTES = 32_768
-# Bounds of the labelled sample. Texts are used whole; longer ones are not used
-# for learning (they are scored like any other).
+# Bounds of the labelled sample. Texts are used whole; longer ones than LEARN_BYTES
+# by a window (they are scored whole like any other).
 DICTIONARY_DOCS = 1_500
 CALIBRATION_DOCS = 3_000
 LEARN_BYTES = 65_536
@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> CompressionModel:
     whose ids hash lowest; the first part makes the dictionary and the rest the
     curve, weighted by the labels' frequency among all labelled rows. Without
     both labels the curve is the (smoothed) share of good rows."""
-    labelled = labelled.where("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", "label").dropDuplicates(["doc_id"])
+    labelled = one_label(labelled)
     counts = {int(r["label"]): r["count"] for r in labelled.groupBy("label").count().collect()}
     n_each = DICTIONARY_DOCS + CALIBRATION_DOCS
     texts: dict[int, list[str]] = {0: [], 1: []}
@@ -98,7 +98,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> CompressionModel:
         ids = first_by_hash(labelled.where(F.col("label") == label), "doc_id", n_each)
         rows = (
             docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most n_each ids
-            .where(F.octet_length("text") <= LEARN_BYTES)
+            .where("text IS NOT NULL").select("doc_id", learning_text("text", "doc_id", LEARN_BYTES).alias("text"))
             .groupBy("doc_id").agg(F.min("text").alias("text"))
             .orderBy(F.xxhash64("doc_id"), "doc_id").collect()
         )

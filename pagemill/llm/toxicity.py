@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from pagemill.llm.common import first_by_hash, fit_logistic
+from pagemill.llm.common import first_by_hash, fit_logistic, one_label
 
 LETTERS = 512  # code points with an embedding of their own; others share 64
 SHARED = 64
@@ -300,11 +300,11 @@ def score_texts(model: ToxicityModel, texts: list[str | None], known: dict[str,
 
 def fit(docs: DataFrame, labelled: DataFrame) -> ToxicityModel:
     """docs(doc_id, text), labelled(doc_id, label 0/1): the rows to learn from. Of
-    each label the ids that hash lowest among texts of bounded length are used
-    (LEARN_DOCS for the network, CURVE_DOCS for the curve, which is weighted by the
-    labels' frequency). Without both labels every score is the share of toxic
+    each label the ids that hash lowest among texts of up to LEARN_WORDS (the shortest
+    ones where all are longer) and CURVE_WORDS words are used, LEARN_DOCS for the
+    network and CURVE_DOCS for the curve, which is weighted by the labels' frequency. Without both labels every score is the share of toxic
     rows (smoothed)."""
-    labelled = labelled.where("doc_id IS NOT NULL AND label IS NOT NULL").select("doc_id", "label").dropDuplicates(["doc_id"])
+    labelled = one_label(labelled)
     counts = {int(r["label"]): r["count"] for r in labelled.groupBy("label").count().collect()}
     n_words = F.size(F.split("text", r"\s+"))
     learn: list[tuple[str, int]] = []
@@ -314,11 +314,16 @@ def fit(docs: DataFrame, labelled: DataFrame) -> ToxicityModel:
         ids = first_by_hash(labelled.where(F.col("label") == label).select("doc_id"), "doc_id", 4 * most)
         rows = (
             docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 4 * most ids
-            .where(n_words <= CURVE_WORDS).withColumn("h", F.xxhash64("doc_id"))
+            .where("text IS NOT NULL").withColumn("h", F.xxhash64("doc_id")).withColumn("n_words", n_words)
         )
-        short = rows.where(n_words <= LEARN_WORDS).orderBy("h", "doc_id", "text").limit(LEARN_DOCS[label]).collect()
+        short = rows.where(F.col("n_words") <= LEARN_WORDS).orderBy("h", "doc_id", "text").limit(LEARN_DOCS[label]).collect()
+        if not short:  # none is short: the shortest there are, so many that their words keep the same bound
+            by_size = Window.orderBy("n_words", "h", "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+            first = rows.orderBy("n_words", "h", "doc_id", "text").limit(LEARN_DOCS[label])
+            total = first.withColumn("words", F.sum("n_words").over(by_size)).withColumn("at", F.row_number().over(by_size))
+            short = total.where((F.col("words") <= LEARN_WORDS * LEARN_DOCS[label]) | (F.col("at") == 1)).orderBy("at").collect()
         taken = {r["doc_id"] for r in short}
-        rest = rows.orderBy(F.desc("h"), "doc_id", "text").limit(CURVE_DOCS[label]).collect()
+        rest = rows.where(F.col("n_words") <= CURVE_WORDS).orderBy(F.desc("h"), "doc_id", "text").limit(CURVE_DOCS[label]).collect()
         learn += [(r["text"], label) for r in short]
         curve += [(r["text"], label) for r in rest if r["doc_id"] not in taken]
     share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
