@@ -144,6 +144,17 @@ def gather(made: np.ndarray, out: np.ndarray, form: np.ndarray) -> tuple[np.ndar
     return text, offsets
 
 
+def chars_before(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points before each of the places `at`, in order, counted window by window."""
+    out, total = np.zeros(len(at), np.int64), 0
+    for lo in range(0, len(data), WINDOW):
+        part = np.cumsum((data[lo : lo + WINDOW] & 0xC0) != 0x80)
+        i, j = np.searchsorted(at, [lo + 1, lo + len(part) + 1])
+        out[i:j] = total + part[at[i:j] - lo - 1]
+        total += int(part[-1])
+    return out
+
+
 def transform(texts: pa.Array, drawn: pa.Array) -> pa.Array:
     """Arrow arrays of texts and draws to the struct of `add_middle`."""
     data, offsets = text_bytes(texts)
@@ -153,11 +164,11 @@ def transform(texts: pa.Array, drawn: pa.Array) -> pa.Array:
     form[(h[:, 2] % 100 >= PLAIN_PERCENT) | (np.diff(offsets) == 0)] = PLAIN
     form[scan_sentinels(data, offsets)[1]] = PLAIN
     made, out = scatter(data, offsets, low, high, form)
-    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    chars = chars_before(data, np.stack([offsets[:-1], low, high], 1).ravel()).reshape(-1, 3)
     plain = form == PLAIN
     return pa.StructArray.from_arrays([
         text_array(made, out), pa.array(np.array(FORMS, object)[form], pa.string()), pa.array(n, pa.int64()),
-        pa.array(chars[low] - chars[offsets[:-1]], pa.int64(), mask=plain), pa.array(chars[high] - chars[low], pa.int64(), mask=plain),
+        pa.array(chars[:, 1] - chars[:, 0], pa.int64(), mask=plain), pa.array(chars[:, 2] - chars[:, 1], pa.int64(), mask=plain),
     ], names=["output", "form", "n", "prefix_chars", "middle_chars"])
 
 

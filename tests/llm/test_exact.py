@@ -122,6 +122,9 @@ def test_windows_do_not_matter(monkeypatch, window):
         made, out = fim.scatter(data, offsets, low, high, forms)
         text, back = fim.gather(made, out, forms)
         assert text.tobytes() == data.tobytes() and back.tolist() == offsets.tolist()
+    whole = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    places = np.sort(np.concatenate([offsets, low, high]))
+    assert fim.chars_before(data, places).tolist() == whole[places].tolist()
 
 
 def test_outputs_without_sentinels_are_refused():
