@@ -17,6 +17,7 @@ from pagemill.operators import entities as en
 from pagemill.operators import language as lg
 from pagemill.operators import lookup as lk
 from pagemill.operators import phrases as ph
+from pagemill.operators import sentences as sn
 from pagemill.operators import terms as tm
 from pagemill.plans import relevance as rv
 from pagemill.plans.frontier import page_links
@@ -172,6 +173,45 @@ def str9(spark, sf):
     return df.select("doc_id", F.size("s").cast("bigint").alias("n"), F.array_join("s", "|").alias("sentences"))
 
 
+# Every document gets a sentence with abbreviations in front.
+ABBREVIATED = "'Then Dr. Ames and Prof. Okoro of the U.S. law office met. ' || text"
+ABBR_CTE = rf"""abbr_docs AS (SELECT doc_id, {ABBREVIATED} AS text FROM documents),
+abbr_counts AS (SELECT lower(regexp_replace(t, '\.$', '')) AS word, count(*) AS n, count(*) FILTER (WHERE t LIKE '%.') AS stops
+  FROM (SELECT unnest(regexp_extract_all(text, '{sn.TOKEN}')) AS t FROM abbr_docs) GROUP BY 1),
+abbr_p AS (SELECT sum(stops) / sum(n) AS p FROM abbr_counts),
+abbr_scores AS (SELECT word, n, stops, 2 * (stops * (ln({sn.WITH_STOP}) - ln(p)) + (n - stops) * (ln(1 - {sn.WITH_STOP}) - ln(1 - p)))
+  * exp(-length(replace(word, '.', ''))) * (length(word) - length(replace(word, '.', '')) + 1) * pow(length(replace(word, '.', '')), -(n - stops)) AS score
+  FROM abbr_counts, abbr_p),
+abbr AS (SELECT * FROM abbr_scores WHERE stops > 0 AND score >= {sn.THRESHOLD})"""
+
+
+def abbreviated(spark, sf):
+    return documents(spark, sf).select("doc_id", F.expr(ABBREVIATED).alias("text"))
+
+
+@query("str9_abbreviations", f"WITH {ABBR_CTE} SELECT word, n, CAST(stops AS BIGINT) AS stops, round(score, 6) AS score FROM abbr")
+def str9_abbr(spark, sf):
+    return sn.abbreviations(abbreviated(spark, sf)).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "str9_learned_sentences",
+    rf"""WITH {ABBR_CTE}, lines AS (SELECT doc_id, generate_subscripts(ls, 1) AS l, unnest(ls) AS line
+      FROM (SELECT doc_id, string_split(regexp_replace(text, '(\p{{Ll}})\.(\p{{Lu}})', '\1. \2', 'g'), chr(10)) AS ls FROM abbr_docs)),
+    pieces AS (SELECT doc_id, l, generate_subscripts(ps, 1) AS i, unnest(ps) AS piece
+      FROM (SELECT doc_id, l, string_split(regexp_replace(line, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS ps FROM lines)),
+    ended AS (SELECT *, lower(regexp_extract(piece, '{sn.LAST}', 1)) IN (SELECT word FROM abbr) AS held FROM pieces),
+    marked AS (SELECT *, CASE WHEN coalesce(lag(held) OVER (PARTITION BY doc_id, l ORDER BY i), false) THEN 0 ELSE 1 END AS fresh FROM ended),
+    numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, l ORDER BY i) AS s FROM marked),
+    sents AS (SELECT doc_id, l, s, trim(string_agg(piece, ' ' ORDER BY i)) AS sentence FROM numbered GROUP BY ALL),
+    j AS (SELECT doc_id, string_agg(sentence, '|' ORDER BY l, s) AS sentences FROM sents WHERE len(regexp_split_to_array(sentence, '\s+')) > 3 GROUP BY doc_id)
+    SELECT doc_id, coalesce(sentences, '') AS sentences FROM documents LEFT JOIN j USING (doc_id)""",
+)
+def str9_learned(spark, sf):
+    docs = abbreviated(spark, sf)
+    return sn.learned_sentences(docs, sn.abbreviations(docs)).select("doc_id", F.array_join("sentences", "|").alias("sentences"))
+
+
 @query(
     "str10_alnum",
     r"""SELECT doc_id, len(list_filter(ws, lambda w: regexp_matches(w, '^[\p{L}\p{N}]+$'))) AS alnum, len(ws) AS total
