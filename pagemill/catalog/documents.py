@@ -18,6 +18,7 @@ from pagemill.operators import language as lg
 from pagemill.operators import lookup as lk
 from pagemill.operators import phrases as ph
 from pagemill.operators import sentences as sn
+from pagemill.operators import tagging as tg
 from pagemill.operators import terms as tm
 from pagemill.plans import relevance as rv
 from pagemill.plans.frontier import page_links
@@ -436,6 +437,45 @@ def nlp1(spark, sf):
     return df.select("doc_id", F.array_join("pos", ",").alias("pos"))
 
 
+# Sentences whose tags depend on the word before: the tagger learns from them and
+# tags them anew. Costs are whole numbers, so SQL adds up the same sums.
+TAGGED_CTE = rf"""{SENTENCE_CTE.format(id='doc_id', src='documents')},
+units AS (SELECT row_number() OVER () AS sid, doc_id, s, ts FROM (SELECT doc_id, s, {sql_tokens('sentence')} AS ts
+  FROM (SELECT doc_id, generate_subscripts(sents, 1) AS s, unnest(sents) AS sentence FROM sents)) WHERE len(ts) > 0),
+places AS (SELECT sid, i, ts[i] AS token, CASE (length(ts[i]) + coalesce(length(ts[i - 1]), 0)) % 3 WHEN 0 THEN 'JJ' WHEN 1 THEN 'NN' ELSE 'VB' END AS tag
+  FROM (SELECT sid, ts, unnest(range(1, len(ts) + 1)) AS i FROM units)),
+moves AS (SELECT a.tag AS before, p.tag, count(*) AS n FROM places p LEFT JOIN places a ON a.sid = p.sid AND a.i = p.i - 1 GROUP BY ALL),
+tag_names AS (SELECT tag, sum(n) AS total FROM moves GROUP BY tag),
+befores AS (SELECT DISTINCT before FROM moves),
+step AS (SELECT b.before, t.tag, CAST(round(-ln((coalesce(m.n, 0) + 1) / (sum(coalesce(m.n, 0)) OVER (PARTITION BY b.before) + count(*) OVER (PARTITION BY b.before))) * 1000000) AS BIGINT) AS cost
+  FROM befores b CROSS JOIN tag_names t LEFT JOIN moves m ON m.before IS NOT DISTINCT FROM b.before AND m.tag = t.tag),
+vocab AS (SELECT DISTINCT token FROM places),
+emit AS (SELECT v.token, t.tag, CAST(round(-ln((coalesce(c.n, 0) + 1) / (t.total + (SELECT count(*) FROM vocab) + 1)) * 1000000) AS BIGINT) AS cost
+  FROM vocab v CROSS JOIN tag_names t LEFT JOIN (SELECT token, tag, count(*) AS n FROM places GROUP BY ALL) c ON c.token = v.token AND c.tag = t.tag),
+walk AS (SELECT sid, 1 AS i, emit.tag, step.cost + emit.cost AS cost, emit.tag AS path FROM places JOIN emit USING (token)
+    JOIN step ON step.before IS NULL AND step.tag = emit.tag WHERE i = 1
+  UNION ALL
+  SELECT sid, i, tag, any_value(own) + min(cost), arg_min(path, (cost, before)) || ',' || tag
+  FROM (SELECT p.sid, p.i, e.tag, e.cost AS own, w.cost + s.cost AS cost, w.path, w.tag AS before
+    FROM walk w JOIN places p ON p.sid = w.sid AND p.i = w.i + 1 JOIN emit e ON e.token = p.token JOIN step s ON s.before = w.tag AND s.tag = e.tag)
+  GROUP BY sid, i, tag)"""
+
+
+@query(
+    "nlp1_tags_in_context",
+    f"""WITH RECURSIVE {TAGGED_CTE}, best AS (SELECT sid, arg_min(path, (cost, tag)) AS tags FROM walk JOIN (SELECT sid, len(ts) AS i FROM units) USING (sid, i) GROUP BY sid)
+    SELECT doc_id, s - 1 AS pos, tags FROM units JOIN best USING (sid)""",
+)
+def nlp1_context(spark, sf):
+    units = documents(spark, sf).select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence")).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), tx.tokens(F.col("sentence")).alias("tokens")
+    ).where("size(tokens) > 0")
+    rule = "elt((length(t) + coalesce(length(get(tokens, i - 1)), 0)) % 3 + 1, 'JJ', 'NN', 'VB')"
+    tagged = settle(units.withColumn("tags", F.expr(f"transform(tokens, (t, i) -> {rule})")), "tagged-sentences")
+    found = tg.tag_in_context(tagged.drop("tags"), tg.learn_tagger(tagged))
+    return found.select("doc_id", "pos", F.array_join("tags", ",").alias("tags"))
+
+
 # Names: word groups of the benchmark table and some frequent words.
 FREQUENT_NAMES = [
     ("eren", "LOCATION"), ("eran", "PERSON"), ("thing", "PERSON"), ("onti", "LOCATION"), ("der die", "ORGANIZATION"),
