@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill import fixed
-from pagemill.functions.arrays import max_tf, term_counts
-from pagemill.session import BROADCAST_ROWS, fits, settle
+from pagemill.functions.arrays import let_sql, max_tf, term_counts
+from pagemill.session import BROADCAST_ROWS, fits, frequent_join, settle
 
 
 def exploded_tokens(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
@@ -26,10 +26,14 @@ def document_max_tf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "
 
 def normalised_tf(docs: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
     """(id, term, weight), weight = tf / max tf of the document."""
-    counted = docs.select(id_col, term_counts(F.col(tokens_col)).alias("_c"))
-    return counted.withColumn("_m", max_tf(F.col("_c"))).select(
-        id_col, "_m", F.explode("_c").alias("c")
-    ).select(id_col, F.col("c.term").alias("term"), (F.col("c.tf") / F.col("_m")).alias("weight"))
+    # Generated from an expression, not from a column: of a column's size a filter
+    # would be made, and the terms counted again for it.
+    weights = let_sql(
+        term_counts(F.col(tokens_col)),
+        """c -> get(transform(array(coalesce(array_max(transform(c, x -> x.tf)), 1L)),
+          m -> transform(c, x -> named_struct('term', x.term, 'weight', x.tf / m))), 0)""",
+    )
+    return docs.select(id_col, F.explode(weights).alias("c")).select(id_col, "c.term", "c.weight")
 
 
 def vocabulary(docs: DataFrame, min_df: int = fixed.MIN_DOCUMENT_FREQUENCY, tokens_col: str = "tokens") -> DataFrame:
@@ -67,10 +71,10 @@ def vector_norms(vectors: DataFrame, id_col: str = "doc_id", weight: str = "weig
 
 def dot_products(vectors: DataFrame, model: DataFrame, id_col: str = "doc_id", weight: str = "weight",
                  limit: int = BROADCAST_ROWS) -> DataFrame:
-    """(id, dot, matched) of every vector that shares a term with the model."""
+    """(id, dot, matched) of every vector that shares a term with the model. `vectors`
+    should be cheap to read: a larger model has them read several times."""
     side = settle(model.select("term", F.col("weight").alias("_w")), "weights")
-    side = F.broadcast(side) if fits(side, limit) else side
-    return vectors.join(side, "term").groupBy(id_col).agg(
+    return frequent_join(vectors, side, "term", limit).groupBy(id_col).agg(
         F.sum(F.col(weight).cast("double") * F.col("_w")).alias("dot"), F.count("*").alias("matched")
     )
 
