@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill import fixed
-from pagemill.functions.arrays import norm, term_counts
+from pagemill.functions.arrays import let_sql, norm, term_counts
 from pagemill.functions.dates import date_score, url_date
 from pagemill.functions.text import model_tokens, sentences, words
 from pagemill.functions.urls import url_text
 from pagemill.operators.entities import date_entities, match_phrases
 from pagemill.operators.terms import cosine_value, dot_products
-from pagemill.session import BROADCAST_ROWS, content_key, settle
+from pagemill.session import BROADCAST_ROWS, numbered, settle
 
 # A model of at most this many terms is held as a literal inside the plan.
 LITERAL_TERMS = 2_000
@@ -27,12 +27,14 @@ def build_topic_model(docs: DataFrame, k: int = fixed.VOCABULARY_SIZE, min_df: i
     """(term, df, cf, score, weight) of the k best terms. Document frequency,
     collection frequency and centroid mass come from one pass and one shuffle of
     per-term partial sums; a null term counts the documents."""
-    counted = docs.select(term_counts(F.col(tokens_col)).alias("_c"))
-    marker = F.expr("array(named_struct('term', cast(null as string), 'tf', 1L))")
-    top_tf = F.coalesce(F.array_max(F.transform("_c", lambda c: c["tf"])), F.lit(1).cast("bigint"))
-    rows = counted.select("_c", top_tf.alias("_m")).select("_m", F.explode(F.concat(marker, F.col("_c"))).alias("c"))
+    rows = docs.select(F.explode(let_sql(
+        term_counts(F.col(tokens_col)),
+        """c -> get(transform(array(coalesce(array_max(transform(c, x -> x.tf)), 1L)), m -> concat(
+          array(named_struct('term', cast(null as string), 'tf', 1L, 'w', 1D)),
+          transform(c, x -> named_struct('term', x.term, 'tf', x.tf, 'w', x.tf / m)))), 0)""",
+    )).alias("c"))
     sums = rows.groupBy(F.col("c.term").alias("term")).agg(
-        F.count("*").alias("df"), F.sum("c.tf").alias("cf"), F.sum(F.col("c.tf") / F.col("_m")).alias("_mass")
+        F.count("*").alias("df"), F.sum("c.tf").alias("cf"), F.sum("c.w").alias("_mass")
     )
     ranked = (
         sums.filter(F.col("term").isNull() | (F.col("df") >= min_df))
@@ -52,24 +54,22 @@ def build_topic_model(docs: DataFrame, k: int = fixed.VOCABULARY_SIZE, min_df: i
 def cosine_to_model(df: DataFrame, id_col: str, counts_col: str, model: DataFrame, out: str,
                     literal_terms: int = LITERAL_TERMS) -> DataFrame:
     """Add the cosine of each row's term counts with a (term, weight) model. Rows
-    stay where they are while the model is small; a larger one is joined by term,
-    once for every distinct counts array. Rows are matched by that array, so neither
-    route needs `id_col` to be unique or there at all."""
+    stay where they are while the model is small; a larger one is joined by term. Rows
+    are matched by a number that each of them gets, so neither route needs `id_col`
+    to be unique or there at all."""
     model = settle(model.select("term", "weight"), "cosine-model")
     rows = model.select("term", "weight").limit(literal_terms + 1).collect()
     if len(rows) <= literal_terms:
         weights = {r["term"]: float(r["weight"]) for r in rows}
         return df.withColumn(out, _literal_cosine(F.col(counts_col), weights))
-    keyed = df.withColumn("_k", content_key(counts_col))
-    arrays = keyed.select("_k", F.col(counts_col).alias("_counts")).dropDuplicates(["_k"])
-    exploded = arrays.select("_k", F.explode("_counts").alias("c")).select(
-        "_k", F.col("c.term").alias("term"), F.col("c.tf").cast("double").alias("weight")
-    )
+    keyed = numbered(df.withColumn("_norm", norm(F.col(counts_col))), "cosine-rows")
+    pair = F.explode(F.transform(counts_col, lambda c: F.struct(c["term"].alias("term"), c["tf"].cast("double").alias("weight"))))
+    exploded = keyed.select("_row", pair.alias("c")).select("_row", "c.term", "c.weight")
     model_norm = model.agg(F.sqrt(F.sum(F.col("weight") * F.col("weight")))).first()[0]
-    dots = dot_products(exploded, model, "_k").select("_k", F.col("dot").alias("_dot"))
-    return keyed.join(dots, "_k", "left").withColumn(
-        out, cosine_value(F.coalesce("_dot", F.lit(0.0)), norm(F.col(counts_col)), F.lit(model_norm))
-    ).drop("_dot", "_k")
+    dots = dot_products(exploded, model, "_row").select("_row", F.col("dot").alias("_dot"))
+    return keyed.join(dots, "_row", "left").withColumn(
+        out, cosine_value(F.coalesce("_dot", F.lit(0.0)), F.col("_norm"), F.lit(model_norm))
+    ).drop("_dot", "_norm", "_row")
 
 
 def _literal_cosine(counts: Column, weights: dict[str, float]) -> Column:
@@ -222,8 +222,13 @@ class EventScorer:
         when = F.lit(self.model.event_date).cast("timestamp")
         return date_score(column, when, self.event_type)
 
+    def with_topic(self, pages: DataFrame, id_col: str = "url") -> DataFrame:
+        """Add `_topic`, what `page_scores` needs of `terms`: pages that carry it may go
+        into joins without their arrays."""
+        return cosine_to_model(pages, id_col, "terms", self.model.topic, "_topic")
+
     def page_scores(self, pages: DataFrame, id_col: str = "url") -> DataFrame:
-        df = cosine_to_model(pages, id_col, "terms", self.model.topic, "_topic")
+        df = pages if "_topic" in pages.columns else self.with_topic(pages, id_col)
         df = cosine_to_model(df, id_col, "locations", self.model.locations, "_location")
         dated = F.col("pub_date").isNotNull()
         day = self._day(F.col("pub_date"))
