@@ -8,12 +8,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, StringType
 
-from pagemill.session import BROADCAST_ROWS, content_key, fits, settle
+from pagemill.functions.arrays import few_at_once
+from pagemill.session import BROADCAST_ROWS, fits, frequent_part, numbered, settle
 
 UNIT = 1_000_000
 MOST_TAGS = 1_000
@@ -86,31 +87,46 @@ def best_path(costs: np.ndarray, start: np.ndarray, step: np.ndarray) -> list[in
 
 def tag_in_context(df: DataFrame, model: TagModel, tokens: str = "tokens", out: str = "tags", limit: int = BROADCAST_ROWS) -> DataFrame:
     """`df` with the tags of each token array. Token costs go to the tasks while their
-    size allows; beyond it they are joined by token, once for every distinct array.
-    Null arrays give null."""
+    size allows; beyond it those of the commonest tokens do, and only places of other
+    tokens are joined by token. Null arrays give null."""
     start, step, names, unknown = model.start, model.step, model.tags, model.unknown
     if not names:
         return df.withColumn(out, F.transform(tokens, lambda t: F.lit(None).cast("string")))
-    if fits(model.table, limit):
-        held = df.sparkSession.sparkContext.broadcast({r["token"]: np.array(r["costs"]) for r in model.table.toLocalIterator()})
-
-        @F.pandas_udf(ArrayType(StringType()))
-        def tag(column: pd.Series) -> pd.Series:
-            known, other = held.value, np.array(unknown)
-            return column.map(lambda ts: None if ts is None else [
-                names[i] for i in best_path(np.array([known.get(t, other) for t in ts]).reshape(-1, len(names)), start, step)])
-
+    small = fits(model.table, limit)
+    keyed = df if small else numbered(df, "tag-arrays")
+    common = model.table if small else frequent_part(keyed.select(F.explode(tokens).alias("token")), model.table, "token", limit)
+    rows = [(r["token"], r["costs"]) for r in common.toLocalIterator()]
+    known = {t: i for i, (t, _) in enumerate(rows)}
+    held = df.sparkSession.sparkContext.broadcast((known, np.array([c for _, c in rows] + [unknown], np.int64).reshape(-1, len(names))))
+
+    def tags_of(ts, rare) -> list[str] | None:
+        if ts is None:
+            return None
+        known, table = held.value
+        costs = table[[known.get(t, -1) for t in ts]] if len(ts) else table[:0]
+        for r in () if rare is None else rare:
+            costs[r["at"]] = r["costs"]
+        return [names[i] for i in best_path(costs, start, step)]
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def tag(column: pa.Array) -> pa.Array:
+        return pa.array((tags_of(ts, None) for ts in few_at_once(column)), pa.list_(pa.string()))
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def tag_with(column: pa.Array, rare: pa.Array) -> pa.Array:
+        return pa.array((tags_of(*x) for x in zip(few_at_once(column), few_at_once(rare))), pa.list_(pa.string()))
+
+    @F.arrow_udf(BooleanType())
+    def is_whole(column: pa.Array) -> pa.Array:
+        known = held.value[0]
+        return pa.array((ts is None or all(t in known for t in ts) for ts in few_at_once(column)), pa.bool_())
+
+    if small:
         return df.withColumn(out, tag(F.col(tokens)))
-
-    @F.pandas_udf(ArrayType(StringType()))
-    def walk(column: pd.Series) -> pd.Series:
-        return column.map(lambda cs: None if cs is None else [names[i] for i in best_path(np.array([c["costs"] for c in cs]), start, step)])
-
-    keyed = df.withColumn("_k", content_key(tokens))
-    arrays = keyed.select("_k", F.col(tokens).alias("_tokens")).dropDuplicates(["_k"])
-    other = F.array(*[F.lit(u) for u in unknown]).cast("array<bigint>")
-    found = arrays.select("_k", F.posexplode("_tokens").alias("at", "token")).join(model.table, "token", "left")
-    rows = found.groupBy("_k").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("costs", other).alias("costs")))).alias("_costs"))
-    tagged = keyed.join(rows.select("_k", walk("_costs").alias(out)), "_k", "left").drop("_k")
-    empty = F.expr("CAST(array() AS ARRAY<STRING>)")
-    return tagged.withColumn(out, F.when(F.col(tokens).isNotNull(), F.coalesce(out, empty)))
+    # Arrays of common tokens stay where they are.
+    whole = keyed.where(is_whole(F.col(tokens))).withColumn(out, tag(F.col(tokens)))
+    others = keyed.where(~is_whole(F.col(tokens)))
+    places = keyed.select("_row", F.posexplode(tokens).alias("at", "token")).join(F.broadcast(common.select("token")), "token", "left_anti")
+    per_row = places.join(model.table, "token").groupBy("_row").agg(F.collect_list(F.struct("at", "costs")).alias("_rare"))
+    found = others.join(per_row, "_row", "left").withColumn(out, tag_with(F.col(tokens), F.col("_rare")))
+    return whole.unionByName(found.select(*whole.columns)).drop("_row")
